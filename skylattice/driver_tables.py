@@ -6,7 +6,7 @@ is computed from whole tables inside Spark; constants only shape the values.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from skylattice.operators.airlines import clean_airlines
 from skylattice.operators.dedupe import SNAPSHOT_KEY, deduplicate
@@ -14,75 +14,68 @@ from skylattice.operators.filters import identified
 from skylattice.plans.silver import enrich
 from skylattice.schemas import AIRLINE_COLUMNS, BRONZE
 
-#: Call-sign prefixes by ``user_id % 6``.
-PREFIXES = ("aut", "BUI", "Fur", "HOU", "MAC", "ZZZ")
+# Types of the test tables that are read.
+TABLE_SCHEMAS = {
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+        "value double, props string"
+    ),
+    "customer": (
+        "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+        "c_mktsegment string"
+    ),
+}
+
+#: Call-sign prefixes by ``user_id % 6``.
+_PREFIX = "element_at(array('aut', 'BUI', 'Fur', 'HOU', 'MAC', 'ZZZ'), cast(user_id % 6 + 1 as int))"
+
+_BRONZE_VALUES = {
+    "time": "cast(cast(ts as timestamp) as bigint) + delay",
+    "icao24": "case when event_id % 97 <> 0 then concat('u', user_id) end",
+    "callsign": f"""case
+        when delay = 30 and user_id % 26 = 0 then ' BUI9 '
+        when user_id % 13 = 0 then null
+        when user_id % 17 = 0 then '   '
+        else concat(' ', {_PREFIX}, event_id % 1000, ' ') end""",
+    "origin_country": "'Brazil'",
+    "last_contact": "cast(cast(ts as timestamp) as bigint) - event_id % 5",
+    "longitude": "-47.5D + (event_id % 200) * 0.0078125D",
+    "latitude": "-24.3D + (user_id % 100) * 0.015625D",
+    "baro_altitude": "case when event_type <> 'signup' then value end",
+    "on_ground": "case when event_type <> 'purchase' then event_type = 'error' end",
+    "velocity": """case when event_type <> 'click'
+        then cast(get_json_object(props, '$.k') as double) end""",
+    "spi": "false",
+    "position_source": "0",
+}
+
+_AIRLINE_VALUES = {
+    "Airline ID": "c_custkey",
+    "Nome": "c_name",
+    "ICAO": "concat(' ', lower(substring(c_mktsegment, 1, 3)))",
+    "Active": "case when c_acctbal > 9000 then 'y' else 'N' end",
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze rows plus ``event_id``; every tenth event is repeated 30 s later."""
-    user, event, kind = F.col("user_id"), F.col("event_id"), F.col("event_type")
-    delays = F.when(event % 10 == 0, F.array(F.lit(0), F.lit(30))).otherwise(F.array(F.lit(0)))
-    seen = F.col("ts").cast("timestamp").cast("long")
-    copies = table(spark, sf_dir, "events").select("*", F.explode(delays).alias("delay"))
-    values = {
-        "time": seen + F.col("delay"),
-        "icao24": F.when(event % 97 != 0, F.concat(F.lit("u"), user)),
-        "callsign": F.when(F.col("delay") == 0, _first_call_sign(user, event)).otherwise(
-            _repeated_call_sign(user, event)
-        ),
-        "origin_country": F.lit("Brazil"),
-        "last_contact": seen - event % 5,
-        "longitude": F.lit(-47.5) + (event % 200) * 0.0078125,
-        "latitude": F.lit(-24.3) + (user % 100) * 0.015625,
-        "baro_altitude": F.when(kind != "signup", F.col("value")),
-        "on_ground": F.when(kind != "purchase", kind == "error"),
-        "velocity": F.when(
-            kind != "click", F.get_json_object("props", "$.k").cast("double")
-        ),
-        "spi": F.lit(False),
-        "position_source": F.lit(0),
-    }
-    return copies.select(
-        *(
-            values.get(field.name, F.lit(None)).cast(field.dataType).alias(field.name)
-            for field in BRONZE
-        ),
-        "event_id",
-    )
-
-
-def _first_call_sign(user: Column, event: Column) -> Column:
-    prefix = F.element_at(
-        F.array(*(F.lit(p) for p in PREFIXES)), (user % len(PREFIXES) + 1).cast("int")
-    )
-    return (
-        F.when(user % 13 == 0, F.lit(None))
-        .when(user % 17 == 0, F.lit("   "))
-        .otherwise(F.concat(F.lit(" "), prefix, event % 1000, F.lit(" ")))
-    )
-
-
-def _repeated_call_sign(user: Column, event: Column) -> Column:
-    return F.when(user % 26 == 0, F.lit(" BUI9 ")).otherwise(_first_call_sign(user, event))
+    delays = "explode(if(event_id % 10 = 0, array(0, 30), array(0))) as delay"
+    columns = [
+        f"cast({_BRONZE_VALUES.get(f.name, 'null')} as {f.dataType.simpleString()}) as {f.name}"
+        for f in BRONZE
+    ]
+    events = table(spark, sf_dir, "events").selectExpr("*", delays)
+    return events.selectExpr(*columns, "event_id")
 
 
 def raw_airlines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    values = {
-        "Airline ID": F.col("c_custkey"),
-        "Nome": F.col("c_name"),
-        "ICAO": F.concat(F.lit(" "), F.lower(F.substring("c_mktsegment", 1, 3))),
-        "Active": F.when(F.col("c_acctbal") > 9000, "y").otherwise("N"),
-    }
-    return table(spark, sf_dir, "customer").select(
-        *(
-            values.get(name, F.lit(None)).cast(kind).alias(name)
-            for name, kind in AIRLINE_COLUMNS.items()
-        )
+    return table(spark, sf_dir, "customer").selectExpr(
+        *(f"cast({_AIRLINE_VALUES.get(name, 'null')} as string) as `{name}`" for name in AIRLINE_COLUMNS)
     )
 
 

@@ -1,23 +1,27 @@
-"""Column expressions shared by the operators; all of them run inside the JVM."""
+"""Column expressions shared by the operators; all of them run inside the JVM.
+
+They are built from column names as single SQL expressions: one parsed text per
+column instead of a chain of calls from Python into the JVM.
+"""
 
 from skylattice.functions.columns import (
     airline_key,
     calendar_columns,
-    epoch_seconds,
     label_or,
+    quoted,
     seconds_between,
     time_cell,
 )
-from skylattice.functions.means import mean_parts, merge_mean_parts, mean_value
+from skylattice.functions.means import mean_parts, mean_value, merge_mean_parts
 
 __all__ = [
     "airline_key",
     "calendar_columns",
-    "epoch_seconds",
     "label_or",
     "mean_parts",
     "mean_value",
     "merge_mean_parts",
+    "quoted",
     "seconds_between",
     "time_cell",
 ]

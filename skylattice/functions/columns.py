@@ -5,44 +5,49 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
-def epoch_seconds(timestamp: Column) -> Column:
-    """Whole seconds since the epoch, floored also before 1970."""
-    return timestamp.cast("long")
+def quoted(name: str) -> str:
+    """A column name as SQL text, whatever characters it holds."""
+    return "`" + name.replace("`", "``") + "`"
 
 
-def seconds_between(start: Column, end: Column) -> Column:
-    return epoch_seconds(end) - epoch_seconds(start)
+def seconds_between(start: str, end: str) -> str:
+    """SQL text: whole seconds from one timestamp column to another.
+
+    The cast floors to seconds, also before 1970.
+    """
+    return f"(cast({quoted(end)} as bigint) - cast({quoted(start)} as bigint))"
 
 
-def time_cell(timestamp: Column, width_seconds: int) -> Column:
+def time_cell(timestamp: str, width_seconds: int) -> Column:
     """Start (epoch seconds) of the fixed-width cell that holds ``timestamp``.
 
     Two rows of one cell are at most ``width_seconds - 1`` seconds apart.
     """
-    seconds = epoch_seconds(timestamp)
-    return seconds - F.pmod(seconds, F.lit(width_seconds).cast("long"))
+    seconds = f"cast({quoted(timestamp)} as bigint)"
+    return F.expr(f"{seconds} - pmod({seconds}, {width_seconds}L)")
 
 
-def calendar_columns(timestamp: Column) -> dict[str, Column]:
+def calendar_columns(timestamp: str) -> dict[str, Column]:
     """``date, hour, year, month, day`` in the session's time zone."""
-    return {
-        "date": F.to_date(timestamp),
-        "hour": F.hour(timestamp),
-        "year": F.year(timestamp),
-        "month": F.month(timestamp),
-        "day": F.dayofmonth(timestamp),
+    part = {
+        "date": "to_date",
+        "hour": "hour",
+        "year": "year",
+        "month": "month",
+        "day": "dayofmonth",
     }
+    return {name: F.expr(f"{call}({quoted(timestamp)})") for name, call in part.items()}
 
 
-def airline_key(callsign: Column) -> Column:
+def airline_key(callsign: str) -> Column:
     """Operator prefix of a call sign: its first three letters, upper case.
 
     Any three-letter prefix counts, registrations included; a blank call sign
     gives an empty key, which no airline carries.
     """
-    return F.upper(F.substring(F.trim(callsign), 1, 3))
+    return F.expr(f"upper(substring(trim({quoted(callsign)}), 1, 3))")
 
 
-def label_or(column: Column, fallback: str) -> Column:
+def label_or(column: str, fallback: str) -> Column:
     """Trimmed text, or ``fallback`` where it is NULL or blank."""
-    return F.coalesce(F.nullif(F.trim(column), F.lit("")), F.lit(fallback))
+    return F.coalesce(F.expr(f"nullif(trim({quoted(column)}), '')"), F.lit(fallback))

@@ -15,55 +15,51 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-_MILLION = 1_000_000
-#: Beyond this magnitude millionths no longer fit the exact sum's input type.
-_GRID_LIMIT = 1e12
-_PARTS = ("exact", "double", "count", "off_grid")
-
+from skylattice.functions.columns import quoted
 
-def _names(prefix: str) -> dict[str, str]:
-    return {part: f"{prefix}_{part}" for part in _PARTS}
+#: Beyond this magnitude millionths no longer fit the exact sum's input type.
+_GRID_LIMIT = "1e12D"
 
 
-def mean_parts(value: Column, prefix: str) -> list[Column]:
+def mean_parts(value: str, prefix: str) -> list[Column]:
     """Aggregates over raw doubles from which :func:`mean_value` is taken."""
-    name = _names(prefix)
-    millionths = F.when(
-        F.abs(value) < _GRID_LIMIT, F.round(value * _MILLION).cast("long")
-    )
-    on_grid = millionths / F.lit(float(_MILLION)) == value
+    x = quoted(value)
+    millionths = f"case when abs({x}) < {_GRID_LIMIT} then cast(round({x} * 1e6D) as bigint) end"
+    on_grid = f"({millionths}) / 1e6D = {x}"
     return [
-        F.sum(F.when(on_grid, millionths).cast("decimal(18,0)")).alias(name["exact"]),
-        F.sum(value).alias(name["double"]),
-        F.count(value).alias(name["count"]),
-        F.count_if(value.isNotNull() & ~F.coalesce(on_grid, F.lit(False))).alias(
-            name["off_grid"]
+        F.expr(f"sum(cast(case when {on_grid} then {millionths} end as decimal(18,0)))").alias(
+            f"{prefix}_exact"
+        ),
+        F.expr(f"sum({x})").alias(f"{prefix}_double"),
+        F.expr(f"count({x})").alias(f"{prefix}_count"),
+        F.expr(f"count_if({x} is not null and not coalesce({on_grid}, false))").alias(
+            f"{prefix}_off_grid"
         ),
     ]
 
 
 def merge_mean_parts(prefix: str) -> list[Column]:
     """Aggregates that fold rows of parts into parts."""
-    name = _names(prefix)
-    # A roll-up row's sum is wide already; one more level must not widen it to
-    # more digits than a decimal has.
-    exact = F.sum(F.col(name["exact"]).cast("decimal(28,0)"))
+    # A roll-up row's sum has 28 digits already; summing it again must not ask
+    # for more digits than a decimal has.
     return [
-        exact.alias(name["exact"]),
-        *(F.sum(name[part]).alias(name[part]) for part in _PARTS[1:]),
+        F.expr(f"sum(cast({prefix}_exact as decimal(28,0)))").alias(f"{prefix}_exact"),
+        *(
+            F.expr(f"sum({prefix}_{part})").alias(f"{prefix}_{part}")
+            for part in ("double", "count", "off_grid")
+        ),
     ]
 
 
 def mean_value(prefix: str, digits: int | None = 2) -> Column:
     """The mean as a double; rounded half-up unless ``digits`` is None."""
-    name = _names(prefix)
-    count = F.nullif(F.col(name["count"]), F.lit(0))
-    rough = F.col(name["double"]) / count
+    count = f"nullif({prefix}_count, 0)"
+    rough = f"{prefix}_double / {count}"
     if digits is None:
-        exact = F.col(name["exact"]).cast("double") / F.lit(float(_MILLION)) / count
+        exact = f"cast({prefix}_exact as double) / 1e6D / {count}"
     else:
-        rough = F.round(rough, digits)
-        millionths = F.col(name["exact"]).cast("decimal(28,0)")
-        per_row = millionths / count.cast("decimal(19,0)")
-        exact = F.round(per_row / F.lit(_MILLION).cast("decimal(7,0)"), digits).cast("double")
-    return F.when(F.col(name["off_grid"]) == 0, exact).otherwise(rough)
+        rough = f"round({rough}, {digits})"
+        total = f"cast({prefix}_exact as decimal(28,0))"
+        per_row = f"{total} / cast({count} as decimal(19,0)) / cast(1000000 as decimal(7,0))"
+        exact = f"cast(round({per_row}, {digits}) as double)"
+    return F.expr(f"case when {prefix}_off_grid = 0 then {exact} else {rough} end")

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from skylattice.functions import airline_key
+from skylattice.functions import airline_key, quoted
 
 #: Largest dimension that is sent to every executor.
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
@@ -19,34 +19,25 @@ def clean_airlines(raw: DataFrame) -> DataFrame:
     is not numeric sorts as NULL instead of failing the job; the name settles
     what is left, so the choice is the same on every run.
     """
-    coded = raw.withColumn("ICAO", F.upper(F.trim("ICAO"))).filter(
-        F.col("ICAO").isNotNull() & (F.col("ICAO") != "")
-    )
-    preference = Window.partitionBy("ICAO").orderBy(
-        F.when(F.upper("Active") == "Y", 0).otherwise(1),
-        F.col("Airline ID").try_cast("long"),
-        F.col("Nome"),
-        F.col("Airline ID"),
-    )
-    return (
-        coded.withColumn("_rank", F.row_number().over(preference))
-        .filter(F.col("_rank") == 1)
-        .drop("_rank")
-    )
+    coded = raw.withColumn("ICAO", F.expr("upper(trim(ICAO))")).filter("ICAO <> ''")
+    rank = """row_number() over (
+        partition by ICAO
+        order by if(upper(Active) = 'Y', 0, 1), try_cast(`Airline ID` as bigint),
+                 Nome, `Airline ID`)"""
+    return coded.withColumn("_rank", F.expr(rank)).filter("_rank = 1").drop("_rank")
 
 
 def joinable_airlines(airlines: DataFrame) -> DataFrame:
     """Airlines a three-letter key can reach; the others can never match."""
-    return airlines.filter(F.length("ICAO") <= 3)
+    return airlines.filter("length(ICAO) <= 3")
 
 
 def table_bytes(df: DataFrame) -> int:
     """Size of a text table as one small aggregate job; only a number returns."""
-    per_row = sum(
-        (F.coalesce(F.octet_length(f"`{name}`"), F.lit(0)) + 16 for name in df.columns),
-        F.lit(0),
+    per_row = " + ".join(
+        f"coalesce(octet_length({quoted(name)}), 0) + 16" for name in df.columns
     )
-    return df.agg(F.coalesce(F.sum(per_row.cast("long")), F.lit(0)).alias("n")).first()["n"]
+    return df.agg(F.expr(f"coalesce(sum(cast({per_row} as bigint)), 0)")).first()[0]
 
 
 def join_airlines(
@@ -64,21 +55,17 @@ def join_airlines(
     stream of snapshots too.
     """
     dimension = joinable_airlines(airlines)
-    keyed = snapshots.withColumn("_key", airline_key(F.col("callsign")))
+    keyed = snapshots.withColumn("_key", airline_key("callsign"))
     if table_bytes(dimension) <= broadcast_limit_bytes:
-        joined = keyed.join(
-            F.broadcast(dimension), F.col("_key") == F.col("ICAO"), "left"
+        return keyed.join(F.broadcast(dimension), F.expr("_key = ICAO"), "left").drop("_key")
+    salt = f"cast(pmod(xxhash64(icao24, last_contact, time), {salts}) as int)"
+    copies = f"explode(sequence(0, {salts - 1}))"
+    return (
+        keyed.withColumn("_salt", F.expr(salt))
+        .join(
+            dimension.withColumn("_copy", F.expr(copies)),
+            F.expr("_key = ICAO and _salt = _copy"),
+            "left",
         )
-        return joined.drop("_key")
-    salted = keyed.withColumn(
-        "_salt", F.pmod(F.xxhash64("icao24", "last_contact", "time"), F.lit(salts)).cast("int")
-    )
-    copies = dimension.withColumn(
-        "_copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    )
-    joined = salted.join(
-        copies,
-        (F.col("_key") == F.col("ICAO")) & (F.col("_salt") == F.col("_copy")),
-        "left",
+        .drop("_key", "_salt", "_copy")
     )
-    return joined.drop("_key", "_salt", "_copy")

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
+
+from skylattice.functions import quoted
 
 SNAPSHOT_KEY = ("icao24", "last_contact")
 
@@ -24,12 +26,9 @@ def deduplicate(
     if order is None:
         rest = [name for name in df.columns if name not in (*key, "time")]
         order = ("time", *rest)
-    ranked = Window.partitionBy(*(_quoted(c) for c in key)).orderBy(*(_quoted(c) for c in order))
-    return (
-        df.withColumn("_copy", F.row_number().over(ranked))
-        .filter(F.col("_copy") == 1)
-        .drop("_copy")
-    )
+    group, ranking = (", ".join(map(quoted, names)) for names in (key, order))
+    rank = f"row_number() over (partition by {group} order by {ranking})"
+    return df.withColumn("_copy", F.expr(rank)).filter("_copy = 1").drop("_copy")
 
 
 def deduplicate_stream(
@@ -53,7 +52,3 @@ def deduplicate_stream(
         .dropDuplicatesWithinWatermark(list(key))
         .drop("_arrival")
     )
-
-
-def _quoted(name: str) -> str:
-    return f"`{name}`"

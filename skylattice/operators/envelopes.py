@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from skylattice.schemas import ENVELOPE, STATE_COLUMNS
 
@@ -37,17 +37,11 @@ def encode_envelopes(snapshots: DataFrame, max_states: int = 5000) -> DataFrame:
     if max_states < 1:
         raise ValueError("max_states must be at least 1")
     poll = ("time", "_part")
+    message = f"""floor((row_number() over (
+        partition by {', '.join(poll)} order by state) - 1) / {max_states})"""
     numbered = snapshots.select(
-        "time",
-        F.struct(*STATE_COLUMNS).alias("state"),
-        F.spark_partition_id().alias("_part"),
-    ).withColumn(
-        "_message",
-        F.floor(
-            (F.row_number().over(Window.partitionBy(*poll).orderBy("state")) - 1)
-            / max_states
-        ),
-    )
+        "time", F.struct(*STATE_COLUMNS).alias("state"), F.spark_partition_id().alias("_part")
+    ).withColumn("_message", F.expr(message))
     return (
         numbered.groupBy(*poll, "_message")
         .agg(F.collect_list("state").alias("states"))

@@ -38,12 +38,12 @@ def with_call_sign(df: DataFrame) -> DataFrame:
 
 def identified(df: DataFrame) -> DataFrame:
     """Rows that carry both an aircraft and a time."""
-    return df.filter(F.col("icao24").isNotNull() & F.col("time").isNotNull())
+    return df.filter("icao24 is not null and time is not null")
 
 
 def airborne(df: DataFrame) -> DataFrame:
     """Rows known to be in the air; an unknown ``on_ground`` does not count."""
-    return df.filter(F.col("icao24").isNotNull() & (F.col("on_ground") == F.lit(False)))
+    return df.filter("icao24 is not null and on_ground = false")
 
 
 def on_date(df: DataFrame, run_date: str | None, timestamp_column: str = "time") -> DataFrame:
@@ -63,7 +63,7 @@ def near_partition(df: DataFrame, run_date: str | None) -> DataFrame:
     if not run_date:
         return df
     wanted = F.to_date(F.lit(run_date))
-    folder = F.make_date(*(F.col(name) for name in DAY_PARTITION))
+    folder = F.expr(f"make_date({', '.join(DAY_PARTITION)})")
     return df.filter(
         folder.between(
             F.date_sub(wanted, ZONE_SLACK_DAYS), F.date_add(wanted, ZONE_SLACK_DAYS)

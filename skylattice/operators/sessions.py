@@ -16,9 +16,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from skylattice.functions import calendar_columns, seconds_between, time_cell
+from skylattice.functions import calendar_columns, quoted, seconds_between, time_cell
 
 DEFAULT_GAP_SECONDS = 30 * 60
 #: Widest cell in which raw rows are ordered for the row-level listing.
@@ -31,12 +31,11 @@ def presence_cells(df: DataFrame, gap_seconds: int = DEFAULT_GAP_SECONDS) -> Dat
     The labels are grouping keys rather than aggregates so that every buffer is a
     plain number: a hash aggregate without sorting the scan.
     """
+    cell = time_cell("time", cell_width(gap_seconds)).alias("cell")
     return (
-        df.select(
-            "icao24", "time", "Nome", "ICAO", time_cell(F.col("time"), _width(gap_seconds)).alias("cell")
-        )
+        df.select("icao24", "time", "Nome", "ICAO", cell)
         .groupBy("icao24", "cell", "Nome", "ICAO")
-        .agg(F.min("time").alias("first_seen"), F.max("time").alias("last_seen"))
+        .agg(F.expr("min(time) as first_seen"), F.expr("max(time) as last_seen"))
     )
 
 
@@ -51,32 +50,30 @@ def sessions_from_cells(
     ``dataset_end`` is the latest time of the whole data, see :func:`latest_time`.
     """
     merged = cells.groupBy("icao24", "cell").agg(
-        F.min("first_seen").alias("first_seen"),
-        F.max("last_seen").alias("last_seen"),
-        _earliest("first_seen", "Nome").alias("named"),
-        _earliest("first_seen", "ICAO").alias("coded"),
+        F.expr("min(first_seen) as first_seen"),
+        F.expr("max(last_seen) as last_seen"),
+        _earliest("first_seen", "Nome", "named"),
+        _earliest("first_seen", "ICAO", "coded"),
     )
-    aircraft = Window.partitionBy("icao24").orderBy("cell")
-    numbered = (
-        merged.withColumns(
-            {
-                "previous_seen": F.lag("last_seen").over(aircraft),
-                "next_seen": F.lead("first_seen").over(aircraft),
-            }
-        )
-        .withColumn("opens", _opens("first_seen", "previous_seen", gap_seconds))
-        .withColumn("session_id", F.sum("opens").over(_up_to_here(aircraft)))
-        .withColumn(
-            "closes",
-            _closes("last_seen", "next_seen", dataset_end, gap_seconds, close_stale_tail),
-        )
+    aircraft = "partition by icao24 order by cell"
+    neighbours = merged.selectExpr(
+        "*",
+        f"lag(last_seen) over ({aircraft}) as previous_seen",
+        f"lead(first_seen) over ({aircraft}) as next_seen",
     )
+    opens = _opens("first_seen", "previous_seen", gap_seconds)
+    numbered = neighbours.select(
+        "*",
+        dataset_end.alias("dataset_end"),
+        F.expr(f"sum({opens}) over ({aircraft} rows unbounded preceding) as session_id"),
+    )
+    closes = _closes("last_seen", "next_seen", gap_seconds, close_stale_tail)
     folded = numbered.groupBy("icao24", "session_id").agg(
-        F.min("first_seen").alias("entry_ts"),
-        F.max("last_seen").alias("exit_ts"),
-        F.max("closes").alias("has_exit"),
-        F.min("named")["Nome"].alias("airline_name"),
-        F.min("coded")["ICAO"].alias("airline_icao"),
+        F.expr("min(first_seen) as entry_ts"),
+        F.expr("max(last_seen) as exit_ts"),
+        F.expr(f"max({closes}) as has_exit"),
+        F.expr("min(named).Nome as airline_name"),
+        F.expr("min(coded).ICAO as airline_icao"),
     )
     return with_duration_and_day(folded)
 
@@ -99,7 +96,7 @@ def build_sessions(
 
 def latest_time(df: DataFrame, timestamp_column: str = "time") -> Column:
     """Maximum of a column as a scalar subquery: one value, no join, no window."""
-    return df.agg(F.max(timestamp_column).alias("dataset_end")).scalar()
+    return df.agg(F.max(timestamp_column)).scalar()
 
 
 def session_observations(
@@ -115,51 +112,54 @@ def session_observations(
     what lies before and after a cell comes from the folded cells. ``tie_break``
     orders rows of the same aircraft and time.
     """
-    width = min(_width(gap_seconds), ROW_CELL_SECONDS)
     # A struct key joins NULL aircraft to themselves and serves join, window and
     # aggregate with one partitioning.
-    slot = F.struct("icao24", time_cell(F.col("time"), width).alias("cell")).alias("_slot")
-    rows = df.select("*", slot)
-    cells = rows.groupBy("_slot").agg(
-        F.min("time").alias("_first"), F.max("time").alias("_last")
-    )
-    aircraft = Window.partitionBy("_slot.icao24").orderBy("_slot.cell")
+    cell = time_cell("time", min(cell_width(gap_seconds), ROW_CELL_SECONDS)).alias("cell")
+    rows = df.select("*", F.struct("icao24", cell).alias("_slot"))
+    aircraft = "partition by _slot.icao24 order by _slot.cell"
     borders = (
-        cells.withColumns(
-            {"_before": F.lag("_last").over(aircraft), "_after": F.lead("_first").over(aircraft)}
+        rows.groupBy("_slot")
+        .agg(F.expr("min(time) as _first"), F.expr("max(time) as _last"))
+        .selectExpr(
+            "*",
+            f"lag(_last) over ({aircraft}) as _before",
+            f"lead(_first) over ({aircraft}) as _after",
         )
-        .withColumn("_opens", _opens("_first", "_before", gap_seconds))
-        .select(
-            "_slot", "_before", "_after", F.sum("_opens").over(_up_to_here(aircraft)).alias("session_id")
+        .selectExpr(
+            "_slot",
+            "_before",
+            "_after",
+            f"sum({_opens('_first', '_before', gap_seconds)}) over "
+            f"({aircraft} rows unbounded preceding) as session_id",
         )
     )
-    inside = Window.partitionBy("_slot").orderBy("time", *tie_break)
-    dataset_end = latest_time(df)
+    order = ", ".join(quoted(name) for name in ("time", *tie_break))
+    inside = f"partition by _slot order by {order}"
+    columns = [quoted(name) for name in df.columns]
     return (
         rows.join(borders, "_slot")
-        .withColumns(
-            {
-                "previous_time": F.coalesce(F.lag("time").over(inside), F.col("_before")),
-                "next_time": F.coalesce(F.lead("time").over(inside), F.col("_after")),
-            }
-        )
         .select(
-            *(f"`{name}`" for name in df.columns),
+            *columns,
+            F.expr(f"coalesce(lag(time) over ({inside}), _before) as previous_time"),
+            F.expr(f"coalesce(lead(time) over ({inside}), _after) as next_time"),
+            latest_time(df).alias("dataset_end"),
+            "session_id",
+        )
+        .selectExpr(
+            *columns,
             "previous_time",
             "next_time",
-            dataset_end.alias("dataset_end"),
-            _opens("time", "previous_time", gap_seconds).alias("new_session"),
+            "dataset_end",
+            f"{_opens('time', 'previous_time', gap_seconds)} as new_session",
             "session_id",
-            _closes("time", "next_time", dataset_end, gap_seconds, close_stale_tail).alias(
-                "session_closes"
-            ),
+            f"{_closes('time', 'next_time', gap_seconds, close_stale_tail)} as session_closes",
         )
     )
 
 
 def used_sessions(sessions: DataFrame) -> DataFrame:
     """Closed sessions of positive length, the only ones a mean is taken over."""
-    return sessions.filter((F.col("has_exit") == 1) & (F.col("duration_seconds") > 0))
+    return sessions.filter("has_exit = 1 and duration_seconds > 0")
 
 
 def session_detail(sessions: DataFrame) -> DataFrame:
@@ -171,40 +171,36 @@ def session_detail(sessions: DataFrame) -> DataFrame:
 
 def with_duration_and_day(folded: DataFrame) -> DataFrame:
     """Add the length and the entry day to rows with ``entry_ts, exit_ts``."""
-    day = calendar_columns(F.col("entry_ts"))
+    day = calendar_columns("entry_ts")
     return folded.withColumns(
         {
-            "duration_seconds": seconds_between(F.col("entry_ts"), F.col("exit_ts")),
+            "duration_seconds": F.expr(seconds_between("entry_ts", "exit_ts")),
             **{name: day[name] for name in ("date", "year", "month", "day")},
         }
     )
 
 
-def _width(gap_seconds: int) -> int:
+def cell_width(gap_seconds: int) -> int:
+    """Widest cell that cannot straddle a session border."""
     if gap_seconds < 0:
         raise ValueError("the session gap must not be negative")
     return gap_seconds + 1
 
 
-def _up_to_here(window: Window) -> Window:
-    return window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
-
-def _earliest(time: str, value: str) -> Column:
+def _earliest(time: str, value: str, name: str) -> Column:
     """Smallest (time, value) over the rows that have a value."""
-    return F.min(F.when(F.col(value).isNotNull(), F.struct(time, value)))
+    pair = f"named_struct('{time}', {time}, '{value}', {value})"
+    return F.expr(f"min(case when {value} is not null then {pair} end) as {name}")
 
 
-def _opens(time: str, previous: str, gap_seconds: int) -> Column:
-    gap = seconds_between(F.col(previous), F.col(time))
-    return F.when(F.col(previous).isNull() | (gap > gap_seconds), 1).otherwise(0)
+def _opens(time: str, previous: str, gap_seconds: int) -> str:
+    gap = seconds_between(previous, time)
+    return f"case when {previous} is null or {gap} > {gap_seconds} then 1 else 0 end"
 
 
-def _closes(
-    time: str, following: str, dataset_end: Column, gap_seconds: int, close_stale_tail: bool
-) -> Column:
-    left_area = seconds_between(F.col(time), F.col(following)) > gap_seconds
+def _closes(time: str, following: str, gap_seconds: int, close_stale_tail: bool) -> str:
+    left_area = f"{seconds_between(time, following)} > {gap_seconds}"
     if close_stale_tail:
-        stale = seconds_between(F.col(time), dataset_end) > gap_seconds
-        left_area = left_area | (F.col(following).isNull() & stale)
-    return F.when(left_area, 1).otherwise(0)
+        stale = f"{seconds_between(time, 'dataset_end')} > {gap_seconds}"
+        left_area = f"{left_area} or ({following} is null and {stale})"
+    return f"case when {left_area} then 1 else 0 end"

@@ -11,6 +11,7 @@ from skylattice.operators.airlines import clean_airlines
 from skylattice.operators.sessions import (
     DEFAULT_GAP_SECONDS,
     build_sessions,
+    cell_width,
     latest_time,
     sessions_from_cells,
 )
@@ -53,13 +54,13 @@ def hourly_rollup(df: DataFrame, gap_seconds: int = DEFAULT_GAP_SECONDS) -> Data
     counts. All buffers are numbers, so it is one hash aggregate with a partial
     step before its only shuffle.
     """
-    calendar = calendar_columns(F.col("time"))
+    calendar = calendar_columns("time")
     return (
         df.select(
             "icao24",
             calendar["date"].alias("date"),
             calendar["hour"].alias("hour"),
-            time_cell(F.col("time"), gap_seconds + 1).alias("cell"),
+            time_cell("time", cell_width(gap_seconds)).alias("cell"),
             "Nome",
             "ICAO",
             "time",
@@ -71,9 +72,9 @@ def hourly_rollup(df: DataFrame, gap_seconds: int = DEFAULT_GAP_SECONDS) -> Data
         .agg(
             F.min("time").alias("first_seen"),
             F.max("time").alias("last_seen"),
-            F.max(F.coalesce(~F.col("on_ground"), F.lit(False))).alias("was_airborne"),
-            *mean_parts(F.col("baro_altitude"), "altitude"),
-            *mean_parts(F.col("velocity"), "velocity"),
+            F.expr("max(coalesce(not on_ground, false)) as was_airborne"),
+            *mean_parts("baro_altitude", "altitude"),
+            *mean_parts("velocity", "velocity"),
         )
     )
 

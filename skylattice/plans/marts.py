@@ -42,7 +42,7 @@ REPORT_ORDER = {
 
 def with_calendar(df: DataFrame, timestamp_column: str = "time") -> DataFrame:
     """Add ``date, hour, year, month, day``; silver's own day is overwritten."""
-    return df.withColumns(calendar_columns(F.col(timestamp_column)))
+    return df.withColumns(calendar_columns(timestamp_column))
 
 
 def with_day_columns(grouped: DataFrame) -> DataFrame:
@@ -51,7 +51,7 @@ def with_day_columns(grouped: DataFrame) -> DataFrame:
     They follow from the date, so reports group and shuffle on the date alone.
     """
     return grouped.withColumns(
-        {"year": F.year("date"), "month": F.month("date"), "day": F.dayofmonth("date")}
+        {name: F.expr(f"{name}(date)") for name in DAY_COLUMNS[1:]}
     )
 
 
@@ -89,8 +89,8 @@ def airline_counts(
         with_calendar(df)
         .select(
             "date",
-            label_or(F.col(f"`{code_column}`"), unknown_code).alias("airline_icao"),
-            label_or(F.col(f"`{name_column}`"), unknown_name).alias("airline_name"),
+            label_or(code_column, unknown_code).alias("airline_icao"),
+            label_or(name_column, unknown_name).alias("airline_name"),
             "icao24",
         )
         .groupBy("date", "airline_icao", "airline_name")
@@ -107,8 +107,8 @@ def altitude_speed(df: DataFrame, round_velocity: bool = True) -> DataFrame:
         with_calendar(df)
         .groupBy("date", "hour")
         .agg(
-            *mean_parts(F.col("baro_altitude"), "altitude"),
-            *mean_parts(F.col("velocity"), "velocity"),
+            *mean_parts("baro_altitude", "altitude"),
+            *mean_parts("velocity", "velocity"),
         )
     )
     return _altitude_speed_report(parts, round_velocity)
@@ -166,16 +166,17 @@ def monitored_area_duration(
 
 def session_quality(sessions: DataFrame) -> DataFrame:
     """One row of counters. On no sessions the total is 0 and the others NULL."""
-    closed, is_open = F.col("has_exit") == 1, F.col("has_exit") == 0
+    closed, is_open = "has_exit = 1", "has_exit = 0"
+    discarded = f"{closed} and duration_seconds <= 0"
 
-    def counted(condition, name):
-        return F.sum(F.when(condition, 1).otherwise(0)).alias(name)
+    def counted(condition: str) -> str:
+        return f"sum(case when {condition} then 1 else 0 end)"
 
     return sessions.agg(
-        F.count(F.lit(1)).alias("sessions_total"),
-        counted(closed, "sessions_closed"),
-        counted(is_open, "sessions_open"),
-        counted(closed & (F.col("duration_seconds") <= 0), "sessions_discarded_non_positive"),
+        F.expr("count(*) as sessions_total"),
+        F.expr(f"{counted(closed)} as sessions_closed"),
+        F.expr(f"{counted(is_open)} as sessions_open"),
+        F.expr(f"{counted(discarded)} as sessions_discarded_non_positive"),
     )
 
 

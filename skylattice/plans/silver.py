@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from skylattice.functions import quoted
 from skylattice.operators.airlines import join_airlines
 from skylattice.operators.dedupe import deduplicate
 from skylattice.operators.filters import with_call_sign
@@ -16,13 +17,11 @@ def with_silver_time(df: DataFrame) -> DataFrame:
     Direct arithmetic on the instant: no detour over a local time string, so the
     repeated hour at the end of daylight saving time keeps its instants.
     """
-    instant = F.timestamp_seconds("time")
+    instant = "timestamp_seconds(time)"
     return df.withColumns(
         {
-            "time": instant,
-            "year": F.year(instant),
-            "month": F.month(instant),
-            "day": F.dayofmonth(instant),
+            "time": F.expr(instant),
+            **{name: F.expr(f"{name}({instant})") for name in DAY_PARTITION},
         }
     )
 
@@ -35,8 +34,8 @@ def enrich(unique: DataFrame, airlines: DataFrame, **join_options: int) -> DataF
     """
     named = with_silver_time(with_call_sign(unique))
     joined = join_airlines(named, airlines, **join_options)
-    last = [name for name in joined.columns if name not in DAY_PARTITION]
-    return joined.select(*(f"`{name}`" for name in last), *DAY_PARTITION)
+    leading = [quoted(name) for name in joined.columns if name not in DAY_PARTITION]
+    return joined.select(*leading, *DAY_PARTITION)
 
 
 def build_silver(bronze: DataFrame, airlines: DataFrame, **join_options: int) -> DataFrame:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from skylattice.functions import epoch_seconds
 from skylattice.operators.dedupe import deduplicate_stream
 from skylattice.operators.envelopes import decode_envelopes
 from skylattice.operators.filters import identified
@@ -72,21 +71,19 @@ def stream_sessions(
         raise ValueError("lateness_seconds must be at least 1")
     if gap_seconds < 1:
         raise ValueError("a session window needs a gap of at least one second")
-    timed = identified(silver).withColumn(
-        "time", F.timestamp_seconds(epoch_seconds(F.col("time")))
-    )
-    label = {
-        name: F.min(F.when(F.col(name).isNotNull(), F.struct("time", name)))[name]
-        for name in ("Nome", "ICAO")
-    }
+    timed = identified(silver).withColumn("time", F.expr("date_trunc('second', time)"))
+
+    def earliest(name: str) -> str:
+        return f"min(case when {name} is not null then struct(time, {name}) end).{name}"
+
     folded = (
         timed.withWatermark("time", f"{lateness_seconds} seconds")
         .groupBy(F.session_window("time", f"{gap_seconds} seconds"), "icao24")
         .agg(
             F.min("time").alias("entry_ts"),
             F.max("time").alias("exit_ts"),
-            label["Nome"].alias("airline_name"),
-            label["ICAO"].alias("airline_icao"),
+            F.expr(f"{earliest('Nome')} as airline_name"),
+            F.expr(f"{earliest('ICAO')} as airline_icao"),
         )
         .drop("session_window")
         .withColumn("has_exit", F.lit(1))
