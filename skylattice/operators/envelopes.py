@@ -15,10 +15,13 @@ def decode_envelopes(messages: DataFrame, value_column: str = "value") -> DataFr
     shuffle.
     """
     parsed = F.from_json(F.col(value_column).cast("string"), ENVELOPE)
+    # Exploding the bare column would let the optimizer add a filter on it, which
+    # is pushed below and parses every message a second time.
+    states = F.expr("explode(coalesce(states, array())) as state")
     return (
         messages.select(parsed.alias("envelope"))
         .selectExpr("envelope.*")
-        .select("time", F.explode("states").alias("state"))
+        .select("time", states)
         .select("time", "state.*")
     )
 
