@@ -4,11 +4,13 @@ A plain ``avg`` over doubles adds in whatever order tasks finish, so its last
 digits, and with them a mean rounded to two places, may change between runs.
 Here each value is counted in millionths and summed as an exact integer, which
 gives one result for any partitioning. Values off that grid (finer than a
-millionth, huge, NaN or infinite) are still part of the mean: a group that holds
-one falls back to the ordinary double sum.
+millionth, beyond ten million, NaN or infinite) are still part of the mean: a
+group that holds one falls back to the ordinary double sum.
 
-The parts are plain sums and counts, so they merge: a coarse roll-up can be
-aggregated again and gives the same mean as the raw rows.
+The exact sum is kept as two 64-bit sums, of the high and of the low 22 bits of
+each value, which stay inside compiled hash aggregation and cannot overflow below
+10^12 rows per group. All parts are plain sums and counts, so they merge: a
+coarse roll-up can be aggregated again and gives the same mean as the raw rows.
 """
 
 from __future__ import annotations
@@ -17,49 +19,44 @@ from pyspark.sql import Column, functions as F
 
 from skylattice.functions.columns import quoted
 
-#: Beyond this magnitude millionths no longer fit the exact sum's input type.
-_GRID_LIMIT = "1e12D"
+_PARTS = ("high", "low", "double", "count", "off_grid")
 
 
 def mean_parts(value: str, prefix: str) -> list[Column]:
     """Aggregates over raw doubles from which :func:`mean_value` is taken."""
     x = quoted(value)
-    millionths = f"case when abs({x}) < {_GRID_LIMIT} then cast(round({x} * 1e6D) as bigint) end"
-    on_grid = f"({millionths}) / 1e6D = {x}"
-    return [
-        F.expr(f"sum(cast(case when {on_grid} then {millionths} end as decimal(18,0)))").alias(
-            f"{prefix}_exact"
-        ),
-        F.expr(f"sum({x})").alias(f"{prefix}_double"),
-        F.expr(f"count({x})").alias(f"{prefix}_count"),
-        F.expr(f"count_if({x} is not null and not coalesce({on_grid}, false))").alias(
-            f"{prefix}_off_grid"
-        ),
-    ]
+    millionths = f"case when abs({x}) < 1e7D then cast(rint({x} * 1e6D) as bigint) end"
+    aggregate = {
+        "high": f"sum(shiftright({millionths}, 22))",
+        "low": f"sum({millionths} & 4194303L)",
+        "double": f"sum({x})",
+        "count": f"count({x})",
+        "off_grid": f"count(if(({millionths}) / 1e6D = {x}, null, {x}))",
+    }
+    return [F.expr(aggregate[part]).alias(f"{prefix}_{part}") for part in _PARTS]
 
 
 def merge_mean_parts(prefix: str) -> list[Column]:
     """Aggregates that fold rows of parts into parts."""
-    # A roll-up row's sum has 28 digits already; summing it again must not ask
-    # for more digits than a decimal has.
-    return [
-        F.expr(f"sum(cast({prefix}_exact as decimal(28,0)))").alias(f"{prefix}_exact"),
-        *(
-            F.expr(f"sum({prefix}_{part})").alias(f"{prefix}_{part}")
-            for part in ("double", "count", "off_grid")
-        ),
-    ]
+    return [F.sum(f"{prefix}_{part}").alias(f"{prefix}_{part}") for part in _PARTS]
 
 
 def mean_value(prefix: str, digits: int | None = 2) -> Column:
     """The mean as a double; rounded half-up unless ``digits`` is None."""
     count = f"nullif({prefix}_count, 0)"
     rough = f"{prefix}_double / {count}"
+    # 4194304 is 2 to the 22.
+    total = (
+        f"(cast({prefix}_high as decimal(19,0)) * cast(4194304 as decimal(7,0))"
+        f" + cast({prefix}_low as decimal(19,0)))"
+    )
     if digits is None:
-        exact = f"cast({prefix}_exact as double) / 1e6D / {count}"
+        exact = f"cast({total} as double) / 1e6D / {count}"
     else:
         rough = f"round({rough}, {digits})"
-        total = f"cast({prefix}_exact as decimal(28,0))"
-        per_row = f"{total} / cast({count} as decimal(19,0)) / cast(1000000 as decimal(7,0))"
-        exact = f"cast(round({per_row}, {digits}) as double)"
+        unit = 10**digits
+        rows = f"cast({count} as decimal(16,0))"
+        # Integer arithmetic: half of the divisor is added, then it is divided.
+        steps = f"(abs({total}) * {2 * unit} + {rows} * 1000000) div ({rows} * 2000000)"
+        exact = f"cast(sign({total}) as double) * cast({steps} as double) / {float(unit)}D"
     return F.expr(f"case when {prefix}_off_grid = 0 then {exact} else {rough} end")

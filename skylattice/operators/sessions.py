@@ -112,41 +112,54 @@ def session_observations(
     what lies before and after a cell comes from the folded cells. ``tie_break``
     orders rows of the same aircraft and time.
     """
-    # A struct key joins NULL aircraft to themselves and serves join, window and
-    # aggregate with one partitioning.
-    cell = time_cell("time", min(cell_width(gap_seconds), ROW_CELL_SECONDS)).alias("cell")
-    rows = df.select("*", F.struct("icao24", cell).alias("_slot"))
-    aircraft = "partition by _slot.icao24 order by _slot.cell"
+    # Flat keys that are never NULL: rows without an aircraft join themselves, and
+    # one partitioning and one sort serve the window and the join.
+    keys = ("_aircraft", "_unknown", "_cell")
+    slot, aircraft = ", ".join(keys), ", ".join(keys[:2])
+    cell = time_cell("time", min(cell_width(gap_seconds), ROW_CELL_SECONDS)).alias("_cell")
+    rows = df.select(
+        *(quoted(name) for name in df.columns if name != "icao24"),
+        F.expr("coalesce(icao24, '') as _aircraft"),
+        F.expr("icao24 is null as _unknown"),
+        cell,
+    )
+    in_order = f"partition by {aircraft} order by _cell"
+    opens = _opens("_first", "_before", gap_seconds)
     borders = (
-        rows.groupBy("_slot")
+        rows.groupBy(*keys)
         .agg(F.expr("min(time) as _first"), F.expr("max(time) as _last"))
         .selectExpr(
             "*",
-            f"lag(_last) over ({aircraft}) as _before",
-            f"lead(_first) over ({aircraft}) as _after",
+            f"lag(_last) over ({in_order}) as _before",
+            f"lead(_first) over ({in_order}) as _after",
         )
         .selectExpr(
-            "_slot",
+            *keys,
             "_before",
             "_after",
-            f"sum({_opens('_first', '_before', gap_seconds)}) over "
-            f"({aircraft} rows unbounded preceding) as session_id",
+            f"sum({opens}) over ({in_order} rows unbounded preceding) as session_id",
         )
     )
     order = ", ".join(quoted(name) for name in ("time", *tie_break))
-    inside = f"partition by _slot order by {order}"
-    columns = [quoted(name) for name in df.columns]
+    inside = f"partition by {slot} order by {order}"
+    columns = [
+        "if(_unknown, null, _aircraft) as icao24" if name == "icao24" else quoted(name)
+        for name in df.columns
+    ]
     return (
-        rows.join(borders, "_slot")
+        rows.selectExpr(
+            "*", f"lag(time) over ({inside}) as _lag", f"lead(time) over ({inside}) as _lead"
+        )
+        .join(borders, list(keys))
         .select(
-            *columns,
-            F.expr(f"coalesce(lag(time) over ({inside}), _before) as previous_time"),
-            F.expr(f"coalesce(lead(time) over ({inside}), _after) as next_time"),
+            *(F.expr(column) for column in columns),
+            F.expr("coalesce(_lag, _before) as previous_time"),
+            F.expr("coalesce(_lead, _after) as next_time"),
             latest_time(df).alias("dataset_end"),
             "session_id",
         )
         .selectExpr(
-            *columns,
+            *(quoted(name) for name in df.columns),
             "previous_time",
             "next_time",
             "dataset_end",
