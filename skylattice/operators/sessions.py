@@ -110,7 +110,7 @@ def session_observations(
     Adds ``previous_time, next_time, dataset_end, new_session, session_id,
     session_closes``. Rows are ordered only inside short cells of an aircraft;
     what lies before and after a cell comes from the folded cells. ``tie_break``
-    orders rows of the same aircraft and time.
+    orders rows of the same aircraft and time. Rows must have a time.
     """
     # Flat keys that are never NULL: rows without an aircraft join themselves, and
     # one partitioning and one sort serve the window and the join.

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from datetime import date
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skylattice.functions import calendar_columns, mean_parts, time_cell
+from skylattice.functions import calendar_columns, mean_parts, seconds_between, time_cell
 from skylattice.operators.airlines import clean_airlines
+from skylattice.operators.filters import ZONE_SLACK_DAYS, on_date
 from skylattice.operators.sessions import (
     DEFAULT_GAP_SECONDS,
     build_sessions,
@@ -15,7 +19,6 @@ from skylattice.operators.sessions import (
     latest_time,
     sessions_from_cells,
 )
-from skylattice.operators.filters import on_date
 from skylattice.plans import marts
 from skylattice.plans.silver import build_silver
 from skylattice.schemas import BRONZE
@@ -109,7 +112,6 @@ def generate_all_reports(
     that day's partitions are replaced, without one the whole marts.
     """
     needed = sorted({name for columns in REPORT_COLUMNS.values() for name in columns})
-    replace = _replace_mode(run_date)
     with (
         session_zone(spark, timezone),
         scratch_table(spark, "rollup") as rollup_path,
@@ -117,19 +119,38 @@ def generate_all_reports(
     ):
         silver = read_silver(spark, source_path, needed, run_date)
         hourly_rollup(silver, session_gap).write.parquet(rollup_path)
-        rollup = spark.read.parquet(rollup_path)
-        reports, sessions = reports_from_rollup(rollup, session_gap)
-        sessions.write.parquet(sessions_path)
-        stored = spark.read.parquet(sessions_path)
-        reports["monitored_area_duration"] = marts.area_duration(stored)
-        written = {
-            name: write_table(report, f"{output_path}/{name}", replace=replace)
-            for name, report in reports.items()
-        }
-        quality = marts.session_quality(stored).first().asDict()
+        reports, sessions = reports_from_rollup(spark.read.parquet(rollup_path), session_gap)
+
+        def write(name: str, report: DataFrame) -> WriteResult:
+            return write_table(report, f"{output_path}/{name}", replace=_replace_mode(run_date))
+
+        def write_duration() -> tuple[WriteResult, dict[str, int | None]]:
+            report, quality = _stored_sessions(spark, sessions, sessions_path)
+            return write("monitored_area_duration", report), quality
+
+        # The reports are small and independent of each other: their jobs share
+        # the cluster instead of queueing.
+        with ThreadPoolExecutor(len(reports) + 1) as pool:
+            duration = pool.submit(inheritable_thread_target(spark)(write_duration))
+            pending = {
+                name: pool.submit(inheritable_thread_target(spark)(write), name, report)
+                for name, report in reports.items()
+            }
+            written = {name: future.result() for name, future in pending.items()}
+            written["monitored_area_duration"], quality = duration.result()
     return ReportRun(written, quality)
 
 
+def _stored_sessions(
+    spark: SparkSession, sessions: DataFrame, path: str, run_date: str | None = None
+) -> tuple[DataFrame, dict[str, int | None]]:
+    """Write the sessions once; take the duration report and the counters from them."""
+    sessions.write.parquet(path)
+    stored = spark.read.schema(sessions.schema).parquet(path)
+    report = marts.area_duration(on_date(stored, run_date, "entry_ts"))
+    return report, marts.session_quality(stored).first().asDict()
+
+
 def run_aircraft_activity(
     spark: SparkSession,
     source_path: str,
@@ -191,14 +212,77 @@ def run_area_duration(
     name = "monitored_area_duration"
     with session_zone(spark, timezone), scratch_table(spark, "sessions") as sessions_path:
         silver = read_silver(spark, source_path, REPORT_COLUMNS[name])
-        build_sessions(silver, session_gap).write.parquet(sessions_path)
-        stored = spark.read.parquet(sessions_path)
-        report = marts.area_duration(on_date(stored, run_date, "entry_ts"))
+        sessions = build_sessions(silver, session_gap)
+        report, quality = _stored_sessions(spark, sessions, sessions_path, run_date)
         written = write_table(report, output_path, replace=_replace_mode(run_date))
-        quality = marts.session_quality(stored).first().asDict()
     return ReportRun({name: written}, quality)
 
 
+def run_area_duration_day(
+    spark: SparkSession,
+    source_path: str,
+    output_path: str,
+    run_date: str,
+    timezone: str = "UTC",
+    session_gap: int = DEFAULT_GAP_SECONDS,
+) -> ReportRun:
+    """The same report for one entry date, reading only the days it needs.
+
+    Reading starts one gap before the date, enough to tell whether a sighting
+    opens a session, and goes on until the data read reach more than the gap past
+    the last snapshot of every session of the date: those are then complete and
+    known to be closed, whatever comes later. If some are not, twice as many days
+    are read, at most to the end of the table. There are no counters, which are
+    over the whole history.
+    """
+    name = "monitored_area_duration"
+    run_date = date.fromisoformat(run_date).isoformat()
+    with session_zone(spark, timezone):
+        silver = read_silver(spark, source_path, REPORT_COLUMNS[name])
+        days = 2
+        while True:
+            with scratch_table(spark, "sessions") as path:
+                near = _days_around(silver, run_date, days, session_gap)
+                wanted = on_date(build_sessions(near, session_gap), run_date, "entry_ts")
+                wanted.withColumn("data_end", latest_time(near)).write.parquet(path)
+                stored = spark.read.parquet(path)
+                undecided = stored.filter(
+                    f"{seconds_between('exit_ts', 'data_end')} <= {session_gap}"
+                )
+                if undecided.isEmpty() or _days_after(silver, run_date, days).isEmpty():
+                    report = marts.area_duration(stored)
+                    written = write_table(report, output_path, replace="dynamic")
+                    return ReportRun({name: written})
+            days *= 2
+
+
+def _days_around(silver: DataFrame, run_date: str, days: int, gap_seconds: int) -> DataFrame:
+    """Rows from one gap before a local date to the end of ``days`` days."""
+    start, end = _midnight(run_date, 0), _midnight(run_date, days)
+    first = F.expr(f"timestamp_seconds(cast({start} as bigint) - {gap_seconds})")
+    near = silver.filter((F.col("time") >= first) & F.expr(f"time < {end}"))
+    slack = ZONE_SLACK_DAYS + gap_seconds // 86_400 + 1
+    return near.filter(
+        f"{_FOLDER} between date_sub(date'{run_date}', {slack})"
+        f" and date_add(date'{run_date}', {days + ZONE_SLACK_DAYS})"
+    )
+
+
+def _days_after(silver: DataFrame, run_date: str, days: int) -> DataFrame:
+    return silver.filter(f"time >= {_midnight(run_date, days)}").filter(
+        f"{_FOLDER} >= date_add(date'{run_date}', {days - ZONE_SLACK_DAYS})"
+    )
+
+
+#: Day of a partition folder, a predicate that is settled at planning.
+_FOLDER = "make_date(year, month, day)"
+
+
+def _midnight(run_date: str, days: int) -> str:
+    """SQL text: local midnight so many days after a date."""
+    return f"cast(date_add(date'{run_date}', {days}) as timestamp)"
+
+
 def rebuild_silver(
     spark: SparkSession,
     bronze_path: str,

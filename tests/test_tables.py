@@ -44,8 +44,6 @@ def test_run_date_prunes_partitions_and_keeps_its_rows(spark, silver_path):
     assert "PartitionFilters: []" not in plan
     everything = spark.read.parquet(silver_path).filter("icao24 is not null")
     assert rows_of(day) == rows_of(everything.filter("to_date(time) = date'2024-01-15'"))
-    files = day.inputFiles()
-    assert files
 
 
 @pytest.mark.parametrize("zone", ["Pacific/Kiritimati", "Etc/GMT+12"])
@@ -167,6 +165,37 @@ def test_area_duration_of_one_date_sees_the_whole_history(spark, silver_path, fo
     assert full.quality == dated.quality
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/Sao_Paulo"])
+@pytest.mark.parametrize("gap", [1800, 6 * 3600, 3 * 86_400])
+def test_area_duration_day_equals_the_whole_history(spark, silver_path, folder, zone, gap):
+    """Also where sessions run for many days, past what is read at first."""
+    everything = folder()
+    jobs.run_area_duration(spark, silver_path, everything, timezone=zone, session_gap=gap)
+    expected = spark.read.parquet(everything)
+    for date in ("2024-01-02", "2024-01-15", "2024-01-29", "2024-01-30"):
+        wanted = rows_of(expected.filter(f"date = date'{date}'"))
+        out = folder()
+        run = jobs.run_area_duration_day(spark, silver_path, out, date, zone, gap)
+        assert run.written["monitored_area_duration"].rows == sum(wanted.values())
+        if wanted:
+            assert rows_of(spark.read.parquet(out)) == wanted
+
+
+def test_area_duration_day_reads_few_partitions(spark, silver_path):
+    near = jobs._days_around(read_silver(spark, silver_path), "2024-01-15", 2, 1800)
+    days = {path.split("/day=")[1].split("/")[0] for path in _scanned(near)}
+    assert days <= {str(d) for d in range(12, 21)}
+
+
+def _scanned(df):
+    """Files left after partition pruning."""
+    names = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    plan = plan_of(df)
+    assert "PartitionFilters: []" not in plan and names.size() == 1
+    rows = df.select("_metadata.file_path").distinct().collect()
+    return [r.file_path for r in rows]
+
+
 def test_job_zone_is_used_and_given_back(spark, silver_path, folder):
     out = folder()
     jobs.run_aircraft_activity(spark, silver_path, out, timezone="Asia/Tokyo")
