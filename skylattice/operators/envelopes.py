@@ -41,7 +41,7 @@ def encode_envelopes(snapshots: DataFrame, max_states: int = 5000) -> DataFrame:
         raise ValueError("max_states must be at least 1")
     poll = ("time", "_part")
     message = f"""floor((row_number() over (
-        partition by {', '.join(poll)} order by state) - 1) / {max_states})"""
+        partition by {', '.join(poll)} order by state.icao24, state.last_contact) - 1) / {max_states})"""
     numbered = snapshots.select(
         "time", F.struct(*STATE_COLUMNS).alias("state"), F.spark_partition_id().alias("_part")
     ).withColumn("_message", F.expr(message))
