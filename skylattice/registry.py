@@ -349,7 +349,7 @@ def stream_sessions(spark, sf_dir):
     silver, closed, checkpoint = (
         new_path(spark, n) for n in ("silver", "sessions", "sessions-checkpoint")
     )
-    tables.silver(spark, sf_dir).drop("event_id").write.partitionBy(*DAY_PARTITION).parquet(silver)
+    write_table(tables.silver(spark, sf_dir).drop("event_id"), silver)
     start_sessions(
         snapshot_files(spark, silver, SILVER, max_files_per_trigger=None),
         closed,
