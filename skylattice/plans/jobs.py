@@ -21,7 +21,7 @@ from skylattice.operators.sessions import (
 )
 from skylattice.plans import marts
 from skylattice.plans.silver import build_silver
-from skylattice.schemas import BRONZE
+from skylattice.schemas import BRONZE, DAY_PARTITION
 from skylattice.scratch import scratch_table
 from skylattice.session import session_zone
 from skylattice.sources import WriteResult, read_airlines, read_silver, write_table
@@ -109,7 +109,7 @@ def generate_all_reports(
 
     ``run_date`` filters the snapshots before everything, so sessions are cut at
     its midnights; :func:`run_area_duration` keeps them whole. With a date only
-    that day's partitions are replaced, without one the whole marts.
+    that day's partition is replaced, without one the whole marts.
     """
     needed = sorted({name for columns in REPORT_COLUMNS.values() for name in columns})
     with (
@@ -117,12 +117,13 @@ def generate_all_reports(
         scratch_table(spark, "rollup") as rollup_path,
         scratch_table(spark, "sessions") as sessions_path,
     ):
+        run_date = _iso_date(spark, run_date)
         silver = read_silver(spark, source_path, needed, run_date)
         hourly_rollup(silver, session_gap).write.parquet(rollup_path)
         reports, sessions = reports_from_rollup(spark.read.parquet(rollup_path), session_gap)
 
         def write(name: str, report: DataFrame) -> WriteResult:
-            return write_table(report, f"{output_path}/{name}", replace=_replace_mode(run_date))
+            return _write_report(report, f"{output_path}/{name}", run_date)
 
         def write_duration() -> tuple[WriteResult, dict[str, int | None]]:
             report, quality = _stored_sessions(spark, sessions, sessions_path)
@@ -211,10 +212,11 @@ def run_area_duration(
     """
     name = "monitored_area_duration"
     with session_zone(spark, timezone), scratch_table(spark, "sessions") as sessions_path:
+        run_date = _iso_date(spark, run_date)
         silver = read_silver(spark, source_path, REPORT_COLUMNS[name])
         sessions = build_sessions(silver, session_gap)
         report, quality = _stored_sessions(spark, sessions, sessions_path, run_date)
-        written = write_table(report, output_path, replace=_replace_mode(run_date))
+        written = _write_report(report, output_path, run_date)
     return ReportRun({name: written}, quality)
 
 
@@ -236,8 +238,8 @@ def run_area_duration_day(
     over the whole history.
     """
     name = "monitored_area_duration"
-    run_date = date.fromisoformat(run_date).isoformat()
     with session_zone(spark, timezone):
+        run_date = _iso_date(spark, run_date)
         silver = read_silver(spark, source_path, REPORT_COLUMNS[name])
         days = 2
         while True:
@@ -251,8 +253,7 @@ def run_area_duration_day(
                 )
                 if undecided.isEmpty() or _days_after(silver, run_date, days).isEmpty():
                     report = marts.area_duration(stored)
-                    written = write_table(report, output_path, replace="dynamic")
-                    return ReportRun({name: written})
+                    return ReportRun({name: _write_report(report, output_path, run_date)})
             days *= 2
 
 
@@ -305,11 +306,29 @@ def _snapshot_report(
     spark, name, build, source_path, output_path, run_date, timezone, columns=None
 ) -> ReportRun:
     with session_zone(spark, timezone):
+        run_date = _iso_date(spark, run_date)
         silver = read_silver(spark, source_path, columns or REPORT_COLUMNS[name], run_date)
-        written = write_table(build(silver), output_path, replace=_replace_mode(run_date))
+        written = _write_report(build(silver), output_path, run_date)
     return ReportRun({name: written})
 
 
-def _replace_mode(run_date: str | None) -> str:
-    """One date must not erase the others."""
-    return "dynamic" if run_date else "static"
+def _write_report(report: DataFrame, path: str, run_date: str | None) -> WriteResult:
+    """Replace the whole mart, or with a date that day and no other."""
+    if not run_date:
+        return write_table(report, path)
+    result = write_table(report, path, replace="dynamic")
+    if result.rows == 0:
+        # Nothing replaces the day's old rows then; an empty file does.
+        day = date.fromisoformat(run_date)
+        nothing = report.sparkSession.createDataFrame([], report.drop(*DAY_PARTITION).schema)
+        nothing.write.mode("overwrite").parquet(
+            f"{path}/year={day.year}/month={day.month}/day={day.day}"
+        )
+    return result
+
+
+def _iso_date(spark: SparkSession, run_date: str | None) -> str | None:
+    """A date in any form Spark reads, as ``yyyy-MM-dd``; an error if it is none."""
+    if not run_date:
+        return None
+    return spark.sql("select cast(to_date(:day) as string) as day", {"day": run_date}).first().day

@@ -24,9 +24,8 @@ def shared_folder(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="skylattice-")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="skylattice-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def new_path(spark: SparkSession, purpose: str) -> str:
