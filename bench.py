@@ -94,7 +94,7 @@ def stored_cases(spark: SparkSession, sf_dir: str) -> dict:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     spark = build_bench_session(cpus)
     cases = {
         name: (lambda query=registry.QUERIES[name]: query(spark, sf_dir)) for name in DERIVED

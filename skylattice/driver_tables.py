@@ -1,4 +1,4 @@
-"""The pipeline's own tables derived from the general test tables.
+"""The library's own tables derived from the general test tables.
 
 ``events`` gives aircraft snapshots and ``customer`` gives airlines. Everything
 is computed from whole tables inside Spark; constants only shape the values.
@@ -27,7 +27,8 @@ TABLE_SCHEMAS = {
 }
 
 #: Call-sign prefixes by ``user_id % 6``.
-_PREFIX = "element_at(array('aut', 'BUI', 'Fur', 'HOU', 'MAC', 'ZZZ'), cast(user_id % 6 + 1 as int))"
+_PREFIX = """element_at(
+    array('aut', 'BUI', 'Fur', 'HOU', 'MAC', 'ZZZ'), cast(user_id % 6 + 1 as int))"""
 
 _BRONZE_VALUES = {
     "time": "cast(cast(ts as timestamp) as bigint) + delay",
@@ -74,9 +75,11 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_airlines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "customer").selectExpr(
-        *(f"cast({_AIRLINE_VALUES.get(name, 'null')} as string) as `{name}`" for name in AIRLINE_COLUMNS)
-    )
+    columns = [
+        f"cast({_AIRLINE_VALUES.get(name, 'null')} as string) as `{name}`"
+        for name in AIRLINE_COLUMNS
+    ]
+    return table(spark, sf_dir, "customer").selectExpr(*columns)
 
 
 def airlines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -40,11 +40,11 @@ def encode_envelopes(snapshots: DataFrame, max_states: int = 5000) -> DataFrame:
     if max_states < 1:
         raise ValueError("max_states must be at least 1")
     poll = ("time", "_part")
-    message = f"""floor((row_number() over (
-        partition by {', '.join(poll)} order by state.icao24, state.last_contact) - 1) / {max_states})"""
+    order = "order by state.icao24, state.last_contact"
+    number = f"row_number() over (partition by {', '.join(poll)} {order})"
     numbered = snapshots.select(
         "time", F.struct(*STATE_COLUMNS).alias("state"), F.spark_partition_id().alias("_part")
-    ).withColumn("_message", F.expr(message))
+    ).withColumn("_message", F.expr(f"floor(({number} - 1) / {max_states})"))
     return (
         numbered.groupBy(*poll, "_message")
         .agg(F.collect_list("state").alias("states"))

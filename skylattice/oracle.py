@@ -87,7 +87,8 @@ gold as (
 
 
 def _ymd(date: str = '"date"') -> str:
-    return ", ".join(f'cast({part}({date}) as integer) as "{part}"' for part in ("year", "month", "day"))
+    parts = ("year", "month", "day")
+    return ", ".join(f'cast({part}({date}) as integer) as "{part}"' for part in parts)
 
 
 def _with(*parts: str, final: str) -> str:
