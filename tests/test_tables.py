@@ -261,6 +261,31 @@ def test_scratch_uses_the_configured_folder_and_cleans_up(spark):
     assert not Path(path).exists()
 
 
+class _Session:
+    """Just what the folder lookup asks a session for."""
+
+    def __init__(self, master, configured=None, checkpoint_dir=None):
+        self.conf = {"spark.checkpoint.dir": configured} if configured else {}
+        self.sparkContext = self
+        self.master = master
+        self.checkpoint_dir = checkpoint_dir
+
+    def getCheckpointDir(self):
+        return self.checkpoint_dir
+
+    def setCheckpointDir(self, folder):
+        self.checkpoint_dir = folder
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch.shared_folder(_Session("yarn"))
+    assert scratch.shared_folder(_Session("yarn", configured="s3a://b/x/")) == "s3a://b/x"
+    assert scratch.shared_folder(_Session("yarn", checkpoint_dir="hdfs:/x")) == "hdfs:/x"
+    local = _Session("local[2]")
+    assert scratch.shared_folder(local) == local.checkpoint_dir
+
+
 # --- topic --------------------------------------------------------------------
 
 
