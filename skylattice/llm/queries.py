@@ -45,3 +45,7 @@ window w as (partition by content order by length(text) desc, doc_id nulls last)
 @query
 def op8_golay_simhash(spark, sf_dir):
     return near_duplicate_classes(read(spark, sf_dir, "documents"))
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(ORACLE_SQL)
