@@ -34,7 +34,8 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of all nodes that have an edge; the root is the smallest node."""
-    edges = edges.toDF("a", "b").filter("a <> b")
+    # Each step reads the edges several times.
+    edges = store(edges.toDF("a", "b").filter("a <> b"), "edges")
     before = None
     while True:
         edges = store(_small_star(_large_star(edges)), "star")
