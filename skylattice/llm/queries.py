@@ -4,23 +4,81 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from skylattice.llm.common import read, store
+from skylattice.llm import licence_scan
+from skylattice.llm.common import read
+from skylattice.llm.decontaminate import find_leaks
 from skylattice.llm.exact_dedup import exact_groups
+from skylattice.llm.html_text import extract_text
+from skylattice.llm.line_dedup import repeated_lines
+from skylattice.llm.mixing import mix_sources
+from skylattice.llm.packing import pack_tokens
 from skylattice.llm.simhash import near_duplicate_classes
+from skylattice.llm.substring_dedup import remove_repeats
+from skylattice.llm.toxicity import fit, score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
 
+#: The test tables name no domain; sources fall into four by the end of their name.
+DOMAINS = 4
+#: Weights by path in the tree (domain, language, source); all others are 1.
+MIX_WEIGHTS = {
+    ("domain0",): 2.0,
+    ("domain1",): 1.0,
+    ("domain2",): 1.0,
+    ("domain3",): 0.5,
+    ("domain0", "en"): 2.0,
+    ("domain1", "en"): 2.0,
+}
+#: Tokens of the mix as a share of the tokens there are.
+MIX_SHARE = 0.6
+
 
 def query(function: Query) -> Query:
     QUERIES[function.__name__] = function
     return function
 
 
+def domain() -> Column:
+    number = F.expr("try_cast(regexp_extract(source, '([0-9]+)$', 1) as long)")
+    of = F.pmod(F.coalesce(number, F.lit(0)), F.lit(DOMAINS))
+    return F.concat(F.lit("domain"), of.cast("string"))
+
+
+@query
+def op1_cgk_decontamination(spark, sf_dir):
+    return find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query
+def op2_anchor_substring_dedup(spark, sf_dir):
+    return remove_repeats(read(spark, sf_dir, "documents"))
+
+
+@query
+def op3_deletion_line_dedup(spark, sf_dir):
+    return repeated_lines(read(spark, sf_dir, "documents"))
+
+
+@query
+def op4_conv_toxicity(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    return score_toxicity(docs, fit(docs, read(spark, sf_dir, "labels")))
+
+
+@query
+def op5_hierarchical_mixing(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    mixed = mix_sources(
+        docs, MIX_SHARE, (domain(), "lang", "source"), MIX_WEIGHTS, total_is_share=True
+    )
+    return mixed.select("doc_id", "lang", "source", F.col("_epoch").alias("epoch"))
+
+
 @query
 def op6_grace_exact_dedup(spark, sf_dir):
     return exact_groups(read(spark, sf_dir, "documents"))
@@ -42,10 +100,28 @@ window w as (partition by content order by length(text) desc, doc_id nulls last)
 """
 
 
+@query
+def op7_licence_digests(spark, sf_dir):
+    return licence_scan.scan_licences(read(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL["op7_licence_digests"] = licence_scan.oracle_sql()
+
+
 @query
 def op8_golay_simhash(spark, sf_dir):
     return near_duplicate_classes(read(spark, sf_dir, "documents"))
 
 
+@query
+def op9_packed_token_ids(spark, sf_dir):
+    return pack_tokens(read(spark, sf_dir, "documents"))
+
+
+@query
+def op10_path_ratio_text(spark, sf_dir):
+    return extract_text(read(spark, sf_dir, "pages"))
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE_SQL)

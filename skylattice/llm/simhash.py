@@ -1,18 +1,24 @@
 """Near-duplicate classes by SimHash fingerprints and Golay-code fuzzy hashing.
 
-A 64-bit fingerprint is cut into three segments of 22, 21 and 21 bits. The perfect
-binary Golay code of length 23 gives every segment its nearest codeword (at most 3
-bits away) and, when that one is 3 bits away, the five codewords at 4 bits. If x and
-y differ in one bit, the nearest codeword of x is among the six of y.
-
-Three differing bits over three segments leave two segments with at most one each.
-For every pair (s, t) of segments a fingerprint therefore gives the keys
-(nearest codeword of s, any of t) and (any of s, nearest of t): whatever pair of
-segments is the good one, two fingerprints that link share a 24-bit key. This loses
-no link. Keys are joined by a sort on the key, candidates are verified by the exact
-number of differing bits, and each key's group passes on the edges of a spanning
-forest of its links instead of all pairs. Only distinct fingerprints take part;
-copies of a text are folded into one beforehand.
+A fingerprint is cut into segments of at most 23 bits. The perfect binary Golay code of
+length 23 gives every segment its nearest codeword (at most 3 bits away) and, when that
+one is 3 bits away, the five codewords at 4 bits. If x and y differ in one bit, the
+nearest codeword of x is among the six of y; if they differ in two or three it often is.
+
+For a pair (s, t) of segments a fingerprint gives the keys (nearest codeword of s, any of
+t) and (any of s, nearest of t), 24 bits each. Keys are joined by a sort on the key,
+candidates are verified by the number of differing bits, and each key's group passes on
+the edges of a spanning forest of its links instead of all pairs. Only distinct
+fingerprints take part; copies of a text are folded into one beforehand.
+
+``THREE_BITS``: 64 bits, at most 3 of which differ, segments of 22, 21 and 21 bits. Three
+errors over three segments leave two with at most one each, so with all three pairs no
+link is lost.
+
+``SIMILAR``: 256 bits over five-word shingles for a Jaccard similarity of 0.8 or more,
+where about 15 % of the bits differ. Eleven segments and eight pairs of them find such
+links with a high probability instead of surely; the recall measured against brute force
+is in ``tests/llm/test_simhash.py``.
 
 Defined results: null texts are empty; a text without words has fingerprint zero and
 links like any other. ``component_id`` is the smallest non-null ``doc_id`` of the
@@ -22,6 +28,7 @@ component. Repeated rows give repeated rows. Other columns are not looked at.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +38,7 @@ from pyspark.sql import DataFrame, functions as F
 from skylattice.llm.common import (
     encoded,
     groups_of,
+    mix,
     shuffle_width,
     store,
     text_pieces,
@@ -38,59 +46,97 @@ from skylattice.llm.common import (
 )
 from skylattice.llm.components import components
 
-SHINGLE_WORDS = 3
-MAX_BITS = 3
 
-_SEGMENTS = ((0, 22), (22, 21), (43, 21))
-_SEGMENT_PAIRS = ((0, 1), (0, 2), (1, 2))
+@dataclass(frozen=True)
+class Scheme:
+    """How texts become fingerprints, keys and links."""
+
+    shingle_words: int
+    words: int
+    max_bits: int
+    segments: tuple[tuple[int, int], ...]
+    pairs: tuple[tuple[int, int], ...]
+
+
+THREE_BITS = Scheme(
+    shingle_words=3,
+    words=1,
+    max_bits=3,
+    segments=((0, 22), (22, 21), (43, 21)),
+    pairs=((0, 1), (0, 2), (1, 2)),
+)
+SIMILAR = Scheme(
+    shingle_words=5,
+    words=4,
+    max_bits=43,
+    segments=tuple((23 * i, 23) for i in range(11)),
+    pairs=tuple((i, (i + 1) % 11) for i in range(0, 11, 2)) + ((1, 4), (3, 6)),
+)
 
 # x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1 generates the code.
 _GENERATOR = 0b110001110101
 _HASH_SEED = 42
 #: Shingles whose bits are counted at a time.
-_BIT_ROWS = 1 << 15
+_BIT_ROWS = 1 << 13
 
 
 # --- fingerprints -----------------------------------------------------------------
 
 
-def fingerprint(text: bytes, width: int = SHINGLE_WORDS) -> int:
-    """Bit k is 1 if it is set in over half of the shingles' hashes."""
+def fingerprint(text: bytes, scheme: Scheme = THREE_BITS) -> np.ndarray:
+    """Bit k is 1 if it is set in over half of the shingles' hashes; 64-bit words.
+
+    The first word is of the shingles' XXH64, the others of its further mixing.
+    """
     words = text.lower().split()  # bytes: A-Z only, and ASCII white space
     if not words:
-        return 0
+        return np.zeros(scheme.words, dtype=np.uint64)
     joined = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
-    span = min(width, len(words))
+    span = min(scheme.shingle_words, len(words))
     starts = np.concatenate([[0], ends[:-1] + 1])[: len(words) - span + 1].tolist()
     ends = ends[span - 1 :].tolist()
     of = xxhash.xxh64_intdigest
-    ones = np.zeros(64, dtype=np.int64)
+    ones = np.zeros(64 * scheme.words, dtype=np.int64)
     for at in range(0, len(starts), _BIT_ROWS):
         part = slice(at, at + _BIT_ROWS)
         hashes = np.array(
             [of(joined[a:b], _HASH_SEED) for a, b in zip(starts[part], ends[part], strict=True)],
             dtype="<u8",
         )
-        bits = np.unpackbits(hashes.view(np.uint8), bitorder="little").reshape(-1, 64)
+        rows = [hashes]
+        for number in range(1, scheme.words):
+            rows.append(mix(hashes + np.uint64(number)))
+        bits = np.unpackbits(np.stack(rows, axis=1).view(np.uint8), axis=1, bitorder="little")
         ones += bits.sum(axis=0, dtype=np.int32)
-    return int(np.packbits(2 * ones > len(starts), bitorder="little").view("<u8")[0])
+    return np.packbits(2 * ones > len(starts), bitorder="little").view("<u8")
 
 
-def fingerprints(docs: DataFrame, width: int = SHINGLE_WORDS) -> DataFrame:
-    """doc_id and the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, scheme: Scheme = THREE_BITS) -> DataFrame:
+    """doc_id and the fingerprint, 8 little-endian bytes for each word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_pieces(batches):
-            prints = np.array(
-                [fingerprint(x, width) for x in encoded(batch.column("text"))], dtype=np.uint64
-            )
+            prints = [fingerprint(x, scheme).tobytes() for x in encoded(batch.column("text"))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(prints.view(np.int64))], ["doc_id", "fp"]
+                [batch.column("doc_id"), pa.array(prints, pa.binary())], ["doc_id", "fp"]
             )
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    return rows.mapInArrow(run, "doc_id long, fp binary")
+
+
+def _matrix(column: pa.Array | pa.ChunkedArray, words: int) -> np.ndarray:
+    """Fingerprints of a column as rows of unsigned 64-bit words."""
+    return np.frombuffer(b"".join(column.to_pylist()), dtype="<u8").reshape(-1, words)
+
+
+def _segment(prints: np.ndarray, at: int, n: int) -> np.ndarray:
+    word, shift = divmod(at, 64)
+    out = prints[:, word] >> np.uint64(shift)
+    if shift + n > 64:
+        out = out | (prints[:, word + 1] << np.uint64(64 - shift))
+    return (out & np.uint64((1 << n) - 1)).astype(np.int64)
 
 
 # --- Golay keys -------------------------------------------------------------------
@@ -143,59 +189,69 @@ def golay() -> Golay:
     return _GOLAY[0]
 
 
-def fuzzy_keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(keys, index of the fingerprint) for unsigned fingerprints."""
-    segments = [
-        golay().keys(((prints >> np.uint64(at)) & np.uint64((1 << n) - 1)).astype(np.int64))
-        for at, n in _SEGMENTS
-    ]
+def fuzzy_keys(prints: np.ndarray, scheme: Scheme) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, index of the fingerprint) for fingerprints in rows."""
+    segments = [golay().keys(_segment(prints, at, n)) for at, n in scheme.segments]
     keys, owners = [], []
-    for number, (s, t) in enumerate(_SEGMENT_PAIRS):
+    for number, (s, t) in enumerate(scheme.pairs):
         first, second = segments[s], segments[t]
-        for x, y in ((first[:, :1], second), (first[:, 1:], second[:, :1])):
+        for x, y, n in ((first[:, :1], second, 6), (first[:, 1:], second[:, :1], 5)):
             there = ((x >= 0) & (y >= 0)).ravel()
             keys.append(((number << 24) | (x << 12) | y).ravel()[there])
-            owners.append(np.repeat(np.arange(len(prints)), 6 if y is second else 5)[there])
+            owners.append(np.repeat(np.arange(len(prints)), n)[there])
     return np.concatenate(keys), np.concatenate(owners)
 
 
-def _emit_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for at in range(0, batch.num_rows, 50_000):
-            prints = batch.column("fp").slice(at, 50_000).to_numpy(zero_copy_only=False)
-            keys, owners = fuzzy_keys(prints.view(np.uint64))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.astype(np.int32)), pa.array(prints[owners])], ["key", "fp"]
-            )
+def _emit_keys(scheme: Scheme):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 20_000):
+                part = batch.slice(at, 20_000)
+                keys, owners = fuzzy_keys(_matrix(part.column("fp"), scheme.words), scheme)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(keys.astype(np.int32)),
+                        part.column("node").take(pa.array(owners)),
+                        part.column("fp").take(pa.array(owners)),
+                    ],
+                    ["key", "node", "fp"],
+                )
+
+    return run
 
 
 # --- links ------------------------------------------------------------------------
 
 
+def _differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int64)
+
+
 def _forest(prints: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Edges of a spanning forest of the links among ``prints``."""
+    """Edges, as row numbers, of a spanning forest of the links among ``prints``."""
     a, b = [], []
-    rest = prints
+    rest = np.arange(len(prints))
     while len(rest):
         frontier, rest = [rest[0]], rest[1:]
         while frontier and len(rest):
             x = frontier.pop()
-            linked = np.bitwise_count(rest ^ x) <= max_bits
+            linked = _differing(prints[rest], prints[x]) <= max_bits
             if linked.any():
                 reached = rest[linked]
                 rest = rest[~linked]
                 a.append(np.full(len(reached), x))
                 b.append(reached)
-                frontier.extend(reached)
+                frontier.extend(reached.tolist())
     if not a:
-        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint64)
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
     return np.concatenate(a), np.concatenate(b)
 
 
-def _emit_links(max_bits: int, small: int = 4):
+def _emit_links(scheme: Scheme, small: int = 4):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, "key"):
-            prints = table.column("fp").to_numpy().view(np.uint64)
+            prints = _matrix(table.column("fp"), scheme.words)
+            nodes = table.column("node").to_numpy()
             begins, sizes = groups_of(table.column("key").to_numpy())
             a, b = [], []
             few = begins[(sizes > 1) & (sizes <= small)]
@@ -203,15 +259,14 @@ def _emit_links(max_bits: int, small: int = 4):
             for i in range(small):
                 for j in range(i + 1, small):
                     at = few[counts > j]
-                    x, y = prints[at + i], prints[at + j]
-                    near = np.bitwise_count(x ^ y) <= max_bits
-                    a.append(x[near])
-                    b.append(y[near])
+                    near = _differing(prints[at + i], prints[at + j]) <= scheme.max_bits
+                    a.append(at[near] + i)
+                    b.append(at[near] + j)
             for begin, size in zip(begins[sizes > small], sizes[sizes > small], strict=True):
-                x, y = _forest(np.unique(prints[begin : begin + size]), max_bits)
-                a.append(x)
-                b.append(y)
-            pairs = np.stack([np.concatenate(a), np.concatenate(b)]).view(np.int64)
+                x, y = _forest(prints[begin : begin + size], scheme.max_bits)
+                a.append(x + begin)
+                b.append(y + begin)
+            pairs = np.stack([nodes[np.concatenate(a)], nodes[np.concatenate(b)]])
             pairs = np.unique(np.sort(pairs[:, pairs[0] != pairs[1]], axis=0), axis=1)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"]
@@ -220,28 +275,46 @@ def _emit_links(max_bits: int, small: int = 4):
     return run
 
 
-def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """Pairs (a, b) of distinct fingerprints whose components are those of all links."""
-    if not 0 <= max_bits <= MAX_BITS:
-        raise ValueError(f"the keys find links of at most {MAX_BITS} bits")
-    width = shuffle_width(prints.sparkSession)
-    keyed = prints.select("fp").mapInArrow(_emit_keys, "key int, fp long")
+def links(nodes: DataFrame, scheme: Scheme = THREE_BITS) -> DataFrame:
+    """Pairs (a, b) of nodes (node, fp) whose components are those of all links found."""
+    width = shuffle_width(nodes.sparkSession)
+    keyed = nodes.select("node", "fp").mapInArrow(
+        _emit_keys(scheme), "key int, node long, fp binary"
+    )
     dealt = keyed.repartition(width, "key").sortWithinPartitions("key")
-    return dealt.mapInArrow(_emit_links(max_bits), "a long, b long").distinct()
-
-
-def near_duplicate_classes(
-    docs: DataFrame, width: int = SHINGLE_WORDS, max_bits: int = MAX_BITS
-) -> DataFrame:
-    """One row per document: doc_id, fingerprint (16 hex digits), component_id."""
-    printed = store(fingerprints(docs, width), "fingerprints")
-    nodes = store(printed.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
-    stars = components(links(nodes, max_bits))
-    rooted = nodes.join(stars, F.col("fp") == F.col("node"), "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
+    return dealt.mapInArrow(_emit_links(scheme), "a long, b long").distinct()
+
+
+def near_duplicate_classes(docs: DataFrame, scheme: Scheme = THREE_BITS) -> DataFrame:
+    """One row per document: doc_id, fingerprint in hex, component_id."""
+    printed = store(fingerprints(docs, scheme), "fingerprints")
+    # Distinct fingerprints are the nodes; they are few bytes, and numbered once.
+    nodes = store(
+        printed.groupBy("fp")
+        .agg(F.min("doc_id").alias("least"))
+        .withColumn("node", F.monotonically_increasing_id()),
+        "nodes",
     )
+    stars = components(links(nodes, scheme))
+    rooted = nodes.withColumnRenamed("node", "own").join(
+        stars, F.col("own") == F.col("node"), "left"
+    ).select("fp", "least", F.coalesce("root", "own").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = rooted.join(least, "root").select("fp", "component_id")
+    # The first word's most significant byte comes first.
+    shown = F.hex(F.reverse(F.col("fp"))) if scheme.words == 1 else F.hex("fp")
     return printed.join(classes, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+        "doc_id", F.lower(shown).alias("fingerprint"), "component_id"
     )
+
+
+def drop_near_duplicates(docs: DataFrame, scheme: Scheme = SIMILAR) -> DataFrame:
+    """Of each class the row with the smallest ``doc_id``, with all columns.
+
+    Rows without a ``doc_id`` stay; of rows that repeat a ``doc_id`` one stays.
+    """
+    classes = near_duplicate_classes(docs, scheme)
+    stay = classes.filter("doc_id = component_id").select(F.col("doc_id").alias("_stay"))
+    named = docs.filter(F.col("doc_id").isNotNull())
+    kept = named.join(stay, F.col("doc_id") == F.col("_stay"), "left_semi")
+    return kept.dropDuplicates(["doc_id"]).unionByName(docs.filter(F.col("doc_id").isNull()))
