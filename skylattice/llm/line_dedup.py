@@ -210,7 +210,7 @@ def repeated_lines(
         ),
         "lines",
     )
-    long = distinct.filter(F.col("n") >= least_words - 1)
+    long = distinct.filter(F.col("n") >= least_words)
     halves = long.select("line_id", "text").mapInArrow(_halves, "key long, line_id long")
     shared = (
         halves.groupBy("key")
@@ -249,13 +249,10 @@ def repeated_lines(
         .agg(F.min("partner").alias("partner"))
         .select("line_id", F.col("partner.line_id").alias("other_id"))
     )
-    texts = distinct.select(
-        F.col("line_id").alias("other_id"), F.col("text").alias("other"), F.col("n").alias("m")
-    )
+    texts = distinct.select(F.col("line_id").alias("other_id"), F.col("text").alias("other"))
     checked = (
-        earliest.join(distinct.select("line_id", "text", "n"), "line_id")
+        earliest.join(distinct.select("line_id", "text"), "line_id")
         .join(texts, "other_id")
-        .filter((F.col("n") >= least_words) & (F.col("m") >= least_words))
         .select("line_id", "text", "other")
         .mapInArrow(_verify, "line_id long")
         .withColumn("gone", F.lit(True))

@@ -14,7 +14,8 @@ by row. The number of ranges follows the number of rows, so a leaf with a third
 rows is read by as many tasks as its size asks for.
 
 Defined results: a null group value is a value of its own. Null and empty texts have no
-tokens; such rows come with every whole epoch and with a prefix that reaches them. Rows
+tokens; such rows come with every whole epoch and with a prefix that reaches them (a budget
+of whole epochs has no prefix). Rows
 that are alike in all respects share a place in the order and are taken as they are met.
 Repeated rows count as rows. With nothing to choose from the result is empty. A leaf
 without a weight has weight 1; a weight of 0 takes nothing unless all siblings are 0.
@@ -198,7 +199,8 @@ def mix_sources(
     rest = placed.filter(~at_end).withColumn(
         "_mix_in", F.coalesce(F.col("_mix_range") < F.col("_mix_end"), F.lit(True))
     )
-    times = F.col("_mix_whole") + F.col("_mix_in").cast("int")
+    prefix = F.col("_mix_in") & (F.col("_mix_rest") > 0)
+    times = F.col("_mix_whole") + prefix.cast("int")
     chosen = rest.unionByName(edge).filter(times > 0)
     out = chosen.withColumn("_epoch", F.explode(F.sequence(F.lit(0), times - 1)))
     return out.select(*(F.col(f"`{c}`") for c in docs.columns), "_epoch")

@@ -74,33 +74,34 @@ class Tokenizer:
 
     def _reset(self) -> None:
         self.known: dict[str, int] = {}
-        self.ids: list[int] = []
-        self.ends: list[int] = [0]
-        self.table: tuple[np.ndarray, np.ndarray] | None = None
+        self.ids = np.empty(1 << 16, dtype=self.dtype)
+        self.ends = np.zeros(1 << 14, dtype=np.int64)
+
+    def _learn(self, stretches: list[str]) -> None:
+        """Add new stretches; the arrays double, so each id is moved a few times at most."""
+        coded = [self.encoding.encode_ordinary(x) for x in stretches]
+        n, used = len(self.known), int(self.ends[len(self.known)])
+        added = np.cumsum([len(x) for x in coded])
+        while used + added[-1] > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
+        while n + len(coded) + 1 > len(self.ends):
+            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
+        self.ids[used : used + added[-1]] = [i for x in coded for i in x]
+        self.ends[n + 1 : n + 1 + len(coded)] = used + added
+        for number, stretch in enumerate(stretches):
+            self.known[stretch] = n + number
 
     def encode(self, text: str) -> np.ndarray:
         if len(self.known) > _CACHE:
             self._reset()
-        known, places = self.known, []
-        for stretch in _STRETCH.findall(text):
-            place = known.get(stretch)
-            if place is None:
-                place = known[stretch] = len(known)
-                self.ids += self.encoding.encode_ordinary(stretch)
-                self.ends.append(len(self.ids))
-                self.table = None
-            places.append(place)
-        if self.table is None:
-            self._grow()
-        ids, ends = self.table
-        at = np.array(places, dtype=np.int64)
-        starts, counts = ends[at], ends[at + 1] - ends[at]
+        stretches = _STRETCH.findall(text)
+        known = self.known
+        if new := [x for x in dict.fromkeys(stretches) if x not in known]:
+            self._learn(new)
+        at = np.fromiter((known[x] for x in stretches), dtype=np.int64, count=len(stretches))
+        starts, counts = self.ends[at], self.ends[at + 1] - self.ends[at]
         offsets = np.cumsum(counts) - counts
-        total = int(counts.sum())
-        return ids[np.arange(total) + np.repeat(starts - offsets, counts)]
-
-    def _grow(self) -> None:
-        self.table = (np.array(self.ids, dtype=self.dtype), np.array(self.ends, dtype=np.int64))
+        return self.ids[np.arange(counts.sum()) + np.repeat(starts - offsets, counts)]
 
 
 class Capacities:

@@ -6,7 +6,7 @@ one is 3 bits away, the five codewords at 4 bits. If x and y differ in one bit,
 nearest codeword of x is among the six of y; if they differ in two or three it often is.
 
 For a pair (s, t) of segments a fingerprint gives the keys (nearest codeword of s, any of
-t) and (any of s, nearest of t), 24 bits each. Keys are joined by a sort on the key,
+t) and (any of s, nearest of t), 24 bits each; ``every`` adds (any of s, any of t). Keys are joined by a sort on the key,
 candidates are verified by the number of differing bits, and each key's group passes on
 the edges of a spanning forest of its links instead of all pairs. Only distinct
 fingerprints take part; copies of a text are folded into one beforehand.
@@ -16,9 +16,10 @@ errors over three segments leave two with at most one each, so with all three pa
 link is lost.
 
 ``SIMILAR``: 256 bits over five-word shingles for a Jaccard similarity of 0.8 or more,
-where about 15 % of the bits differ. Eleven segments and eight pairs of them find such
-links with a high probability instead of surely; the recall measured against brute force
-is in ``tests/llm/test_simhash.py``.
+where about 15 % of the bits differ. Six pairs out of eleven segments, with every key, find
+such links with a high probability instead of surely: 0.86 at a similarity of exactly 0.8,
+0.95 at 0.84, 0.99 from 0.87 on (simulated; ``tests/llm/test_simhash.py`` has the recall
+against brute force).
 
 Defined results: null texts are empty; a text without words has fingerprint zero and
 links like any other. ``component_id`` is the smallest non-null ``doc_id`` of the
@@ -56,6 +57,7 @@ class Scheme:
     max_bits: int
     segments: tuple[tuple[int, int], ...]
     pairs: tuple[tuple[int, int], ...]
+    every: bool = False
 
 
 THREE_BITS = Scheme(
@@ -68,9 +70,10 @@ THREE_BITS = Scheme(
 SIMILAR = Scheme(
     shingle_words=5,
     words=4,
-    max_bits=43,
+    max_bits=47,
     segments=tuple((23 * i, 23) for i in range(11)),
-    pairs=tuple((i, (i + 1) % 11) for i in range(0, 11, 2)) + ((1, 4), (3, 6)),
+    pairs=tuple((i, (i + 1) % 11) for i in range(0, 11, 2)),
+    every=True,
 )
 
 # x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1 generates the code.
@@ -195,7 +198,11 @@ def fuzzy_keys(prints: np.ndarray, scheme: Scheme) -> tuple[np.ndarray, np.ndarr
     keys, owners = [], []
     for number, (s, t) in enumerate(scheme.pairs):
         first, second = segments[s], segments[t]
-        for x, y, n in ((first[:, :1], second, 6), (first[:, 1:], second[:, :1], 5)):
+        if scheme.every:
+            parts = ((np.repeat(first, 6, axis=1), np.tile(second, (1, 6)), 36),)
+        else:
+            parts = ((first[:, :1], second, 6), (first[:, 1:], second[:, :1], 5))
+        for x, y, n in parts:
             there = ((x >= 0) & (y >= 0)).ravel()
             keys.append(((number << 24) | (x << 12) | y).ravel()[there])
             owners.append(np.repeat(np.arange(len(prints)), n)[there])
@@ -205,8 +212,8 @@ def fuzzy_keys(prints: np.ndarray, scheme: Scheme) -> tuple[np.ndarray, np.ndarr
 def _emit_keys(scheme: Scheme):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 20_000):
-                part = batch.slice(at, 20_000)
+            for at in range(0, batch.num_rows, 4_000):
+                part = batch.slice(at, 4_000)
                 keys, owners = fuzzy_keys(_matrix(part.column("fp"), scheme.words), scheme)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -301,10 +308,10 @@ def near_duplicate_classes(docs: DataFrame, scheme: Scheme = THREE_BITS) -> Data
     ).select("fp", "least", F.coalesce("root", "own").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = rooted.join(least, "root").select("fp", "component_id")
-    # The first word's most significant byte comes first.
-    shown = F.hex(F.reverse(F.col("fp"))) if scheme.words == 1 else F.hex("fp")
+    # The most significant byte is shown first.
+    digits = [F.substring(F.hex("fp"), at, 2) for at in range(16 * scheme.words - 1, 0, -2)]
     return printed.join(classes, "fp").select(
-        "doc_id", F.lower(shown).alias("fingerprint"), "component_id"
+        "doc_id", F.lower(F.concat(*digits)).alias("fingerprint"), "component_id"
     )
 
 

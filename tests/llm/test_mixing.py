@@ -1,0 +1,100 @@
+import random
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from skylattice.llm.mixing import budgets, mix_sources, share_out
+from skylattice.llm.queries import DOMAINS, MIX_SHARE, MIX_WEIGHTS, QUERIES
+from tests.llm.helpers import AWKWARD, docs, words
+
+SF_DIR = "/root/testdata/sf0.01"
+
+
+def test_shortage_goes_to_siblings_before_ancestors():
+    have = {("a", "x"): 10, ("a", "y"): 1000, ("b", "x"): 1000, ("b", "y"): 5}
+    got = budgets(have, 400, max_epochs=1)
+    assert got == pytest.approx({("a", "x"): 10, ("a", "y"): 190, ("b", "x"): 195, ("b", "y"): 5})
+    have = {("a", "x"): 10, ("a", "y"): 20, ("b", "x"): 1000}
+    got = budgets(have, 400, max_epochs=1)
+    assert got == pytest.approx({("a", "x"): 10, ("a", "y"): 20, ("b", "x"): 370})
+    assert sum(budgets(have, 10**9, max_epochs=2).values()) == pytest.approx(2 * 1030)
+    assert budgets({}, 5) == {(): 0}
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_share_out_is_the_water_level(seed):
+    """Brute force: the level L at which min(capacity, L * weight) sums to the total."""
+    rng = random.Random(seed)
+    n = rng.randint(1, 8)
+    weight = [rng.choice([0.5, 1, 2, 3]) for _ in range(n)]
+    capacity = [rng.choice([0, 1, 5, 50]) for _ in range(n)]
+    total = rng.uniform(0, 1.2 * sum(capacity))
+    low, high = 0.0, 1e6
+    for _ in range(200):
+        level = (low + high) / 2
+        if sum(min(c, level * w) for c, w in zip(capacity, weight, strict=True)) < total:
+            low = level
+        else:
+            high = level
+    want = [min(c, high * w) for c, w in zip(capacity, weight, strict=True)]
+    assert share_out(total, weight, capacity) == pytest.approx(want, abs=1e-5)
+
+
+def check(chosen, table, levels, total, weights, max_epochs):
+    """Each leaf takes whole epochs and a prefix that fits and could not take a row more."""
+    tokens, rows = defaultdict(int), defaultdict(list)
+    for r in table:
+        size = len((r.text or "").encode().split())
+        tokens[tuple(r[x] for x in levels)] += size
+        rows[tuple(r[x] for x in levels)].append((r.doc_id, size))
+    given = budgets(tokens, total, weights, max_epochs)
+    taken = defaultdict(Counter)
+    for r in chosen:
+        taken[tuple(r[x] for x in levels)][r.doc_id] += 1
+    for key, own in rows.items():
+        whole = int(given[key] // tokens[key]) if tokens[key] else int(max_epochs)
+        rest = [(d, s) for d, s in own if taken[key][d] == whole + 1]
+        assert all(taken[key][d] in (whole, whole + 1) for d, _ in own)
+        left = given[key] - whole * tokens[key] - sum(s for _, s in rest)
+        assert left > -1e-3 or not tokens[key]
+        waiting = [s for d, s in own if taken[key][d] == whole]
+        assert not waiting or not tokens[key] or left < max(waiting)
+
+
+def test_query_against_budgets(spark):
+    got = QUERIES["op5_hierarchical_mixing"](spark, SF_DIR)
+    table = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    number = F.regexp_extract("source", r"(\d+)$", 1).cast("int") % DOMAINS
+    add = {"domain": F.concat(F.lit("domain"), number.cast("string"))}
+    rows = table.withColumns(add).collect()
+    total = MIX_SHARE * sum(len((r.text or "").encode().split()) for r in rows)
+    chosen = got.withColumns(add).collect()
+    check(chosen, rows, ("domain", "lang", "source"), total, MIX_WEIGHTS, 2.0)
+    again = QUERIES["op5_hierarchical_mixing"](spark, SF_DIR).collect()
+    assert Counter(map(tuple, again)) == Counter(map(tuple, got.collect()))
+    assert {r.epoch for r in again} == {0, 1}
+
+
+def test_hot_leaf_over_many_ranges(spark):
+    rng = random.Random(3)
+    rows = [
+        (i, " ".join(words(rng, rng.randint(0, 9))), rng.choice(["en", "de"]),
+         "hot" if rng.random() < 0.7 else f"s{rng.randrange(4)}")
+        for i in range(1500)
+    ]
+    table = docs(spark, rows)
+    for total in (0, 40, 900, 3000, 50_000):
+        got = mix_sources(table, total, ("lang", "source"), {("de",): 3.0}, max_epochs=3)
+        assert got.columns == [*table.columns, "_epoch"]
+        check(got.collect(), table.collect(), ("lang", "source"), total, {("de",): 3.0}, 3)
+
+
+def test_awkward_rows(spark):
+    rows = [(*r, None, "s") if i % 2 else (*r, "en", None) for i, r in enumerate(AWKWARD)]
+    table = docs(spark, rows)
+    everything = mix_sources(table, 10**9, ("lang", "source"), max_epochs=1)
+    assert everything.count() == len(rows)
+    assert mix_sources(table, 0, ("lang", "source")).filter("trim(text) <> ''").count() == 0
+    empty = docs(spark, [])
+    assert mix_sources(empty, 100, ("lang", "source")).collect() == []

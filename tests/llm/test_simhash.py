@@ -1,0 +1,142 @@
+import random
+import re
+
+import numpy as np
+import pytest
+import xxhash
+
+from skylattice.llm import simhash
+from skylattice.llm.queries import QUERIES
+from skylattice.llm.simhash import SIMILAR, THREE_BITS, golay, near_duplicate_classes
+from tests.llm.helpers import AWKWARD, docs, words
+
+SF_DIR = "/root/testdata/sf0.01"
+
+
+def plain_print(text):
+    lower = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    w = re.findall(r"[^\x20\x09-\x0D]+", lower)
+    if not w:
+        return 0
+    shingles = [" ".join(w[i : i + 3]) for i in range(len(w) - 2)] or [" ".join(w)]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << k for k in range(64) if 2 * sum(h >> k & 1 for h in hashes) > len(hashes))
+
+
+def plain_classes(prints, near):
+    """Smallest id reachable from each id, by comparing all pairs."""
+    ids = sorted(prints)
+    parent = {i: i for i in ids}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for n, i in enumerate(ids):
+        for j in ids[n + 1 :]:
+            if near(prints[i], prints[j]):
+                a, b = find(i), find(j)
+                parent[max(a, b)] = min(a, b)
+    return {i: find(i) for i in ids}
+
+
+def test_query_against_brute_force(spark):
+    rows = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()
+    prints = {r.doc_id: plain_print(r.text) for r in rows}
+    classes = plain_classes(prints, lambda a, b: (a ^ b).bit_count() <= 3)
+    got = QUERIES["op8_golay_simhash"](spark, SF_DIR).collect()
+    assert {r.doc_id: r.fingerprint for r in got} == {i: f"{p:016x}" for i, p in prints.items()}
+    assert {r.doc_id: r.component_id for r in got} == classes
+    assert len(got) == len(rows)
+
+
+def test_nearest_codeword_is_among_the_neighbours_keys():
+    rng = np.random.default_rng(1)
+    x = rng.integers(0, 1 << 23, 5000)
+    own = golay().keys(x)
+    assert set(np.unique((own >= 0).sum(axis=1))) == {1, 6}
+    for bit in range(23):
+        other = golay().keys(x ^ (1 << bit))
+        assert (other == own[:, :1]).any(axis=1).all()
+
+
+def test_three_bits_lose_no_link():
+    rng = np.random.default_rng(2)
+    x = rng.integers(0, 1 << 63, 3000, dtype=np.uint64)
+    y = x.copy()
+    for _ in range(3):
+        y ^= np.uint64(1) << rng.integers(0, 64, len(y)).astype(np.uint64)
+    keys, owners = simhash.fuzzy_keys(np.concatenate([x, y])[:, None], THREE_BITS)
+    mine = [set() for _ in range(2 * len(x))]
+    for key, owner in zip(keys.tolist(), owners.tolist(), strict=True):
+        mine[owner].add(key)
+    assert all(mine[i] & mine[i + len(x)] for i in range(len(x)))
+
+
+def test_awkward_rows(spark):
+    rows = [*AWKWARD, (30, "A B c"), (31, "one two"), (32, "ONE two")]
+    got = near_duplicate_classes(docs(spark, rows)).collect()
+    assert len(got) == len(rows)
+    by = {r.doc_id: r for r in got if r.doc_id is not None}
+    assert by[2].fingerprint == by[3].fingerprint == by[4].fingerprint == "0" * 16
+    assert by[3].component_id == by[4].component_id == 2
+    assert by[30].component_id == 1 and by[32].component_id == 31
+    assert by[5].fingerprint == f"{plain_print(AWKWARD[7][1]):016x}"
+    nameless = sorted((r.component_id for r in got if r.doc_id is None))
+    assert nameless == [1, 2]
+    assert near_duplicate_classes(docs(spark, [])).collect() == []
+
+
+def test_large_group_of_near_copies_keeps_few_edges(spark):
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 1 << 63, dtype=np.uint64)
+    prints = np.unique([base ^ (np.uint64(1) << np.uint64(a)) ^ (np.uint64(1) << np.uint64(b))
+                        for a in range(0, 64, 2) for b in range(64)])
+    rows = [(i, p.tobytes()) for i, p in enumerate(prints)]
+    nodes = spark.createDataFrame(rows, "node long, fp binary")
+    edges = simhash.links(nodes)
+    assert edges.count() < 40 * len(rows)
+    assert simhash.components(edges).select("root").distinct().count() == 1
+
+
+@pytest.mark.parametrize("length", [60, 300])
+def test_similar_finds_near_copies(spark, length):
+    """Recall at a similarity of 0.8 or more, against the shingle sets themselves."""
+    rng = random.Random(length)
+    rows, number = [], 0
+    for _ in range(120):
+        base = words(rng, length)
+        for copy in range(2):
+            own = base[:]
+            for at in rng.sample(range(length), copy * max(1, length // 60)):
+                own[at] = "changed"
+            rows.append((number, " ".join(own)))
+            number += 1
+    sets = {}
+    for i, text in rows:
+        w = text.split()
+        sets[i] = {tuple(w[k : k + 5]) for k in range(len(w) - 4)}
+    pairs = [
+        (i, i + 1)
+        for i in range(0, number, 2)
+        if len(sets[i] & sets[i + 1]) >= 0.8 * len(sets[i] | sets[i + 1])
+    ]
+    classes = {
+        r.doc_id: r.component_id
+        for r in near_duplicate_classes(docs(spark, rows), SIMILAR).collect()
+    }
+    found = sum(classes[i] == classes[j] for i, j in pairs)
+    assert len(pairs) > 60 and found >= 0.9 * len(pairs)
+    assert all(i // 2 == c // 2 for i, c in classes.items())
+
+
+def test_drop_keeps_one_of_each_class_and_rows_without_id(spark):
+    rng = random.Random(5)
+    base = words(rng, 200)
+    rows = [(9, " ".join(base)), (4, " ".join(base)), (4, " ".join(base)), (6, "other " * 3)]
+    rows += [(None, " ".join(base))]
+    table = docs(spark, rows)
+    kept = simhash.drop_near_duplicates(table)
+    assert kept.columns == table.columns
+    assert sorted((r.doc_id for r in kept.collect()), key=str) == [4, 6, None]
