@@ -42,7 +42,7 @@ from skylattice.llm.common import (
 
 WINDOW_WORDS = 50
 #: Bytes of text in one unit; a unit's digests are held in one task.
-UNIT_BYTES = 24 << 20
+UNIT_BYTES = 8 << 20
 
 _UNKNOWN = np.iinfo(np.int64).max
 
