@@ -10,9 +10,10 @@ hash for it. Each of ``repetitions`` walks samples ``samples`` positions; the wa
 starts at every word of every document and runs over a window of the item's size.
 Candidates are verified by the exact edit distance, with both ends of the stretch free.
 
-Items are grouped by length, so that windows are item-sized. Before any walk, a window
-is passed over if too few of its words occur in any item of the group: each word of an
-item that is not edited occurs there, so this loses nothing.
+Items are grouped by length, so that windows are item-sized. Before any walk, a window is
+passed over if too few of its words occur in any item of the group, or if no run of q words
+of an item occurs in it: k edits leave an item of m words a run of at least
+(m - k) / (k + 1) words unedited, so this loses nothing.
 
 The benchmark is read in blocks of at most ``block_items`` items and ``block_words``
 words; each block is a pass over the documents with an index of bounded size. There is
@@ -68,13 +69,13 @@ def walk(
     digest: np.ndarray,
     starts: np.ndarray,
     ends: np.ndarray,
-    bits: np.ndarray,
+    seed: np.uint64,
     positions: np.ndarray,
 ) -> np.ndarray:
     """Words at the sampled positions of the walks over ``digest[starts:ends]``.
 
-    ``bits`` has 64 random bits of each word of ``digest``; step j takes bit j % 64,
-    rotated by j // 64. Beyond a window's end the walk gives out zero.
+    A word and the seed give 64 random bits, of which step j takes one. Beyond a window's
+    end the walk gives out zero.
     """
     at = starts.copy()
     out = np.zeros((len(positions), len(starts)), dtype=np.uint64)
@@ -87,7 +88,8 @@ def walk(
             out[row] = np.where(inside, digest[here], np.uint64(0))
             row += 1
         if j < last:
-            at += ((bits[here] >> np.uint64((j * 29) % 64)) & np.uint64(1)).astype(at.dtype)
+            bits = mix(digest[here] ^ seed)
+            at += ((bits >> np.uint64((j * 29) % 64)) & np.uint64(1)).astype(at.dtype)
     return out
 
 
@@ -108,8 +110,7 @@ class Walks:
         return cls(rng.integers(1, 1 << 62, repetitions).astype(np.uint64), positions)
 
     def keys(self, number: int, digest: np.ndarray, starts: np.ndarray, ends: np.ndarray):
-        bits = mix(digest ^ self.seeds[number])
-        sampled = walk(digest, starts, ends, bits, self.positions[number])
+        sampled = walk(digest, starts, ends, self.seeds[number], self.positions[number])
         key = np.zeros(len(starts), dtype=np.uint64)
         for row in sampled:
             key = mix(key * np.uint64(3) + row + np.uint64(number))
@@ -127,18 +128,51 @@ class Group:
     longest: int
     numbers: np.ndarray
     vocabulary: np.ndarray
+    run: int
+    runs: np.ndarray
     walks: Walks
     keys: list[np.ndarray]
     owners: list[np.ndarray]
 
-    def filter(self) -> np.ndarray:
-        if not hasattr(self, "_filter"):
-            self._filter = np.zeros(1 << _FILTER_BITS, dtype=bool)
-            self._filter[self.vocabulary >> np.uint64(64 - _FILTER_BITS)] = True
-        return self._filter
+    def known(self, digest: np.ndarray) -> np.ndarray:
+        """Whether each word may be a word of an item."""
+        return self._filter("_words", self.vocabulary)[_place(digest)]
+
+    def known_runs(self, digest: np.ndarray) -> np.ndarray:
+        """Whether a run of an item may begin at each word."""
+        out = np.zeros(len(digest), dtype=bool)
+        if len(digest) >= self.run:
+            found = self._filter("_runs", self.runs)[_place(run_digests(digest, self.run))]
+            out[: len(found)] = found
+        return out
+
+    def _filter(self, name: str, values: np.ndarray) -> np.ndarray:
+        if not hasattr(self, name):
+            there = np.zeros(1 << _FILTER_BITS, dtype=bool)
+            there[_place(values)] = True
+            setattr(self, name, there)
+        return getattr(self, name)
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k != "_filter"}
+        return {k: v for k, v in self.__dict__.items() if not k.startswith("_")}
+
+
+def _place(values: np.ndarray) -> np.ndarray:
+    return values >> np.uint64(64 - _FILTER_BITS)
+
+
+def run_digests(digest: np.ndarray, run: int) -> np.ndarray:
+    """Digest of the run that begins at each word but the last ``run - 1``."""
+    n = len(digest) - run + 1
+    out = digest[:n].copy()
+    for j in range(1, run):
+        out = out * np.uint64(0xD6E8FEB86659FD93) + digest[j : j + n]
+    return out
+
+
+def unedited_run(words: int, share: float) -> int:
+    edits = max_edits(words, share)
+    return -(-(words - edits) // (edits + 1))
 
 
 class Index:
@@ -165,8 +199,13 @@ class Index:
                     keys.append(key[order])
                     owners.append(numbers[order])
                 longest = int(max(len(x) for x in own))
+                run = min(4, *(unedited_run(len(x), share) for x in own), least)
+                runs = np.concatenate([run_digests(x, run) for x in own])
                 self.groups.append(
-                    Group(least, longest, numbers, np.unique(digest), walks, keys, owners)
+                    Group(
+                        least, longest, numbers, np.unique(digest), run, np.unique(runs),
+                        walks, keys, owners,
+                    )
                 )
             size = beyond
 
@@ -175,15 +214,22 @@ class Index:
         found = []
         text_end = np.repeat(words.first[1:], np.diff(words.first))
         for group in self.groups:
-            known = group.filter()[(words.digest >> np.uint64(64 - _FILTER_BITS))]
-            total = np.concatenate([[0], np.cumsum(known, dtype=np.int64)])
-            starts = np.arange(len(words))
-            ends = np.minimum(starts + group.size, text_end)
             edits = max_edits(group.longest, self.share)
-            starts = np.flatnonzero(total[ends] - total[:-1] >= group.size - edits)
+            runs = np.flatnonzero(group.known_runs(words.digest))
+            if not len(runs):
+                continue
+            # Only starts that have a run not far ahead of them can be a window's.
+            ahead = np.zeros(len(words) + 1, dtype=np.int32)
+            np.add.at(ahead, np.maximum(runs - group.longest - edits, 0), 1)
+            np.add.at(ahead, runs + 1, -1)
+            starts = np.flatnonzero(np.cumsum(ahead)[:-1] > 0)
+            total = np.zeros(len(words) + 1, dtype=np.int32)
+            np.cumsum(group.known(words.digest), out=total[1:])
+            ends = np.minimum(starts + group.size, text_end[starts])
+            enough = total[ends] - total[starts] >= group.size - edits
+            starts, ends = starts[enough], ends[enough]
             if not len(starts):
                 continue
-            ends = ends[starts]
             for r in range(len(group.keys)):
                 key = group.walks.keys(r, words.digest, starts, ends)
                 low = np.searchsorted(group.keys[r], key, side="left")
@@ -223,25 +269,24 @@ def edit_distances(
     there = place < high[:, None]
     text = np.where(there, digest[np.minimum(place, len(digest) - 1)], np.uint64(0))
     n = len(low)
-    cost = np.zeros((n, width + 1), dtype=np.int32)
-    begin = np.broadcast_to(np.arange(width + 1, dtype=np.int32), (n, width + 1)).copy()
+    # One number holds cost and start, so that the smaller cost, then start, wins.
+    unit = width + 2
+    steps = unit * np.arange(width + 1)
+    state = np.broadcast_to(np.arange(width + 1), (n, width + 1)).copy()
     for i, word in enumerate(item):
-        swap = cost[:, :-1] + ((text != word) | ~there)
-        drop = cost[:, 1:] + 1
-        best, origin = np.where(swap <= drop, swap, drop), np.where(
-            swap <= drop, begin[:, :-1], begin[:, 1:]
-        )
-        cost[:, 0], begin[:, 0] = i + 1, 0
-        for j in range(width):
-            left = cost[:, j] + 1
-            use = left < best[:, j]
-            cost[:, j + 1] = np.where(use, left, best[:, j])
-            begin[:, j + 1] = np.where(use, begin[:, j], origin[:, j])
-    valid = np.concatenate([np.ones((n, 1), dtype=bool), there], axis=1)
-    final = np.where(valid, cost, np.iinfo(np.int32).max)
-    end = final.argmin(axis=1)
+        swapped = state[:, :-1] + unit * (text != word)
+        dropped = state[:, 1:] + unit
+        state[:, 0] = (i + 1) * unit
+        np.minimum(swapped, dropped, out=state[:, 1:])
+        # A word of the text too many: from any column to the left, one unit a step.
+        state -= steps
+        np.minimum.accumulate(state, axis=1, out=state)
+        state += steps
+    cost = state // unit
+    cost[:, 1:][~there] = np.iinfo(np.int32).max
+    end = cost.argmin(axis=1)
     rows = np.arange(n)
-    return final[rows, end], low + begin[rows, end], low + end
+    return cost[rows, end], low + state[rows, end] % unit, low + end
 
 
 def matches(index: Index, words: Words) -> dict[tuple[int, int], tuple[int, int, int]]:
