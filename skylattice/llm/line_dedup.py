@@ -18,6 +18,8 @@ second aggregation, and the earliest partner is verified on the words themselves
 Equal lines are folded first: only distinct lines emit keys. Of these, only lines that can
 have a partner do: within one edit, one half of the words is equal in place from the front
 or from the back, so a line whose halves occur in no other line is left out without loss.
+All this runs on digests; the words of the lines that are left are fetched by a second scan
+of the texts, with a broadcast of their digests if they are few, else with a join by shuffle.
 
 Defined results: lines end at ``\\n``; words are ``[^\\x20\\x09-\\x0D]+`` and lines with the
 same words are equal. Lines without words and null texts are no lines. A null ``doc_id``
@@ -31,67 +33,63 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from skylattice.llm.common import Words, encoded, mix, range_digests, store, text_pieces
 
 LEAST_WORDS = 8
+#: Lines with a possible partner whose digests are broadcast; more are joined by shuffle.
+BROADCAST_LINES = 1_000_000
 
 _LAST = np.iinfo(np.int64).max
 
 
-def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row for each line with words: place, number of words and 128-bit digest."""
-    for batch in text_pieces(batches):
-        texts = encoded(batch.column("text"))
-        split = [x.split(b"\n") for x in texts]
-        counts = np.array([len(x) for x in split], dtype=np.int64)
-        document = np.repeat(np.arange(len(texts)), counts)
-        number = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-        lines = [line for x in split for line in x]
-        words = Words(lines)
-        n_words = np.diff(words.first)
-        kept = np.flatnonzero(n_words)
-        low = range_digests(words.digest, words.first[:-1], words.first[1:])[kept]
-        other = mix(words.digest ^ np.uint64(0xC3C3C3C3C3C3C3C3))
-        high = range_digests(other, words.first[:-1], words.first[1:])[kept]
-        at = pa.array(document[kept])
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("doc_id").take(at),
-                batch.column("row").take(at),
-                pa.array(number[kept].astype(np.int32)),
-                pa.array(n_words[kept].astype(np.int32)),
-                pa.array(low.view(np.int64)),
-                pa.array(high.view(np.int64)),
-                pa.array([lines[i] for i in kept.tolist()], pa.binary()),
-            ],
-            ["doc_id", "row", "line", "n", "low", "high", "text"],
-        )
+def _scan(with_text: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One row for each line with words: its 128-bit digest, and place or text."""
+        for batch in text_pieces(batches):
+            texts = encoded(batch.column("text"))
+            split = [x.split(b"\n") for x in texts]
+            counts = np.array([len(x) for x in split], dtype=np.int64)
+            document = np.repeat(np.arange(len(texts)), counts)
+            number = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+            lines = [line for x in split for line in x]
+            words = Words(lines)
+            first, last = words.first[:-1], words.first[1:]
+            kept = np.flatnonzero(last > first)
+            first, last = first[kept], last[kept]
+            low = range_digests(words.digest, first, last)
+            other = mix(words.digest ^ np.uint64(0xC3C3C3C3C3C3C3C3))
+            high = range_digests(other, first, last)
+            columns = {"low": low.view(np.int64), "high": high.view(np.int64)}
+            if with_text:
+                columns["text"] = pa.array([lines[i] for i in kept.tolist()], pa.binary())
+            else:
+                at = pa.array(document[kept])
+                columns |= {
+                    "doc_id": batch.column("doc_id").take(at),
+                    "row": batch.column("row").take(at),
+                    "line": number[kept].astype(np.int32),
+                    "n": (last - first).astype(np.int32),
+                }
+                for i, key in enumerate(_halves(words.digest, first, last)):
+                    columns[f"half{i}"] = key.view(np.int64)
+            yield pa.RecordBatch.from_pydict(columns)
+
+    return run
 
 
-def _halves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _halves(digest: np.ndarray, first: np.ndarray, last: np.ndarray) -> Iterator[np.ndarray]:
     """Keys of the halves that a line has in common with any line within one edit.
 
     For lines of c and of c or c + 1 words: the first c // 2 words, or the last
     c - c // 2, are the same.
     """
-    for batch in text_pieces(batches):
-        words = Words(encoded(batch.column("text")))
-        first, last = words.first[:-1], words.first[1:]
-        n = last - first
-        ids = batch.column("line_id").to_numpy(zero_copy_only=False)
-        keys, owners = [], []
-        for c in (n, n - 1):
-            front, back = c // 2, c - c // 2
-            for side, a, b in ((1, first, first + front), (2, last - back, last)):
-                whole = range_digests(words.digest, a, b)
-                keys.append(mix(whole ^ mix((c * 4 + side).astype(np.uint64))))
-                owners.append(ids)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(owners))],
-            ["key", "line_id"],
-        )
+    n = last - first
+    for c in (n, n - 1):
+        front, back = c // 2, c - c // 2
+        for side, a, b in ((1, first, first + front), (2, last - back, last)):
+            yield mix(range_digests(digest, a, b) ^ mix((c * 4 + side).astype(np.uint64)))
 
 
 def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,11 +119,8 @@ def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array(keys.view(np.int64)),
                 pa.array(kinds),
                 batch.column("line_id").take(takes),
-                batch.column("doc_id").take(takes),
-                batch.column("row").take(takes),
-                batch.column("line").take(takes),
             ],
-            ["key", "kind", "line_id", "doc_id", "row", "line"],
+            ["key", "kind", "line_id"],
         )
 
 
@@ -195,44 +190,59 @@ def repeated_lines(
         F.col(f"`{text_column}`").cast("string").alias("text"),
         F.monotonically_increasing_id().alias("row"),
     )
-    lines = rows.mapInArrow(
-        _lines,
-        "doc_id long, row long, line int, n int, low long, high long, text binary",
+    halves = [f"half{i}" for i in range(4)]
+    lines = store(
+        rows.mapInArrow(
+            _scan(with_text=False),
+            "low long, high long, doc_id long, row long, line int, n int, "
+            + ", ".join(f"{x} long" for x in halves),
+        ),
+        "lines",
     )
     # An occurrence's place in the order; null ids last.
-    order = F.struct(F.coalesce("doc_id", F.lit(_LAST)).alias("doc_id"), "row", "line")
-    distinct = lines.groupBy("low", "high", "n").agg(
-        F.min(order).alias("place"), F.first("text").alias("text")
-    )
+    place = F.struct(F.coalesce("doc_id", F.lit(_LAST)).alias("doc_id"), "row", "line")
+    # Distinct lines, numbered in the order of their first occurrence.
     distinct = store(
-        distinct.select(
-            F.monotonically_increasing_id().alias("line_id"), "low", "high", "n", "place.*", "text"
-        ),
-        "lines",
+        lines.groupBy("low", "high", "n")
+        .agg(F.min(place).alias("place"), *(F.first(x).alias(x) for x in halves))
+        .orderBy("place")
+        .withColumn("line_id", F.monotonically_increasing_id()),
+        "distinct-lines",
+    )
+    keyed = distinct.filter(F.col("n") >= least_words).select(
+        "line_id", F.explode(F.array(*halves)).alias("key")
     )
-    long = distinct.filter(F.col("n") >= least_words)
-    halves = long.select("line_id", "text").mapInArrow(_halves, "key long, line_id long")
     shared = (
-        halves.groupBy("key")
+        keyed.groupBy("key")
         .agg(F.min("line_id").alias("a"), F.max("line_id").alias("b"))
         .filter("a < b")
         .select("key")
     )
-    possible = halves.join(shared, "key").select("line_id").distinct()
-    emitting = long.join(possible, "line_id", "left_semi")
-    variants = store(
-        emitting.select("line_id", "text", "doc_id", "row", "line")
-        .mapInArrow(
-            _variants,
-            "key long, kind byte, line_id long, doc_id long, row long, line int",
+    possible = store(
+        distinct.join(keyed.join(shared, "key").select("line_id"), "line_id", "left_semi").select(
+            "line_id", "low", "high"
         ),
-        "variants",
+        "possible-lines",
     )
-    place = F.struct("doc_id", "row", "line", "line_id")
+    few = possible.count() <= BROADCAST_LINES
+    texts = store(
+        rows.mapInArrow(_scan(with_text=True), "low long, high long, text binary")
+        .join(F.broadcast(possible) if few else possible, ["low", "high"])
+        .groupBy("line_id")
+        .agg(F.first("text").alias("text")),
+        "line-texts",
+    )
+    variants = store(
+        texts.mapInArrow(_variants, "key long, kind byte, line_id long"), "variants"
+    )
+
+    def least(kind: int) -> Column:
+        return F.min(F.when(F.col("kind") == kind, F.col("line_id")))
+
     of_key = variants.groupBy("key").agg(
-        F.min(F.when(F.col("kind") == 0, place)).alias("alike"),
-        F.min(F.when(F.col("kind") == 1, place)).alias("itself"),
-        F.min(F.when(F.col("kind") == 2, place)).alias("longer"),
+        least(0).alias("alike"),
+        least(1).alias("itself"),
+        least(2).alias("longer"),
         F.min("line_id").alias("a"),
         F.max("line_id").alias("b"),
     ).filter("a < b")
@@ -243,31 +253,25 @@ def repeated_lines(
     )
     earliest = (
         variants.join(of_key, "key")
-        .withColumn("partner", partner)
-        .filter(F.col("partner") < place)
+        .withColumn("other_id", partner)
+        .filter("other_id < line_id")
         .groupBy("line_id")
-        .agg(F.min("partner").alias("partner"))
-        .select("line_id", F.col("partner.line_id").alias("other_id"))
+        .agg(F.min("other_id").alias("other_id"))
     )
-    texts = distinct.select(F.col("line_id").alias("other_id"), F.col("text").alias("other"))
-    checked = (
-        earliest.join(distinct.select("line_id", "text"), "line_id")
-        .join(texts, "other_id")
+    others = texts.select(F.col("line_id").alias("other_id"), F.col("text").alias("other"))
+    gone = (
+        earliest.join(texts, "line_id")
+        .join(others, "other_id")
         .select("line_id", "text", "other")
         .mapInArrow(_verify, "line_id long")
         .withColumn("gone", F.lit(True))
     )
-    leaders = distinct.join(checked, "line_id", "left").select(
-        "low", "high", F.col("n").alias("m"),
-        F.struct("doc_id", "row", "line").alias("place"),
-        F.coalesce("gone", F.lit(False)).alias("gone"),
+    leaders = (
+        distinct.select("line_id", "low", "high", "n", F.col("place").alias("leader"))
+        .join(gone, "line_id", "left")
+        .filter("gone is null")
+        .drop("line_id", "gone")
     )
-    return (
-        lines.drop("text").join(leaders, ["low", "high"])
-        .filter(F.col("n") == F.col("m"))
-        .select(
-            "doc_id",
-            "line",
-            ((F.col("place") == order) & ~F.col("gone")).alias("kept"),
-        )
+    return lines.join(leaders, ["low", "high", "n"], "left").select(
+        "doc_id", "line", F.coalesce(F.col("leader") == place, F.lit(False)).alias("kept")
     )
