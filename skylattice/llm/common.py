@@ -30,7 +30,7 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 SEGMENT_BYTES = 1 << 20
 
 #: Bytes of text that an operator holds at a time inside a task.
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,6 +64,8 @@ def text_pieces(
             stop = max(start + 1, int(np.searchsorted(ends, before + limit, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+    # Workers are used again by later stages; give back what the batches took.
+    pa.default_memory_pool().release_unused()
 
 
 def encoded(column: pa.Array) -> list[bytes]:

@@ -41,7 +41,7 @@ GROUP_TOKENS = 4 << 20
 #: Matrix rows in one shard.
 SHARD_ROWS = 256
 #: Pieces whose ids a task keeps.
-_CACHE = 1 << 18
+_CACHE = 1 << 16
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
