@@ -52,3 +52,12 @@ def deduplicate_stream(
         .dropDuplicatesWithinWatermark(list(key))
         .drop("_arrival")
     )
+
+
+def unseen(df: DataFrame, seen: DataFrame, key: Sequence[str] = SNAPSHOT_KEY) -> DataFrame:
+    """Rows whose key is not in ``seen``; NULL keys equal each other."""
+    other = seen.select(*(F.col(name).alias(f"_{name}") for name in key))
+    same = F.lit(True)
+    for name in key:
+        same = same & F.col(name).eqNullSafe(F.col(f"_{name}"))
+    return df.join(other, same, "left_anti")

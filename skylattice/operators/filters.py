@@ -6,7 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, functions as F
 
-from skylattice.schemas import DAY_PARTITION
+from skylattice.schemas import DAY_PARTITION, SILVER
 
 #: Columns every silver reader needs.
 BASE_COLUMNS = frozenset({"time", "icao24", *DAY_PARTITION})
@@ -72,10 +72,15 @@ def near_partition(df: DataFrame, run_date: str | None) -> DataFrame:
 
 
 def require_columns(df: DataFrame, required: Iterable[str]) -> None:
-    """Raise unless every required column exists and ``time`` is a timestamp."""
-    missing = sorted(set(required) - set(df.columns))
-    if missing:
-        raise ValueError(f"silver contract not met; missing columns: {missing}")
-    kind = df.schema["time"].dataType.simpleString()
-    if kind != "timestamp":
-        raise TypeError(f"column time must be timestamp in silver, found: {kind}")
+    """Compare a table with the declared silver columns; one error names all that differ.
+
+    Missing columns make it a ValueError. ``time`` alone must also have its declared type,
+    else it is a TypeError; other columns are read by name.
+    """
+    found = dict(df.dtypes)
+    wanted = {name: SILVER["time"].dataType.simpleString() for name in ("time",)}
+    absent = sorted({*required, *wanted} - found.keys())
+    other = {n: found[n] for n, kind in wanted.items() if found.get(n, kind) != kind}
+    if absent or other:
+        kind = ValueError if absent else TypeError
+        raise kind(f"not a silver table: missing {absent}, of another type {other}")

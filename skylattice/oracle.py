@@ -223,6 +223,10 @@ def oracle_sql() -> dict[str, str]:
     airlines = _with(_AIRLINES, final="select * from airlines")
     all_sessions = f"select {_SESSION_COLUMNS} from sessions"
     run_date = f"date '{RUN_DATE}'"
+    closed = _session(
+        "select icao24, entry_ts, exit_ts, has_exit, airline_name, airline_icao, "
+        'duration_seconds, "date", "year", "month", "day" from sessions where has_exit = 1'
+    )
     return {
         "envelope_roundtrip": bronze,
         "bbox_filter": _bronze(
@@ -286,8 +290,10 @@ def oracle_sql() -> dict[str, str]:
         "silver_rebuild": silver,
         "stream_bronze": bronze,
         "stream_silver": silver,
-        "stream_sessions": _session(
-            "select icao24, entry_ts, exit_ts, has_exit, airline_name, airline_icao, "
-            'duration_seconds, "date", "year", "month", "day" from sessions where has_exit = 1'
-        ),
+        "stream_silver_compacted": silver,
+        "stream_sessions": closed,
+        "stream_sessions_backlog": closed,
+        "all_reports_airlines": airline_counts,
+        "all_reports_altitude_speed": altitude_speed,
+        "all_reports_area_duration": _session(_DURATION.format(extra="")),
     }

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from skylattice import driver_tables as tables
 from skylattice.operators import sessions as sess
@@ -26,7 +26,15 @@ from skylattice.sources import (
     snapshot_files,
     write_table,
 )
-from skylattice.streaming import start_bronze, start_sessions, start_silver
+from skylattice.streaming import (
+    catch_up_sessions,
+    compact_silver,
+    finish,
+    read_streamed,
+    start_bronze,
+    start_sessions,
+    start_silver,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -293,6 +301,28 @@ def all_reports_activity(spark, sf_dir):
     return spark.read.parquet(f"{marts_path}/aircraft_activity")
 
 
+def _all_reports(spark, sf_dir, mart):
+    silver, marts_path = new_path(spark, "silver"), new_path(spark, "marts")
+    write_table(tables.silver(spark, sf_dir), silver)
+    jobs.generate_all_reports(spark, silver, marts_path)
+    return spark.read.parquet(f"{marts_path}/{mart}")
+
+
+@query
+def all_reports_airlines(spark, sf_dir):
+    return _all_reports(spark, sf_dir, "airline_counts")
+
+
+@query
+def all_reports_altitude_speed(spark, sf_dir):
+    return _all_reports(spark, sf_dir, "altitude_speed")
+
+
+@query
+def all_reports_area_duration(spark, sf_dir):
+    return _all_reports(spark, sf_dir, "monitored_area_duration")
+
+
 @query
 def silver_rebuild(spark, sf_dir):
     """Bronze and airline files to the silver table, by the rebuild job."""
@@ -320,27 +350,75 @@ def stream_bronze(spark, sf_dir):
     return spark.read.parquet(bronze)
 
 
-@query
-def stream_silver(spark, sf_dir):
-    """Silver as a stream that is stopped, fed again and restarted.
+def _streamed_silver(spark, sf_dir):
+    """Silver as a stream over bronze as it is, in several batches, stopped and restarted.
 
-    A stream keeps whichever copy comes first, so the earliest copies arrive in
-    the first run. Then all of bronze arrives again: nothing more may come out.
+    Copies arrive in one batch, in different batches and again after the restart.
     """
     bronze, silver, checkpoint = (
         new_path(spark, n) for n in ("bronze", "silver", "silver-checkpoint")
     )
-    arrivals = (tables.unique(spark, sf_dir), tables.bronze(spark, sf_dir))
-    for rows in arrivals:
-        rows.drop("event_id").write.mode("append").parquet(bronze)
+    rows = tables.bronze(spark, sf_dir).drop("event_id")
+    early = "time < 1705276800"  # the copies of 2024-01-14 and before, in mixed order
+    for part in (rows.filter(early).repartition(6), rows.filter(f"not {early}"), rows):
+        part.write.mode("append").parquet(bronze)
         start_silver(
-            snapshot_files(spark, bronze),
-            tables.airlines(spark, sf_dir),
+            snapshot_files(spark, bronze, max_files_per_trigger=1000),
+            lambda: tables.airlines(spark, sf_dir),
             silver,
             checkpoint,
             processing_time=None,
         ).awaitTermination()
-    return spark.read.parquet(silver)
+    return silver
+
+
+@query
+def stream_silver(spark, sf_dir):
+    return read_streamed(spark, _streamed_silver(spark, sf_dir))
+
+
+@query
+def stream_silver_compacted(spark, sf_dir):
+    """The streamed table after each of its days is compacted."""
+    silver, compacted = _streamed_silver(spark, sf_dir), new_path(spark, "compacted")
+    folders = read_streamed(spark, silver).select(*DAY_PARTITION).distinct()
+    for year, month, day in folders.collect():
+        compact_silver(spark, silver, compacted, f"{year}-{month:02}-{day:02}")
+    return spark.read.parquet(compacted)
+
+
+@query
+def stream_sessions_backlog(spark, sf_dir):
+    """Closed sessions from a stored table whose files hold all times, in many batches.
+
+    The last day arrives after the stream has caught up.
+    """
+    silver, closed, checkpoint = (
+        new_path(spark, n) for n in ("silver", "sessions", "sessions-checkpoint")
+    )
+    rows = tables.silver(spark, sf_dir).drop("event_id", *DAY_PARTITION)
+    last = "time >= timestamp'2024-01-30 00:00:00'"
+    rows.filter(f"not {last}").repartition(12).write.parquet(silver)
+    span = F.expr("unix_timestamp(max(time)) - unix_timestamp(min(time))")
+    finish(
+        catch_up_sessions(
+            snapshot_files(spark, silver, rows.schema, max_files_per_trigger=4),
+            closed,
+            checkpoint,
+            span_seconds=spark.read.parquet(silver).agg(span).first()[0],
+        )
+    )
+    rows.filter(last).write.mode("append").parquet(silver)
+    finish(
+        start_sessions(
+            snapshot_files(spark, silver, rows.schema),
+            closed,
+            checkpoint,
+            lateness_seconds=1,
+            processing_time=None,
+        )
+    )
+    return spark.read.parquet(closed)
 
 
 @query

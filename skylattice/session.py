@@ -7,7 +7,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
-#: Settings the jobs are designed for. None is needed for right results.
+#: Settings the jobs are designed for. None is needed for right results. A cluster must also
+#: name a folder that all executors share in ``spark.checkpoint.dir``; jobs refuse without.
 RECOMMENDED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, functions as F, types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from skylattice.schemas import DAY_PARTITION
 
-#: Trigger of the two continuous jobs.
+# Fixed value: trigger of the two continuous jobs.
 DEFAULT_TRIGGER = "35 seconds"
 
 
@@ -79,8 +79,21 @@ def append_stream(
         writer = writer.partitionBy(*partition_columns)
     if name:
         writer = writer.queryName(name)
+    return _triggered(writer, processing_time).start()
+
+
+def batch_stream(
+    df: DataFrame,
+    write: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    processing_time: str | None = DEFAULT_TRIGGER,
+) -> StreamingQuery:
+    """Hand each micro-batch and its number to ``write``, which must bear being repeated."""
+    writer = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return _triggered(writer, processing_time).start()
+
+
+def _triggered(writer: DataStreamWriter, processing_time: str | None) -> DataStreamWriter:
     if processing_time is None:
-        writer = writer.trigger(availableNow=True)
-    else:
-        writer = writer.trigger(processingTime=processing_time)
-    return writer.start()
+        return writer.trigger(availableNow=True)
+    return writer.trigger(processingTime=processing_time)

@@ -1,10 +1,25 @@
 """Structured Streaming jobs. Each starter returns its query; the caller awaits it."""
 
 from skylattice.streaming.jobs import (
+    catch_up_sessions,
+    compact_silver,
+    finish,
+    late_rows,
+    read_streamed,
     start_bronze,
     start_sessions,
     start_silver,
     stream_sessions,
 )
 
-__all__ = ["start_bronze", "start_sessions", "start_silver", "stream_sessions"]
+__all__ = [
+    "catch_up_sessions",
+    "compact_silver",
+    "finish",
+    "late_rows",
+    "read_streamed",
+    "start_bronze",
+    "start_sessions",
+    "start_silver",
+    "stream_sessions",
+]

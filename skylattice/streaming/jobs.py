@@ -2,17 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from skylattice.operators.dedupe import deduplicate_stream
+from skylattice.operators.dedupe import SNAPSHOT_KEY, deduplicate, unseen
 from skylattice.operators.envelopes import decode_envelopes
 from skylattice.operators.filters import identified
 from skylattice.operators.sessions import DEFAULT_GAP_SECONDS, with_duration_and_day
 from skylattice.plans.silver import enrich
 from skylattice.schemas import DAY_PARTITION
-from skylattice.sources.sinks import DEFAULT_TRIGGER, append_stream
+from skylattice.sources.sinks import (
+    DEFAULT_TRIGGER,
+    WriteResult,
+    append_stream,
+    batch_stream,
+    write_table,
+)
 
+#: Folder, below the day, of what one micro-batch wrote.
+BATCH = "batch"
 
 #: How far a session stream waits for snapshots that arrive out of order.
 DEFAULT_LATENESS_SECONDS = 600
@@ -32,25 +42,77 @@ def start_bronze(
 
 def start_silver(
     bronze: DataFrame,
-    airlines: DataFrame,
+    airlines: DataFrame | Callable[[], DataFrame],
     path: str,
     checkpoint: str,
-    dedupe_within: str | None = "2 days",
+    dedupe_within: str | None = None,
     processing_time: str | None = DEFAULT_TRIGGER,
     **join_options: int,
 ) -> StreamingQuery:
-    """Deduplicate and enrich bronze into day partitions.
-
-    The airline table is a static side: its file is read again in every batch.
+    """Deduplicate and enrich bronze into day partitions, batch by batch.
+
+    Of the copies in one micro-batch the earliest by time is kept, whatever the order of
+    tasks; keys of earlier batches are removed. Keys are stored beside the checkpoint by
+    day of last contact, and a batch reads the days it holds. All keys count for ever, as
+    in ``rebuild_silver``; with ``dedupe_within`` (an interval such as ``"2 days"``) only
+    those that arrived within that time, which bounds what is read and lets later copies
+    pass.
+
+    The airline table's size is measured in each batch, so the join follows a table that
+    grows; give a function to have its file listed anew as well. Rows are rebalanced and
+    written below day and ``batch`` folders, which a batch that runs again replaces.
+    :func:`compact_silver` merges the files of past days.
     """
-    unique = deduplicate_stream(bronze, within=dedupe_within)
-    return append_stream(
-        enrich(unique, airlines, **join_options),
-        path,
-        checkpoint,
-        partition_columns=DAY_PARTITION,
-        processing_time=processing_time,
-    )
+    keys = f"{checkpoint.rstrip('/')}-keys"
+
+    def write(batch: DataFrame, number: int) -> None:
+        dimension = airlines() if callable(airlines) else airlines
+        unique = _new_rows(deduplicate(batch), keys, number, dedupe_within).persist()
+        try:
+            stored = unique.selectExpr(*SNAPSHOT_KEY, "current_timestamp() as arrived", _DAY)
+            stored.write.mode("overwrite").partitionBy("day").parquet(f"{keys}/{BATCH}={number}")
+            rows = enrich(unique, dimension, **join_options)
+            write_table(
+                rows.withColumn(BATCH, F.lit(number)), path, (*DAY_PARTITION, BATCH), "dynamic"
+            )
+        finally:
+            unique.unpersist()
+
+    return batch_stream(bronze, write, checkpoint, processing_time)
+
+
+_DAY = "to_date(timestamp_seconds(last_contact)) as day"
+_KEYS = f"icao24 string, last_contact long, arrived timestamp, {BATCH} long, day date"
+
+
+def _new_rows(unique: DataFrame, keys: str, number: int, within: str | None) -> DataFrame:
+    """Rows of a batch whose key no earlier batch had."""
+    if number == 0:
+        return unique
+    spark = unique.sparkSession
+    seen = spark.read.schema(_KEYS).parquet(keys).filter(F.col(BATCH) < number)
+    if within is not None:
+        seen = seen.filter(F.expr(f"arrived >= current_timestamp() - interval {within}"))
+    first, last = unique.selectExpr(_DAY).agg(F.min("day"), F.max("day")).first()
+    days = F.col("day").isNull()
+    if first is not None:
+        days = days | F.col("day").between(F.lit(first), F.lit(last))
+    return unseen(unique, seen.filter(days))
+
+
+def compact_silver(spark: SparkSession, path: str, compacted: str, day: str) -> WriteResult:
+    """Write one day of a streamed silver table as few files into a table without batches.
+
+    The day is replaced there, so the job may run again. ``day`` is the folder's date.
+    """
+    folder = F.expr(f"make_date({', '.join(DAY_PARTITION)})")
+    rows = read_streamed(spark, path).filter(folder == F.to_date(F.lit(day)))
+    return write_table(rows, compacted, replace="dynamic")
+
+
+def read_streamed(spark: SparkSession, path: str) -> DataFrame:
+    """A table written by :func:`start_silver` in silver's own columns."""
+    return spark.read.parquet(path).drop(BATCH)
 
 
 def stream_sessions(
@@ -64,8 +126,10 @@ def stream_sessions(
     snapshot, which is when the batch rule calls it closed. Times are whole
     seconds and the watermark trails by at least one, so that a gap of exactly
     ``gap_seconds`` still continues a session. ``lateness_seconds`` is how far
-    snapshots may arrive out of order: a larger value closes sessions later and
-    changes nothing else. Snapshots later than that are left to the batch report.
+    snapshots may arrive out of order: a larger value closes sessions later.
+    Snapshots later than that are not in any session; :func:`late_rows` counts
+    them. A stored table's files come in no order of time, so most of a backlog
+    would be late: take it in by :func:`catch_up_sessions` first.
     """
     if lateness_seconds < 1:
         raise ValueError("lateness_seconds must be at least 1")
@@ -106,3 +170,36 @@ def start_sessions(
         partition_columns=DAY_PARTITION,
         processing_time=processing_time,
     )
+
+
+def catch_up_sessions(
+    silver: DataFrame,
+    path: str,
+    checkpoint: str,
+    span_seconds: int,
+    gap_seconds: int = DEFAULT_GAP_SECONDS,
+) -> StreamingQuery:
+    """Take a stored table into the session stream, its files in any order and batches.
+
+    ``span_seconds`` is the time between the table's first and last snapshot (or more).
+    The watermark trails by all of it, so nothing is late; state holds the table's folded
+    sessions. They come out when :func:`start_sessions` goes on with the same checkpoint
+    and its own lateness.
+    """
+    return start_sessions(silver, path, checkpoint, gap_seconds, span_seconds + gap_seconds + 1, None)
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Snapshots that a stream left out for being late, in the progress Spark still has."""
+    return sum(
+        operator.get("numRowsDroppedByWatermark", 0)
+        for progress in query.recentProgress
+        for operator in progress["stateOperators"]
+    )
+
+
+def finish(query: StreamingQuery) -> None:
+    """Wait for a stream that works off what is there; raise if it left rows out."""
+    query.awaitTermination()
+    if late := late_rows(query):
+        raise RuntimeError(f"{late} late snapshots are in no session; see catch_up_sessions")

@@ -8,10 +8,12 @@ from tests.conftest import at, plan_of
 
 
 def test_activity_counts_distinct_airborne_aircraft(snapshots):
-    rows = marts.aircraft_activity(snapshots).filter("hour = 10").collect()
-    assert [r.active_aircraft_count for r in rows] == [1]
-    both = marts.aircraft_activity(snapshots, only_airborne=False).filter("hour = 10").first()
-    assert both.active_aircraft_count == 2
+    def active(**options):
+        report = marts.aircraft_activity(snapshots, **options)
+        return {r.hour: r.active_aircraft_count for r in report.collect()}
+
+    assert active() == {6: 2, 7: 1}
+    assert active(only_airborne=False) == {6: 4, 7: 1}
 
 
 def test_unknown_ground_state_is_not_airborne(silver):
@@ -19,12 +21,10 @@ def test_unknown_ground_state_is_not_airborne(silver):
     assert marts.aircraft_activity(df).count() == 0
 
 
-def test_airline_counts(snapshots):
-    rows = marts.airline_counts(snapshots).collect()
-    assert {(r.airline_name, r.airline_icao, r.aircraft_count) for r in rows} == {
-        ("Alpha", "AAA", 1),
-        ("Beta", "BBB", 1),
-    }
+def test_airlines_count_aircraft_and_not_snapshots(snapshots):
+    report = marts.airline_counts(snapshots).collect()
+    counted = {r.airline_icao: (r.airline_name, r.aircraft_count) for r in report}
+    assert counted == {"NRT": ("Norte", 2), "SUL": ("Sul", 1), "N/A": ("Desconhecida", 1)}
 
 
 def test_blank_and_missing_labels_are_replaced(silver):
@@ -47,9 +47,11 @@ def test_airline_counts_names_missing_columns(snapshots):
 
 
 def test_means_ignore_nulls_and_include_ground_rows(snapshots):
-    row = marts.altitude_speed(snapshots).filter("hour = 10").first()
-    assert (row.avg_altitude, row.avg_velocity) == (975.0, 106.0)
-    assert (row.altitude_observations, row.velocity_observations) == (4, 5)
+    early, late = marts.altitude_speed(snapshots).orderBy("hour").collect()
+    assert (early.avg_altitude, early.altitude_observations) == (4550.0, 6)
+    assert (early.avg_velocity, early.velocity_observations) == (104.9, 5)
+    assert (late.avg_altitude, late.altitude_observations) == (None, 0)
+    assert (late.avg_velocity, late.velocity_observations) == (190.0, 1)
 
 
 def test_mean_of_nothing_is_null(silver):
@@ -58,19 +60,21 @@ def test_mean_of_nothing_is_null(silver):
     assert row.avg_altitude is None and row.altitude_observations == 0
 
 
-def test_area_duration_uses_closed_sessions(snapshots):
+def test_area_duration_uses_closed_sessions_with_a_length(snapshots):
     report, sessions = marts.monitored_area_duration(snapshots)
-    closed = sessions.filter("has_exit = 1").collect()
-    assert sorted(r.duration_seconds for r in closed) == [1200, 1200]
-    row = report.first()
-    assert (row.avg_area_duration_seconds, row.sessions_used) == (1200.0, 2)
-    assert sessions.filter("has_exit = 0").count() == 1
+    lengths = {(r.icao24, r.has_exit): r.duration_seconds for r in sessions.collect()}
+    assert lengths == {
+        ("k1", 1): 1500, ("k1", 0): 0, ("k2", 1): 120, ("k3", 1): 1140, ("k4", 1): 0,
+    }
+    assert [tuple(r)[-2:] for r in report.collect()] == [(920.0, 3)]
 
 
 def test_quality_counters(snapshots):
-    row = marts.session_quality(build_sessions(snapshots)).first()
-    assert tuple(row) == (3, 2, 1, 0)
-    assert len(marts.session_quality_basic(build_sessions(snapshots)).columns) == 3
+    sessions = build_sessions(snapshots)
+    names = ("total", "closed", "open", "discarded_non_positive")
+    expected = dict(zip((f"sessions_{n}" for n in names), (5, 4, 1, 1)))
+    assert marts.session_quality(sessions).first().asDict() == expected
+    assert marts.session_quality_basic(sessions).columns == list(expected)[:3]
 
 
 def test_quality_of_no_sessions(snapshots):
@@ -94,7 +98,7 @@ def test_run_date_after_sessions_keeps_a_session_over_midnight_whole(silver):
 
 
 def test_empty_run_date_keeps_everything(snapshots):
-    assert on_date(snapshots, "").count() == on_date(snapshots, None).count() == 6
+    assert on_date(snapshots, "").count() == on_date(snapshots, None).count() == 8
 
 
 def test_area_borders_are_inside(spark):

@@ -12,7 +12,8 @@ from skylattice.operators.sessions import build_sessions
 from skylattice.plans import jobs
 from skylattice.schemas import BRONZE, SILVER
 from skylattice.sources import envelope_files, snapshot_files
-from skylattice.streaming import start_bronze, start_sessions, start_silver
+from skylattice.streaming import finish as strict
+from skylattice.streaming import read_streamed, start_bronze, start_sessions, start_silver
 from tests.conftest import instant
 
 BASE = 1_767_225_600
@@ -57,7 +58,7 @@ def test_silver_starts_before_bronze_has_data(spark, bronze, airlines, folder):
     Path(source).mkdir()
     dimension = clean_airlines(airlines({"Airline ID": "1", "Nome": "Gol", "ICAO": "GLO"}))
 
-    def run(within="2 days"):
+    def run(within=None):
         stream = snapshot_files(spark, source)
         finish(start_silver(stream, dimension, out, checkpoint, within, processing_time=None))
 
@@ -116,7 +117,7 @@ def closed_by_stream(spark, silver, folder, batches, lateness=1, gap=1800):
     for rows in batches:
         silver(*rows).write.mode("append").parquet(source)
         stream = snapshot_files(spark, source, SILVER)
-        finish(start_sessions(stream, out, checkpoint, gap, lateness, processing_time=None))
+        strict(start_sessions(stream, out, checkpoint, gap, lateness, processing_time=None))
     return spark.read.schema(SESSIONS).parquet(out)
 
 
@@ -144,14 +145,32 @@ def test_stream_sessions_equal_closed_batch_sessions(spark, silver, folder):
         assert expected.count() == 5
 
 
-def test_late_snapshots_are_left_to_the_batch_report(spark, silver, folder):
-    batches = [seen("a", 0) + seen("b", 10_000), seen("a", 100), seen("b", 20_000)]
-    result = closed_by_stream(spark, silver, folder, batches)
-    assert [r.duration_seconds for r in result.filter("icao24 = 'a'").collect()] == [0]
-    waiting = closed_by_stream(spark, silver, folder, batches, lateness=12_000)
+def test_late_snapshots_are_counted_and_end_the_wait(spark, silver, folder):
+    batches = [seen("a", 0) + seen("b", 10_000), seen("a", 100)]
+    with pytest.raises(RuntimeError, match="1 late"):
+        closed_by_stream(spark, silver, folder, batches)
+    waiting = closed_by_stream(spark, silver, folder, [*batches, seen("b", 20_000)], 12_000)
     assert [(r.icao24, r.duration_seconds) for r in waiting.collect()] == [("a", 100)]
 
 
+def test_kept_copy_is_the_earliest_of_a_batch(spark, bronze, airlines, folder):
+    source, out, checkpoint = folder(), folder(), folder()
+    row = {"icao24": "a", "last_contact": BASE, "callsign": "GLO1"}
+    bronze(*({**row, "time": BASE + o} for o in (30, 5, 90))).repartition(3).write.parquet(source)
+    dimension, run = airlines({"ICAO": "GLO", "Nome": "Gol"}), None
+    for limit in (10**9, 1):
+        stream = snapshot_files(spark, source)
+        run = start_silver(
+            stream, lambda: dimension, out, checkpoint, None, None, broadcast_limit_bytes=limit
+        )
+        run.awaitTermination()
+        bronze({**row, "time": BASE}, {**row, "time": BASE, "icao24": "b"}).write.mode(
+            "append"
+        ).parquet(source)
+    rows = read_streamed(spark, out).selectExpr("icao24", "unix_timestamp(time)", "Nome")
+    assert sorted(map(tuple, rows.collect())) == [("a", BASE + 5, "Gol"), ("b", BASE, "Gol")]
+
+
 @pytest.mark.parametrize("options", [{"lateness": 0}, {"gap": 0}])
 def test_impossible_session_settings(spark, silver, folder, options):
     with pytest.raises(ValueError):
