@@ -6,9 +6,11 @@ one is 3 bits away, the five codewords at 4 bits. If x and y differ in one bit,
 nearest codeword of x is among the six of y; if they differ in two or three it often is.
 
 For a pair (s, t) of segments a fingerprint gives the keys (nearest codeword of s, any of
-t) and (any of s, nearest of t), 24 bits each; ``every`` adds (any of s, any of t). Keys are joined by a sort on the key,
-candidates are verified by the number of differing bits, and each key's group passes on
-the edges of a spanning forest of its links instead of all pairs. Only distinct
+t) and (any of s, nearest of t), 24 bits each; ``every`` adds (any of s, any of t). Keys
+that share the codeword of s travel in one row with the fingerprint, so the shuffle holds
+a fingerprint once for each of them; the task that gets the row unfolds its keys and sorts
+them. Candidates are verified by the number of differing bits, and each key's group passes
+on the edges of a spanning forest of its links instead of all pairs. Only distinct
 fingerprints take part; copies of a text are folded into one beforehand.
 
 ``THREE_BITS``: 64 bits, at most 3 of which differ, segments of 22, 21 and 21 bits. Three
@@ -192,37 +194,53 @@ def golay() -> Golay:
     return _GOLAY[0]
 
 
-def fuzzy_keys(prints: np.ndarray, scheme: Scheme) -> tuple[np.ndarray, np.ndarray]:
-    """(keys, index of the fingerprint) for fingerprints in rows."""
+def fuzzy_keys(
+    prints: np.ndarray, scheme: Scheme, spread: int = 1
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(index of the fingerprint, pair and first codeword, second codewords), in parts.
+
+    The second codewords are six columns, -1 where there is none; each of them makes a key
+    with the first. With ``spread`` they come in so many rows, by remainder.
+    """
     segments = [golay().keys(_segment(prints, at, n)) for at, n in scheme.segments]
-    keys, owners = [], []
     for number, (s, t) in enumerate(scheme.pairs):
         first, second = segments[s], segments[t]
-        if scheme.every:
-            parts = ((np.repeat(first, 6, axis=1), np.tile(second, (1, 6)), 36),)
-        else:
-            parts = ((first[:, :1], second, 6), (first[:, 1:], second[:, :1], 5))
-        for x, y, n in parts:
-            there = ((x >= 0) & (y >= 0)).ravel()
-            keys.append(((number << 24) | (x << 12) | y).ravel()[there])
-            owners.append(np.repeat(np.arange(len(prints)), n)[there])
-    return np.concatenate(keys), np.concatenate(owners)
-
-
-def _emit_keys(scheme: Scheme):
+        for column in range(6):
+            others = second
+            if column and not scheme.every:
+                others = np.where(np.arange(6) == 0, second, -1)
+            for remainder in range(spread):
+                of = np.where(others % spread == remainder, others, -1)
+                there = np.flatnonzero((first[:, column] >= 0) & (of >= 0).any(axis=1))
+                yield there, (number << 12) | first[there, column], of[there]
+
+
+def _emit_keys(scheme: Scheme, spread: int):
+    """Rows (dealt, second, node, fp): all keys of a fingerprint that one task will sort."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 4_000):
                 part = batch.slice(at, 4_000)
-                keys, owners = fuzzy_keys(_matrix(part.column("fp"), scheme.words), scheme)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(keys.astype(np.int32)),
-                        part.column("node").take(pa.array(owners)),
-                        part.column("fp").take(pa.array(owners)),
-                    ],
-                    ["key", "node", "fp"],
-                )
+                prints = _matrix(part.column("fp"), scheme.words)
+                for owners, first, second in fuzzy_keys(prints, scheme, spread):
+                    there = second >= 0
+                    ends = np.concatenate([[0], np.cumsum(there.sum(axis=1))])
+                    of = pa.array(owners)
+                    # All codewords of a row leave the same remainder.
+                    dealt = first * spread + second.max(axis=1) % spread
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(dealt),
+                            pa.ListArray.from_arrays(
+                                pa.array(ends.astype(np.int32)),
+                                pa.array(second[there].astype(np.int16)),
+                            ),
+                            part.column("node").take(of),
+                            part.column("fp").take(of),
+                        ],
+                        ["dealt", "second", "node", "fp"],
+                    )
 
     return run
 
@@ -285,10 +303,18 @@ def _emit_links(scheme: Scheme, small: int = 4):
 def links(nodes: DataFrame, scheme: Scheme = THREE_BITS) -> DataFrame:
     """Pairs (a, b) of nodes (node, fp) whose components are those of all links found."""
     width = shuffle_width(nodes.sparkSession)
-    keyed = nodes.select("node", "fp").mapInArrow(
-        _emit_keys(scheme), "key int, node long, fp binary"
+    # Four values to deal by for each task, so that no task gets many more than another.
+    spread = -(-4 * width // (len(scheme.pairs) << 12))
+    packed = nodes.select("node", "fp").mapInArrow(
+        _emit_keys(scheme, spread),
+        "dealt long, second array<smallint>, node long, fp binary",
+    )
+    dealt = (
+        packed.repartition(width, "dealt")
+        .select("dealt", F.explode("second").alias("second"), "node", "fp")
+        .selectExpr(f"cast((dealt div {spread}) * 4096 + second as int) as key", "node", "fp")
+        .sortWithinPartitions("key")
     )
-    dealt = keyed.repartition(width, "key").sortWithinPartitions("key")
     return dealt.mapInArrow(_emit_links(scheme), "a long, b long").distinct()
 
 

@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -61,19 +62,45 @@ def test_nearest_codeword_is_among_the_neighbours_keys():
         assert (other == own[:, :1]).any(axis=1).all()
 
 
+def keys_of(prints, scheme, spread=1):
+    """The set of keys of each fingerprint."""
+    mine = [set() for _ in prints]
+    for owners, dealt, second in simhash.fuzzy_keys(prints, scheme, spread):
+        for owner, first, others in zip(owners, dealt.tolist(), second.tolist(), strict=True):
+            new = {(first, other) for other in others if other >= 0}
+            assert new and not new & mine[owner]
+            mine[owner] |= new
+    return mine
+
+
 def test_three_bits_lose_no_link():
     rng = np.random.default_rng(2)
     x = rng.integers(0, 1 << 63, 3000, dtype=np.uint64)
     y = x.copy()
     for _ in range(3):
         y ^= np.uint64(1) << rng.integers(0, 64, len(y)).astype(np.uint64)
-    keys, owners = simhash.fuzzy_keys(np.concatenate([x, y])[:, None], THREE_BITS)
-    mine = [set() for _ in range(2 * len(x))]
-    for key, owner in zip(keys.tolist(), owners.tolist(), strict=True):
-        mine[owner].add(key)
+    mine = keys_of(np.concatenate([x, y])[:, None], THREE_BITS)
     assert all(mine[i] & mine[i + len(x)] for i in range(len(x)))
 
 
+@pytest.mark.parametrize("scheme", [THREE_BITS, SIMILAR])
+@pytest.mark.parametrize("spread", [1, 3])
+def test_dealt_rows_hold_the_same_keys(scheme, spread):
+    rng = np.random.default_rng(3)
+    prints = rng.integers(0, 1 << 64, (500, scheme.words), dtype=np.uint64)
+    node = np.arange(len(prints)) + 10
+    rows = pa.RecordBatch.from_arrays(
+        [pa.array(node), pa.array([p.tobytes() for p in prints])], ["node", "fp"]
+    )
+    got = [set() for _ in prints]
+    for batch in simhash._emit_keys(scheme, spread)(iter([rows])):
+        for row in batch.to_pylist():
+            assert row["fp"] == prints[row["node"] - 10].tobytes()
+            assert {y % spread for y in row["second"]} == {row["dealt"] % spread}
+            got[row["node"] - 10] |= {(row["dealt"] // spread, y) for y in row["second"]}
+    assert got == keys_of(prints, scheme)
+
+
 def test_awkward_rows(spark):
     rows = [*AWKWARD, (30, "A B c"), (31, "one two"), (32, "ONE two")]
     got = near_duplicate_classes(docs(spark, rows)).collect()
