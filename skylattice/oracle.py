@@ -229,6 +229,18 @@ def oracle_sql() -> dict[str, str]:
     )
     return {
         "envelope_roundtrip": bronze,
+        "envelope_rejects": """
+select * from (
+  select
+    case event_id % 5
+      when 0 then concat('{"time": ', event_id, ', "states": []}')
+      when 1 then concat('broken ', event_id)
+      when 2 then concat('{"time": ', event_id, '}') end as "value",
+    case event_id % 5
+      when 0 then 'no states' when 1 then 'no envelope' when 2 then 'no states'
+      when 4 then 'no value' end as reason
+  from events)
+where reason is not null""",
         "bbox_filter": _bronze(
             'select event_id, "time", icao24, latitude, longitude from bronze '
             "where latitude between -24.10 and -23.20 and longitude between -47.20 and -46.20"
@@ -287,6 +299,13 @@ def oracle_sql() -> dict[str, str]:
         "mart_roundtrip": airline_counts,
         "mart_dynamic_overwrite": airline_counts,
         "all_reports_activity": activity,
+        "job_aircraft_activity": activity,
+        "job_airline_counts": airline_counts,
+        "job_altitude_speed": altitude_speed,
+        "job_area_duration": _session(_DURATION.format(extra=""), WIDE_GAP),
+        "job_area_duration_day": _session(
+            _DURATION.format(extra=f'and "date" = {run_date}'), WIDE_GAP
+        ),
         "silver_rebuild": silver,
         "stream_bronze": bronze,
         "stream_silver": silver,

@@ -13,7 +13,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from skylattice import driver_tables as tables
 from skylattice.operators import sessions as sess
 from skylattice.operators.airlines import clean_airlines
-from skylattice.operators.envelopes import decode_envelopes, encode_envelopes
+from skylattice.operators.envelopes import (
+    decode_envelopes,
+    encode_envelopes,
+    rejected_messages,
+)
 from skylattice.operators.filters import inside_area, on_date, with_call_sign
 from skylattice.plans import jobs, marts
 from skylattice.plans.silver import removed_rows
@@ -58,6 +62,18 @@ def envelope_roundtrip(spark, sf_dir):
     return decode_envelopes(encode_envelopes(tables.bronze(spark, sf_dir)))
 
 
+@query
+def envelope_rejects(spark, sf_dir):
+    """Messages made from the events, four of five of them without states in some way."""
+    value = """case event_id % 5
+        when 0 then concat('{"time": ', event_id, ', "states": []}')
+        when 1 then concat('broken ', event_id)
+        when 2 then concat('{"time": ', event_id, '}')
+        when 3 then concat('{"time": ', event_id, ', "states": [{"icao24": "u', user_id, '"}]}')
+        end as value"""
+    return rejected_messages(tables.table(spark, sf_dir, "events").selectExpr(value))
+
+
 @query
 def bbox_filter(spark, sf_dir):
     return inside_area(tables.bronze(spark, sf_dir)).select(
@@ -323,6 +339,40 @@ def all_reports_area_duration(spark, sf_dir):
     return _all_reports(spark, sf_dir, "monitored_area_duration")
 
 
+def _job(spark, sf_dir, job, *arguments, **options):
+    """The mart that a single job writes from a silver table."""
+    silver, mart = new_path(spark, "silver"), new_path(spark, "mart")
+    write_table(tables.silver(spark, sf_dir), silver)
+    job(spark, silver, mart, *arguments, **options)
+    return spark.read.parquet(mart)
+
+
+@query
+def job_aircraft_activity(spark, sf_dir):
+    return _job(spark, sf_dir, jobs.run_aircraft_activity)
+
+
+@query
+def job_airline_counts(spark, sf_dir):
+    return _job(spark, sf_dir, jobs.run_airline_counts)
+
+
+@query
+def job_altitude_speed(spark, sf_dir):
+    return _job(spark, sf_dir, jobs.run_altitude_speed)
+
+
+@query
+def job_area_duration(spark, sf_dir):
+    return _job(spark, sf_dir, jobs.run_area_duration, session_gap=WIDE_GAP)
+
+
+@query
+def job_area_duration_day(spark, sf_dir):
+    """One entry date, from the days the job finds it needs."""
+    return _job(spark, sf_dir, jobs.run_area_duration_day, RUN_DATE, session_gap=WIDE_GAP)
+
+
 @query
 def silver_rebuild(spark, sf_dir):
     """Bronze and airline files to the silver table, by the rebuild job."""

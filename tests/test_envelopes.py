@@ -3,7 +3,7 @@ from collections import Counter
 
 import pytest
 
-from skylattice.operators.envelopes import decode_envelopes, encode_envelopes
+from skylattice.operators.envelopes import decode_envelopes, encode_envelopes, rejected_messages
 from skylattice.schemas import BRONZE
 from tests.conftest import plan_of
 
@@ -71,6 +71,39 @@ def test_a_wide_poll_is_split_and_nothing_is_lost(bronze):
     assert Counter(decode_envelopes(encoded).collect()) == Counter(df.collect())
 
 
+def test_messages_are_bounded_by_bytes_and_nothing_is_lost(bronze):
+    rows = [{"time": 1, "icao24": f"a{i}", "callsign": "ä" * (i % 50)} for i in range(300)]
+    df = bronze(*rows).coalesce(1)
+    encoded = encode_envelopes(df, max_bytes=5000)
+    sizes = [len(r.value.encode()) for r in encoded.collect()]
+    assert len(sizes) > 10 and max(sizes) < 5000 + 600
+    assert Counter(decode_envelopes(encoded).collect()) == Counter(df.collect())
+
+
+def test_a_poll_of_5000_states_fits_a_topic(bronze):
+    df = bronze(*({"time": 1, "icao24": f"a{i}"} for i in range(5000))).coalesce(1)
+    assert max(len(r.value) for r in encode_envelopes(df).collect()) < 1_000_000
+
+
+def test_every_message_is_decoded_or_rejected(spark):
+    values = {
+        None: "no value",
+        "": "no envelope",
+        "not json": "no envelope",
+        '{"x": 1}': "no envelope",
+        '{"time": 1}': "no states",
+        '{"time": 1, "states": null}': "no states",
+        '{"time": 1, "states": []}': "no states",
+        '{"states": [{"icao24": "a"}]}': None,
+        '{"time": 1, "states": [{"icao24": "a"}]}': None,
+    }
+    df = spark.createDataFrame([(v,) for v in values], "value string")
+    rejected = {r.value: r.reason for r in rejected_messages(df).collect()}
+    assert rejected == {v: reason for v, reason in values.items() if reason}
+    assert decode_envelopes(df).count() == 2
+    assert "Exchange" not in plan_of(rejected_messages(df))
+
+
 def test_numbering_and_gathering_share_one_shuffle(bronze):
     plan = plan_of(encode_envelopes(bronze({"time": 1, "icao24": "a"})))
     tree = plan.split("\n\n\n")[0]
