@@ -15,14 +15,17 @@ TOPIC = "plane_data"
 SERVERS_VARIABLE = "KAFKA_BOOTSTRAP_SERVERS"
 DEFAULT_SERVERS = "kafka:29092"
 
+#: Messages of one batch for each core; a message is up to about a million bytes.
+OFFSETS_PER_CORE = 10_000
+
 
 def kafka_options(
     servers: str | None = None,
     topic: str = TOPIC,
     starting_offsets: str = "earliest",
-    max_offsets_per_trigger: int | None = 1_000_000,
+    max_offsets_per_trigger: int | None = None,
 ) -> dict[str, str]:
-    """Reader options. The offset limit keeps the first batch of a backlog bounded."""
+    """Reader options. An offset limit keeps the first batch of a backlog bounded."""
     options = {
         "kafka.bootstrap.servers": servers or os.getenv(SERVERS_VARIABLE, DEFAULT_SERVERS),
         "subscribe": topic,
@@ -34,7 +37,14 @@ def kafka_options(
 
 
 def kafka_envelopes(spark: SparkSession, **options) -> DataFrame:
-    """Stream of messages; feed it to ``decode_envelopes``."""
+    """Stream of messages; feed it to ``decode_envelopes``.
+
+    Unless ``max_offsets_per_trigger`` is given, a batch takes as many messages as the
+    cores the session started with work off, so the limit rises with the cluster.
+    """
+    options.setdefault(
+        "max_offsets_per_trigger", OFFSETS_PER_CORE * spark.sparkContext.defaultParallelism
+    )
     return spark.readStream.format("kafka").options(**kafka_options(**options)).load()
 
 

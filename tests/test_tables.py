@@ -300,6 +300,7 @@ def test_topic_options(monkeypatch):
     monkeypatch.setenv("KAFKA_BOOTSTRAP_SERVERS", "broker:1")
     assert kafka_options()["kafka.bootstrap.servers"] == "broker:1"
     assert kafka_options(servers="s:2", max_offsets_per_trigger=5)["maxOffsetsPerTrigger"] == "5"
+    assert "maxOffsetsPerTrigger" not in kafka_options()
 
 
 def test_missing_connector_is_reported(spark):
