@@ -17,11 +17,15 @@ fingerprints take part; copies of a text are folded into one beforehand.
 errors over three segments leave two with at most one each, so with all three pairs no
 link is lost.
 
-``SIMILAR``: 256 bits over five-word shingles for a Jaccard similarity of 0.8 or more,
-where about 15 % of the bits differ. Six pairs out of eleven segments, with every key, find
-such links with a high probability instead of surely: 0.86 at a similarity of exactly 0.8,
-0.95 at 0.84, 0.99 from 0.87 on (simulated; ``tests/llm/test_simhash.py`` has the recall
-against brute force).
+``SIMILAR``: 256 bits over the set of distinct five-word shingles, for a Jaccard similarity
+of 0.8 or more of these sets, where about 15 % of the bits differ. Nodes are distinct sets.
+Pairs of eleven segments, with every key, give candidates of at most 64 differing bits; they
+are found with a high probability instead of surely (``tests/llm/test_simhash.py`` has the
+recall at 0.8 against brute force). Links are exact: the sets of each component of the
+candidates meet and are compared all with all, and only a similarity of 0.8 or more, by
+64-bit hashes of the shingles, is a link. A component of over ``BLOCK_SHINGLES`` shingles is
+cut into blocks, and each pair of blocks is a unit of its own, so a unit's memory is bounded;
+what is shuffled grows with the number of blocks of a component.
 
 Defined results: null texts are empty; a text without words has fingerprint zero and
 links like any other. ``component_id`` is the smallest non-null ``doc_id`` of the
@@ -60,6 +64,8 @@ class Scheme:
     segments: tuple[tuple[int, int], ...]
     pairs: tuple[tuple[int, int], ...]
     every: bool = False
+    #: Least Jaccard similarity of the sets of shingles; links are verified by it.
+    similarity: float | None = None
 
 
 THREE_BITS = Scheme(
@@ -72,10 +78,11 @@ THREE_BITS = Scheme(
 SIMILAR = Scheme(
     shingle_words=5,
     words=4,
-    max_bits=47,
+    max_bits=64,
     segments=tuple((23 * i, 23) for i in range(11)),
-    pairs=tuple((i, (i + 1) % 11) for i in range(0, 11, 2)),
+    pairs=tuple((i, (i + 1) % 11) for i in range(11)),
     every=True,
+    similarity=0.8,
 )
 
 # x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1 generates the code.
@@ -83,52 +90,101 @@ _GENERATOR = 0b110001110101
 _HASH_SEED = 42
 #: Shingles whose bits are counted at a time.
 _BIT_ROWS = 1 << 13
+#: Shingles of the sets that one block of a component holds.
+BLOCK_SHINGLES = 1 << 20
 
 
 # --- fingerprints -----------------------------------------------------------------
 
 
-def fingerprint(text: bytes, scheme: Scheme = THREE_BITS) -> np.ndarray:
-    """Bit k is 1 if it is set in over half of the shingles' hashes; 64-bit words.
-
-    The first word is of the shingles' XXH64, the others of its further mixing.
-    """
+def shingles(text: bytes, span: int) -> Iterator[np.ndarray]:
+    """XXH64 of the runs of ``span`` words, in parts; a shorter text is one run."""
     words = text.lower().split()  # bytes: A-Z only, and ASCII white space
     if not words:
-        return np.zeros(scheme.words, dtype=np.uint64)
+        return
     joined = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
-    span = min(scheme.shingle_words, len(words))
+    span = min(span, len(words))
     starts = np.concatenate([[0], ends[:-1] + 1])[: len(words) - span + 1].tolist()
     ends = ends[span - 1 :].tolist()
     of = xxhash.xxh64_intdigest
-    ones = np.zeros(64 * scheme.words, dtype=np.int64)
     for at in range(0, len(starts), _BIT_ROWS):
         part = slice(at, at + _BIT_ROWS)
-        hashes = np.array(
+        yield np.array(
             [of(joined[a:b], _HASH_SEED) for a, b in zip(starts[part], ends[part], strict=True)],
             dtype="<u8",
         )
+
+
+def shingle_set(text: bytes, scheme: Scheme) -> np.ndarray:
+    """Distinct hashes of the shingles, ascending."""
+    parts = list(shingles(text, scheme.shingle_words))
+    return np.unique(np.concatenate(parts)) if parts else np.zeros(0, dtype="<u8")
+
+
+def _majority(parts: Iterator[np.ndarray], words: int) -> np.ndarray:
+    ones, count = np.zeros(64 * words, dtype=np.int64), 0
+    for hashes in parts:
         rows = [hashes]
-        for number in range(1, scheme.words):
+        for number in range(1, words):
             rows.append(mix(hashes + np.uint64(number)))
         bits = np.unpackbits(np.stack(rows, axis=1).view(np.uint8), axis=1, bitorder="little")
         ones += bits.sum(axis=0, dtype=np.int32)
-    return np.packbits(2 * ones > len(starts), bitorder="little").view("<u8")
+        count += len(hashes)
+    return np.packbits(2 * ones > count, bitorder="little").view("<u8")
+
+
+def _set_print(of: np.ndarray, scheme: Scheme) -> np.ndarray:
+    parts = (of[at : at + _BIT_ROWS] for at in range(0, len(of), _BIT_ROWS))
+    return _majority(parts, scheme.words)
+
+
+def fingerprint(text: bytes, scheme: Scheme = THREE_BITS) -> np.ndarray:
+    """Bit k is 1 if it is set in over half of the shingles' hashes; 64-bit words.
+
+    The first word is of the shingles' XXH64, the others of its further mixing. Repeated
+    shingles count once if the scheme is about sets.
+    """
+    if scheme.similarity is not None:
+        return _set_print(shingle_set(text, scheme), scheme)
+    return _majority(shingles(text, scheme.shingle_words), scheme.words)
+
+
+def _content(of: np.ndarray) -> int:
+    """Digest of a set."""
+    return xxhash.xxh64_intdigest(of.tobytes(), _HASH_SEED) - (1 << 63)
 
 
 def fingerprints(docs: DataFrame, scheme: Scheme = THREE_BITS) -> DataFrame:
-    """doc_id and the fingerprint, 8 little-endian bytes for each word."""
+    """doc_id and the fingerprint, 8 little-endian bytes for each word.
+
+    If the scheme is about sets, also the set's digest and size.
+    """
+    sets = scheme.similarity is not None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_pieces(batches):
-            prints = [fingerprint(x, scheme).tobytes() for x in encoded(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(prints, pa.binary())], ["doc_id", "fp"]
-            )
+            texts = encoded(batch.column("text"))
+            columns, names = [batch.column("doc_id")], ["doc_id", "fp"]
+            if sets:
+                prints, contents, sizes = [], [], []
+                for text in texts:
+                    of = shingle_set(text, scheme)
+                    prints.append(_set_print(of, scheme).tobytes())
+                    contents.append(_content(of))
+                    sizes.append(len(of))
+                columns += [pa.array(prints, pa.binary()), pa.array(contents, pa.int64())]
+                columns.append(pa.array(sizes, pa.int32()))
+                names += ["content", "size"]
+            else:
+                prints = [fingerprint(x, scheme).tobytes() for x in texts]
+                columns.append(pa.array(prints, pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(run, "doc_id long, fp binary")
+    return rows.mapInArrow(
+        run, "doc_id long, fp binary" + (", content long, size int" if sets else "")
+    )
 
 
 def _matrix(column: pa.Array | pa.ChunkedArray, words: int) -> np.ndarray:
@@ -318,25 +374,153 @@ def links(nodes: DataFrame, scheme: Scheme = THREE_BITS) -> DataFrame:
     return dealt.mapInArrow(_emit_links(scheme), "a long, b long").distinct()
 
 
+# --- verification of sets -----------------------------------------------------------
+
+
+def _sets(scheme: Scheme):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_pieces(batches):
+            sets = [shingle_set(x, scheme) for x in encoded(batch.column("text"))]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id"),
+                    pa.array([_content(x) for x in sets], pa.int64()),
+                    pa.array([x.tobytes() for x in sets], pa.binary()),
+                ],
+                ["doc_id", "digest", "shingles"],
+            )
+
+    return run
+
+
+def _similar(sets: list[np.ndarray], least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Edges, as places in ``sets``, of a spanning forest of the pairs at ``least`` or more."""
+    sizes = np.array([len(x) for x in sets], dtype=np.int64)
+    values, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    bounds = np.concatenate([[0], np.cumsum(sizes)])
+    marked = np.zeros(len(values), dtype=bool)
+    a, b = [], []
+    rest = np.arange(len(sets))
+    while len(rest):
+        frontier, rest = [rest[0]], rest[1:]
+        while frontier and len(rest):
+            x = frontier.pop()
+            own = flat[bounds[x] : bounds[x + 1]]
+            marked[own] = True
+            common = np.concatenate([[0], np.cumsum(marked[flat])])
+            common = common[bounds[rest + 1]] - common[bounds[rest]]
+            marked[own] = False
+            # Decimal bounds like 0.8 are met exactly: 4 of 5 is enough.
+            linked = common >= least * (sizes[rest] + sizes[x] - common) - 1e-9
+            if linked.any():
+                reached = rest[linked]
+                rest = rest[~linked]
+                a.append(np.full(len(reached), x))
+                b.append(reached)
+                frontier.extend(reached.tolist())
+    if not a:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    return np.concatenate(a), np.concatenate(b)
+
+
+def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by unit and node without repeated ones."""
+    last = None
+    for batch in batches:
+        if batch.num_rows:
+            rows = np.stack([batch.column(x).to_numpy() for x in ("unit", "node")], axis=1)
+            new = np.ones(len(rows), dtype=bool)
+            new[1:] = (rows[1:] != rows[:-1]).any(axis=1)
+            new[0] = last is None or (rows[0] != last).any()
+            last = rows[-1].copy()
+            yield batch.filter(pa.array(new))
+
+
+def _emit_similar(least: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(_once(batches), "unit"):
+            nodes = table.column("node").to_numpy()
+            column = table.column("shingles")
+            begins, sizes = groups_of(table.column("unit").to_numpy())
+            for begin, size in zip(begins.tolist(), sizes.tolist(), strict=True):
+                if size > 1:
+                    own = column.slice(begin, size)
+                    sets = [np.frombuffer(x.as_buffer(), dtype="<u8") for x in own]
+                    a, b = _similar(sets, least)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(nodes[a + begin]), pa.array(nodes[b + begin])], ["a", "b"]
+                    )
+
+    return run
+
+
+def similar_links(
+    docs: DataFrame, nodes: DataFrame, candidates: DataFrame, scheme: Scheme
+) -> DataFrame:
+    """Pairs (a, b) whose components are those of all similar pairs in ``candidates``.
+
+    ``candidates`` has (node, root) of the components to look into.
+    """
+    members = candidates.select(F.col("node").alias("own"), "root").join(
+        nodes, F.col("own") == F.col("node")
+    ).select("node", "root", "content", "least", "size")
+    blocks = members.groupBy(F.col("root").alias("of")).agg(
+        F.ceil((F.sum("size") + 1) / BLOCK_SHINGLES).alias("blocks")
+    )
+    placed = store(
+        members.join(blocks, F.col("root") == F.col("of")).select(
+            "node", "root", "content", "least", "blocks",
+            F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"),
+        ),
+        "members",
+    )
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    sets = rows.mapInArrow(_sets(scheme), "doc_id long, digest long, shingles binary").join(
+        placed,
+        (F.col("digest") == F.col("content")) & F.col("doc_id").eqNullSafe(F.col("least")),
+    )
+    # A block meets every block of its component, itself among them.
+    paired = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    units = paired.select(
+        F.xxhash64(
+            "root", F.least("block", "other"), F.greatest("block", "other")
+        ).alias("unit"),
+        "node",
+        "shingles",
+    )
+    dealt = units.repartition(shuffle_width(docs.sparkSession), "unit")
+    return (
+        dealt.sortWithinPartitions("unit", "node")
+        .mapInArrow(_emit_similar(scheme.similarity), "a long, b long")
+        .distinct()
+    )
+
+
+# --- classes ------------------------------------------------------------------------
+
+
 def near_duplicate_classes(docs: DataFrame, scheme: Scheme = THREE_BITS) -> DataFrame:
     """One row per document: doc_id, fingerprint in hex, component_id."""
     printed = store(fingerprints(docs, scheme), "fingerprints")
-    # Distinct fingerprints are the nodes; they are few bytes, and numbered once.
+    # Distinct fingerprints or sets are the nodes; they are few bytes, and numbered once.
+    same = ["fp"] if scheme.similarity is None else ["fp", "content", "size"]
     nodes = store(
-        printed.groupBy("fp")
+        printed.groupBy(*same)
         .agg(F.min("doc_id").alias("least"))
         .withColumn("node", F.monotonically_increasing_id()),
         "nodes",
     )
     stars = components(links(nodes, scheme))
+    if scheme.similarity is not None:
+        stars = components(similar_links(docs, nodes, stars, scheme))
     rooted = nodes.withColumnRenamed("node", "own").join(
         stars, F.col("own") == F.col("node"), "left"
-    ).select("fp", "least", F.coalesce("root", "own").alias("root"))
+    ).select(*same, "least", F.coalesce("root", "own").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = rooted.join(least, "root").select("fp", "component_id")
+    classes = rooted.join(least, "root").select(*same, "component_id")
     # The most significant byte is shown first.
     digits = [F.substring(F.hex("fp"), at, 2) for at in range(16 * scheme.words - 1, 0, -2)]
-    return printed.join(classes, "fp").select(
+    return printed.join(classes, same).select(
         "doc_id", F.lower(F.concat(*digits)).alias("fingerprint"), "component_id"
     )
 
@@ -346,8 +530,8 @@ def drop_near_duplicates(docs: DataFrame, scheme: Scheme = SIMILAR) -> DataFrame
 
     Rows without a ``doc_id`` stay; of rows that repeat a ``doc_id`` one stays.
     """
-    classes = near_duplicate_classes(docs, scheme)
-    stay = classes.filter("doc_id = component_id").select(F.col("doc_id").alias("_stay"))
     named = docs.filter(F.col("doc_id").isNotNull())
+    classes = near_duplicate_classes(named, scheme)
+    stay = classes.filter("doc_id = component_id").select(F.col("doc_id").alias("_stay"))
     kept = named.join(stay, F.col("doc_id") == F.col("_stay"), "left_semi")
     return kept.dropDuplicates(["doc_id"]).unionByName(docs.filter(F.col("doc_id").isNull()))

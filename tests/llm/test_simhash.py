@@ -167,3 +167,51 @@ def test_drop_keeps_one_of_each_class_and_rows_without_id(spark):
     kept = simhash.drop_near_duplicates(table)
     assert kept.columns == table.columns
     assert sorted((r.doc_id for r in kept.collect()), key=str) == [4, 6, None]
+
+
+def shingles_of(text):
+    w = text.split()
+    return {tuple(w[k : k + 5]) for k in range(len(w) - 4)}
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b)
+
+
+def edited_to(rng, base, low, high):
+    """``base`` with words changed until its similarity is within the bounds."""
+    out, own = base[:], shingles_of(" ".join(base))
+    while (found := jaccard(own, shingles_of(" ".join(out)))) >= high:
+        out[rng.randrange(len(out))] = f"n{rng.randrange(10**6)}"
+    return out if found >= low else edited_to(rng, base, low, high)
+
+
+@pytest.mark.parametrize("block", [simhash.BLOCK_SHINGLES, 700])
+def test_drop_keeps_to_the_threshold(spark, monkeypatch, block):
+    """Pairs on both sides of 0.8 and shared repeated lines, against brute force."""
+    monkeypatch.setattr(simhash, "BLOCK_SHINGLES", block)
+    rng = random.Random(11)
+    texts = []
+    for low, high, n in ((0.8, 0.84, 80), (0.7, 0.8, 80)):
+        for _ in range(n):
+            base = words(rng, 160, 50_000)
+            texts += [base, edited_to(rng, base, low, high)]
+    line = words(rng, 10, 50_000)
+    texts += [words(rng, 300, 50_000) + line * 20 for _ in range(12)]
+    chain = [words(rng, 200, 50_000)]
+    for _ in range(8):
+        chain.append(edited_to(rng, chain[-1], 0.85, 0.95))
+    texts += chain
+    joined = {i: " ".join(t) for i, t in enumerate(texts)}
+    sets = {i: shingles_of(t) for i, t in joined.items()}
+    near = {
+        (i, j) for i in sets for j in range(i + 1, len(sets)) if jaccard(sets[i], sets[j]) >= 0.8
+    }
+    true = plain_classes(sets, lambda a, b: jaccard(a, b) >= 0.8)
+    table = docs(spark, list(joined.items()))
+    classes = {r.doc_id: r.component_id for r in near_duplicate_classes(table, SIMILAR).collect()}
+    assert all(true[c] == true[i] for i, c in classes.items())
+    found = sum(classes[i] == classes[j] for i, j in near)
+    assert len(near) >= 80 and found >= 0.96 * len(near)
+    kept = {r.doc_id for r in simhash.drop_near_duplicates(table).select("doc_id").collect()}
+    assert {i for i, c in true.items() if i == c} <= kept
