@@ -4,7 +4,7 @@ A text is normalised (case, copyright lines, equivalent spellings, punctuation a
 white space) and the SHA-256 of the whole normalised text is looked up among the
 digests of known licences. A document's lines are looked up in the same way, since a
 one-line notice is a whole licence text of its own. There is no shuffle of texts: the
-digest table is small by construction (the texts in ``licences``) and is broadcast;
+digest table is small by construction (the texts and digests in ``licences``) and is broadcast;
 a table given by the caller carries no hint, so Spark picks the join by its size.
 
 Defined results: null and empty texts have no digest and no licence; a text of
@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from skylattice.llm.licences import EQUIVALENT, TEXTS
+from skylattice.llm.licences import DIGESTS, EQUIVALENT, TEXTS
 
 #: A line that only states who holds the copyright, or that all rights are reserved.
 COPYRIGHT_LINE = (
@@ -40,10 +40,15 @@ def digest(text: Column) -> Column:
 
 
 def known_digests(spark: SparkSession) -> DataFrame:
-    """(digest, licence) of the texts of this package."""
-    rows = F.array(*(F.struct(F.lit(n).alias("n"), F.lit(t).alias("t")) for n, t in TEXTS))
-    texts = spark.range(1).select(F.inline(rows))
-    return texts.groupBy(digest(F.col("t")).alias("digest")).agg(F.min("n").alias("licence"))
+    """(digest, licence) of the texts and digests of this package."""
+
+    def table(pairs: tuple[tuple[str, str], ...], name: str) -> DataFrame:
+        rows = (F.struct(F.lit(n).alias("n"), F.lit(x).alias(name)) for n, x in pairs)
+        return spark.range(1).select(F.inline(F.array(*rows)))
+
+    texts = table(TEXTS, "t").select("n", digest(F.col("t")).alias("digest"))
+    known = texts.unionByName(table(DIGESTS, "digest"))
+    return known.groupBy("digest").agg(F.min("n").alias("licence"))
 
 
 def scan_licences(

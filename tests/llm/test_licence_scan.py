@@ -1,3 +1,7 @@
+from pathlib import Path
+
+import pytest
+
 from skylattice.llm.licence_scan import scan_licences
 from skylattice.llm.licences import TEXTS
 from skylattice.llm.queries import ORACLE_SQL, QUERIES
@@ -43,3 +47,27 @@ def test_no_python_and_no_shuffle_of_texts(spark):
     plan = plan_of(QUERIES["op7_licence_digests"](spark, SF_DIR))
     assert "Python" not in plan and "Arrow" not in plan and "Scan ExistingRDD" not in plan
     assert "SortMergeJoin" not in plan
+
+
+LONG = {
+    "Apache-2.0": "Apache-2.0", "CC0-1.0": "CC0-1.0", "GFDL-1.2": "GFDL-1.2",
+    "GFDL-1.3": "GFDL-1.3", "GPL-1": "GPL-1.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0",
+    "LGPL-2": "LGPL-2.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0", "MPL-1.1": "MPL-1.1",
+    "MPL-2.0": "MPL-2.0", "Artistic": "Artistic-1.0",
+}
+
+
+def test_long_licences_as_whole_texts(spark):
+    folder = Path("/usr/share/common-licenses")
+    texts = [(folder / name).read_text() for name in LONG if (folder / name).is_file()]
+    if len(texts) < len(LONG):
+        pytest.skip("this system has not all the texts")
+    rows = list(enumerate(texts))
+    rows += [(100 + i, x.upper().replace("\n", "\r\n ")) for i, x in rows]
+    end = "END OF TERMS AND CONDITIONS"
+    cut = [(200 + i, x[: x.index(end)]) for i, x in rows[: len(texts)] if end in x]
+    rows += cut + [(300 + i, x[:-40]) for i, x in rows[: len(texts)]]
+    got = {r.doc_id: r.licence for r in scan_licences(docs(spark, rows)).collect()}
+    names = list(LONG.values())
+    assert len(cut) >= 6
+    assert all(got[i] == (None if i >= 300 else names[i % 100]) for i in got)
