@@ -7,7 +7,9 @@ blocks. Both ratios are smoothed along the page, fused into one score together w
 what the elements say about themselves (an article speaks for, a menu against), and
 paths are selected by a threshold relative to the page's best. The selected paths'
 common element gives the content; everything in it that is not marked as something
-else belongs to the text, headings and short lines included.
+else belongs to the text, headings and short lines included. A name marks an element by the
+leading word of a token (``sidebar-left``, not ``no-sidebar``), and article and main elements
+never; if names leave no path, they are not heeded.
 
 Pages are independent, so there is no shuffle.
 
@@ -55,7 +57,7 @@ _WORD = re.compile(r"[a-z]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 # Elements as the HTML standard groups them.
-_RAW = frozenset("script style noscript template textarea title iframe svg math object".split())
+_RAW = frozenset("script style noscript template textarea title iframe svg object".split())
 _VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
@@ -80,7 +82,7 @@ _NEVER = frozenset(
     "head nav footer aside form menu dialog select option button fieldset label".split()
 )
 _ARTICLE = frozenset(("article", "main"))
-#: Words in a class, id or role that mark an element as no part of the article.
+#: Leading words of class tokens, ids and roles that mark an element as no part of the article.
 _MARKS = frozenset(
     "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion "
     "menu nav navbar navigation breadcrumb breadcrumbs sidebar widget widgets footer masthead "
@@ -99,6 +101,8 @@ class Block:
     linked: int
     article: str | None
     barred: bool
+    #: Barred by its element or hidden, whatever the names say.
+    shut: bool
 
 
 @dataclass
@@ -107,16 +111,19 @@ class _Open:
     path: str
     article: str | None
     barred: bool
+    shut: bool
 
 
 def _opened(tag: str, attributes: str, parent: _Open) -> _Open:
     words: list[str] = []
+    leading: list[str] = []
     hidden = False
     for match in _ATTRIBUTE.finditer(attributes):
         name = match[1].lower()
         value = match[2] or match[3] or match[4] or ""
         if name in ("class", "id", "role"):
             words += _WORD.findall(value.lower())
+            leading += [m[0] for x in value.lower().split() if (m := _WORD.search(x))]
         elif name == "style":
             hidden |= bool(_HIDDEN.search(value))
         elif name == "hidden":
@@ -124,20 +131,21 @@ def _opened(tag: str, attributes: str, parent: _Open) -> _Open:
         else:
             hidden |= value.lower() == "true"
     article = parent.article
-    marked = not _MARKS.isdisjoint(words) and tag not in ("html", "body")
-    barred = parent.barred or hidden or tag in _NEVER or marked
+    marked = not _MARKS.isdisjoint(leading) and tag not in ("html", "body", *_ARTICLE)
+    shut = parent.shut or hidden or tag in _NEVER
+    barred = parent.barred or shut or marked
     if article is None and not barred:
         barred = tag == "header" or ("header" in words and tag not in ("html", "body"))
     path = f"{parent.path}/{'.'.join([tag, *words])}"
     if article is None and not barred and (tag in _ARTICLE or "main" in words and tag == "div"):
         article = path
-    return _Open(tag, path, article, barred)
+    return _Open(tag, path, article, barred, shut)
 
 
 def blocks(page: str) -> list[Block]:
     """Text blocks of a page in order."""
     out: list[Block] = []
-    stack = [_Open("", "", None, False)]
+    stack = [_Open("", "", None, False, False)]
     parts: list[str] = []
     linked, links = 0, 0
 
@@ -148,7 +156,10 @@ def blocks(page: str) -> list[Block]:
             top = stack[-1]
             letters = len(text)
             out.append(
-                Block(top.path, text, letters, min(linked, letters), top.article, top.barred)
+                Block(
+                    top.path, text, letters, min(linked, letters), top.article, top.barred,
+                    top.shut,
+                )
             )
         parts.clear()
         linked = 0
@@ -236,6 +247,11 @@ def main_text(page: str | None, threshold: float = THRESHOLD) -> str:
     if not found:
         return ""
     chosen = _selected(found, threshold)
+    if not chosen:
+        # Names have barred all that could be content; go by the elements alone.
+        for block in found:
+            block.barred = block.shut
+        chosen = _selected(found, threshold)
     roots = {
         (b.article or b.path.rpartition("/")[0]) for b in found if b.path in chosen and not b.barred
     }

@@ -95,3 +95,26 @@ def test_awkward_pages(spark):
     assert got[(7, "u")].text == "deep, but there."
     assert got[(None, "u")].n_chars == 12 * 50_000 - 1
     assert extract_text(table.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize(
+    ("open_", "close"),
+    [
+        ("<article class='post no-sidebar'>", "</article>"),
+        ("<article class='post category-social'>", "</article>"),
+        ("<article class='comment'>", "</article>"),
+        ("<div class='content-sidebar-wrap'>", "</div>"),
+    ],
+)
+def test_names_do_not_bar_the_article(open_, close):
+    assert main_text(PAGE.replace("{open}", open_).replace("{close}", close)) == TEXT
+
+
+def test_names_are_not_heeded_if_they_leave_nothing():
+    page = "<nav>Menu, here.</nav><div class='social'><p>All there is, in one div.</p></div>"
+    assert main_text(page) == "All there is, in one div."
+
+
+def test_formulas_stay_in_the_text():
+    page = "<article><p>So <math><mi>a</mi><mo>=</mo><mi>b</mi></math> holds.</p></article>"
+    assert main_text(page) == "So a=b holds."
