@@ -105,3 +105,19 @@ def test_verification_agrees_with_the_recurrence():
         part = text[begin[0] - len(item) : end[0] - len(item)]
         assert least_distance(item, part) == got[0]
     assert np.all(got >= 0)
+
+
+@pytest.mark.parametrize("length", [100, 150, 200, 300, 400])
+def test_recall_at_the_bound_of_long_items(length):
+    rng = random.Random(length)
+    items = [words(rng, length, 5000) for _ in range(60)]
+    index = d.Index(
+        [(i, Words([" ".join(x).encode()]).digest) for i, x in enumerate(items)],
+        d.EDIT_SHARE, d.REPETITIONS, d.SAMPLES,
+    )
+    texts = []
+    for item in items:
+        text = edited(rng, item, d.max_edits(length))
+        texts.append(" ".join([*words(rng, 40, 5000), *text, *words(rng, 40, 5000)]).encode())
+    found = d.matches(index, Words(texts))
+    assert sum((i, i) in found for i in range(60)) >= 57
