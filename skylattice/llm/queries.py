@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from skylattice.llm import licence_scan
-from skylattice.llm.common import read
+from skylattice.llm.common import read, store
 from skylattice.llm.decontaminate import find_leaks
+from skylattice.llm.dominance_packing import place_pieces, token_pieces
 from skylattice.llm.exact_dedup import exact_groups
 from skylattice.llm.html_text import extract_text
 from skylattice.llm.line_dedup import repeated_lines
@@ -123,5 +124,13 @@ def op10_path_ratio_text(spark, sf_dir):
     return extract_text(read(spark, sf_dir, "pages"))
 
 
+@query
+def op12_dominance_packing(spark, sf_dir):
+    """Pieces are stored with their ids; only the digests of these are dealt out."""
+    pieces = store(token_pieces(read(spark, sf_dir, "documents")), "token-pieces")
+    digests = pieces.withColumn("ids", F.crc32("ids")).withColumnRenamed("ids", "ids_crc32")
+    return place_pieces(digests)
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE_SQL)

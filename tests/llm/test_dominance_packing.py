@@ -1,0 +1,224 @@
+import functools
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from skylattice.llm import word_tokens
+from skylattice.llm.dominance_packing import (
+    Places,
+    best_fit,
+    dominating_set,
+    pack_sequences,
+    packing_plan,
+    reduce_by_dominance,
+    vocabulary_path,
+)
+from skylattice.llm.queries import QUERIES
+from tests.llm.helpers import AWKWARD, docs
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def library():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(vocabulary_path())
+
+
+def expected_ids(text):
+    return [*library_ids(text or ""), 1]
+
+
+@functools.lru_cache(maxsize=None)
+def library_ids(text):
+    return tuple(library().encode(text, add_special_tokens=False).ids)
+
+
+def gapless(rows, width):
+    """Pieces by sequence fill it from 0 without gaps; the number of sequences."""
+    by_sequence = defaultdict(list)
+    for r in rows:
+        by_sequence[r.sequence_id].append((r.offset, r.length))
+    for places in by_sequence.values():
+        end = 0
+        for offset, length in sorted(places):
+            assert offset == end and length >= 1
+            end += length
+        assert end <= width
+    return len(by_sequence)
+
+
+def test_query(spark):
+    table = spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()
+    got = QUERIES["op12_dominance_packing"](spark, SF_DIR)
+    assert got.columns == [
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset",
+    ]
+    rows = got.collect()
+    want = set()
+    for r in table:
+        ids = np.array(expected_ids(r.text), dtype="<u4")
+        for piece, at in enumerate(range(0, len(ids), 4096)):
+            part = ids[at : at + 4096]
+            want.add((r.doc_id, piece, at, len(part), zlib.crc32(part.tobytes())))
+    assert Counter(tuple(r)[:5] for r in rows) == Counter(want)
+    total = sum(r.length for r in rows)
+    assert gapless(rows, 4096) == -(-total // 4096)  # no packing has fewer
+
+
+@pytest.mark.parametrize("width", [1, 3, 50])
+def test_ids_come_back(spark, width):
+    texts = {i: f"Some words {'again ' * i}end! {i}" for i in range(60)}
+    rows = pack_sequences(docs(spark, list(texts.items())), width=width).collect()
+    gapless(rows, width)
+    whole = defaultdict(list)
+    for r in sorted(rows, key=lambda r: r.piece):
+        assert r.start == len(whole[r.doc_id]) == r.piece * width
+        assert r.length == len(r.ids) // 4
+        whole[r.doc_id] += np.frombuffer(bytes(r.ids), "<u4").tolist()
+    assert whole == {i: expected_ids(t) for i, t in texts.items()}
+
+
+def optimum(sizes, width):
+    """Fewest sequences, by trying all packings of few pieces."""
+    best = len(sizes)
+
+    def place(at, rooms):
+        nonlocal best
+        if len(rooms) >= best:
+            return
+        if at == len(sizes):
+            best = len(rooms)
+            return
+        for k in range(len(rooms)):
+            if rooms[k] >= sizes[at] and rooms[k] not in rooms[:k]:
+                place(at + 1, [*rooms[:k], rooms[k] - sizes[at], *rooms[k + 1 :]])
+        place(at + 1, [*rooms, width - sizes[at]])
+
+    sizes = sorted(sizes, reverse=True)
+    place(0, [])
+    return best
+
+
+def random_sizes(rng, width):
+    lowest = rng.choice([1, 1, width // 5 + 1, width // 4 + 1])
+    return [rng.randint(lowest, width) for _ in range(rng.randint(0, 9))]
+
+
+def test_reduction_keeps_a_best_packing():
+    rng, reduced = random.Random(3), Counter()
+    for _ in range(1000):
+        width = rng.choice([7, 12, 20, 31])
+        sizes = random_sizes(rng, width)
+        fixed, left = reduce_by_dominance(Counter(sizes), width)
+        spread = [s for g in fixed for s, n in g.content for _ in range(n * g.times)]
+        assert Counter(spread) + Counter(left) == Counter(sizes)
+        assert all(sum(s * n for s, n in g.content) <= width for g in fixed)
+        rest = [s for s, n in left.items() for _ in range(n)]
+        assert optimum(sizes, width) == sum(g.times for g in fixed) + optimum(rest, width)
+        reduced.update(sum(n for _, n in g.content) for g in fixed)
+    assert {1, 2, 3} <= set(reduced)
+
+
+@pytest.mark.parametrize(
+    "size, others, width, expected",
+    [
+        (9, [2, 3], 10, ()),
+        (6, [4, 3, 1], 10, (4,)),
+        (6, [3, 3], 10, (3,)),
+        (5, [4, 2, 2], 10, (4,)),
+        (5, [4, 2, 2, 1, 1], 10, None),
+        (6, [5, 4, 2], 13, (5, 2)),
+    ],
+)
+def test_dominating_sets(size, others, width, expected):
+    counts = Counter([size, *others])
+    assert dominating_set(size, counts, sorted(counts), width) == expected
+
+
+def plain_best_fit(sizes, width):
+    rooms = []
+    for size in sorted(sizes, reverse=True):
+        fits = [r for r in range(len(rooms)) if rooms[r] >= size]
+        if not fits:
+            fits = [len(rooms)]
+            rooms.append(width)
+        tightest = min(fits, key=lambda r: rooms[r])
+        rooms[tightest] -= size
+    return sorted(rooms)
+
+
+def test_best_fit_of_many_at_a_time():
+    rng = random.Random(8)
+    for _ in range(300):
+        width = rng.choice([1, 9, 30, 100])
+        sizes = [rng.randint(1, width) for _ in range(rng.randint(0, 60))]
+        groups = best_fit(Counter(sizes), width)
+        rooms = [
+            width - sum(s * n for s, n in g.content) for g in groups for _ in range(g.times)
+        ]
+        assert sorted(rooms) == plain_best_fit(sizes, width)
+
+
+def test_places_follow_the_plan():
+    rng = random.Random(9)
+    for _ in range(100):
+        width = rng.choice([5, 40])
+        counts = Counter(rng.randint(1, width) for _ in range(rng.randint(1, 300)))
+        places = Places(packing_plan(counts, width))
+        got = []
+        for size, n in counts.items():
+            sequence, offset = places(np.full(n, size), np.arange(n))
+            got += zip(sequence.tolist(), offset.tolist(), [size] * n, strict=True)
+        ends = {}
+        for sequence, offset, size in sorted(got):
+            assert offset == ends.get(sequence, 0)
+            ends[sequence] = offset + size
+        assert max(ends.values()) <= width and set(ends) == set(range(places.sequences))
+
+
+def test_plan_stays_small_as_pieces_grow():
+    rng = random.Random(2)
+    counts = Counter(min(4096, int(rng.paretovariate(0.8) * 20)) for _ in range(50_000))
+    small = packing_plan(counts, 4096)
+    large = packing_plan({s: n * 100_000 for s, n in counts.items()}, 4096)
+    assert len(large) <= 2 * len(small) + 4096
+    tokens = sum(s * n for s, n in counts.items()) * 100_000
+    assert sum(g.times for g in large) <= 1.001 * tokens / 4096 + 1
+
+
+def test_awkward_rows(spark):
+    rows = pack_sequences(docs(spark, AWKWARD)).collect()
+    gapless(rows, 4096)
+    whole = defaultdict(list)
+    for r in rows:
+        whole[r.doc_id].append((r.piece, r.length))
+    assert len(whole[1]) == 2 and len(whole[None]) == 2
+    assert whole[2] == whole[3] == whole[4] == [(0, 1)]
+    assert sum(n for _, n in whole[6]) == len(expected_ids(AWKWARD[8][1]))
+    assert pack_sequences(docs(spark, [])).collect() == []
+    with pytest.raises(ValueError):
+        pack_sequences(docs(spark, []), width=0)
+
+
+def test_tokens_are_the_librarys(monkeypatch):
+    monkeypatch.setattr(word_tokens, "CACHE", 50)
+    tokens, plain = word_tokens.WordTokens(vocabulary_path()), library()
+    rng = random.Random(5)
+    parts = [
+        " ", "  ", "\n", "\t", "\x0b", "\x1c", "\x85", "\xa0", "　", "a", "B", "Wort", "É",
+        "é", "́", "'s", "'S", "'", "'LL", "12", "½", "²", "ª", "º", "·", "ß", "İ", "Σ",
+        "ς", "ﬁ", "<|endoftext|>", "<|startoftext|>", "<|", "|>", "日本", "!!", "?", "_", "‍",
+        "😀", "µ", "×", "\xad", "\x00", "\x7f", "x" * 90,
+    ]
+    for _ in range(4000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 12)))
+        ids = np.frombuffer(tokens.encode(text), "<u4").tolist()
+        assert ids == plain.encode(text, add_special_tokens=False).ids, repr(text)
+    for code in [*range(1, 0x300), 0x1680, 0x2028, 0x3000]:
+        for text in (f"a{chr(code)}b", f"{chr(code)}'s", f"1{chr(code)}"):
+            ids = np.frombuffer(tokens.encode(text), "<u4").tolist()
+            assert ids == plain.encode(text, add_special_tokens=False).ids, repr(text)
