@@ -22,6 +22,7 @@ from tests.llm.helpers import AWKWARD, docs
 SF_DIR = "/root/testdata/sf0.001"
 
 
+@functools.lru_cache(maxsize=1)
 def library():
     from tokenizers import Tokenizer
 
