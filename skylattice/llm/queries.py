@@ -13,6 +13,7 @@ from skylattice.llm.dominance_packing import place_pieces, token_pieces
 from skylattice.llm.exact_dedup import exact_groups
 from skylattice.llm.html_text import extract_text
 from skylattice.llm.line_dedup import repeated_lines
+from skylattice.llm.merkle import HASHED, build_manifest, fold_leaves, row_digest
 from skylattice.llm.mixing import mix_sources
 from skylattice.llm.packing import pack_tokens
 from skylattice.llm.simhash import near_duplicate_classes
@@ -132,5 +133,91 @@ def op12_dominance_packing(spark, sf_dir):
     return place_pieces(digests)
 
 
+@query
+def op13_midstate_manifest(spark, sf_dir):
+    """Rows with an even CRC-32 of their id are folded without the line ends of their text."""
+    changed = [F.replace("text", F.lit("\n"), F.lit("")) if n == "text" else F.col(n) for n in HASHED]
+    even = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    tampered = F.when(even, row_digest(changed))
+    manifest = build_manifest(read(spark, sf_dir, "documents"), carry={"tampered": tampered})
+    folded = fold_leaves(manifest, F.col("tampered"))
+    return folded.select(
+        F.col("rank").alias("doc_id"),
+        F.lower(F.hex("digest")).alias("leaf"),
+        F.lower(F.hex("subroot")).alias("subroot"),
+        F.lit(manifest.root).cast("string").alias("root"),
+        F.lower(F.hex("proof")).alias("proof_sha256"),
+        F.lower(F.hex("folded")).alias("folded_root"),
+        (F.lower(F.hex("folded")) == F.lit(manifest.root)).alias("verified"),
+    )
+
+
+def _field(name: str) -> str:
+    text = f"cast({name} as varchar)"
+    return f"coalesce(concat(strlen({text}), ':', {text}), '-')"
+
+
+def _climb(rows: str, key: str) -> str:
+    """Recursive SQL: nodes of all levels of the trees of ``rows(k, p, c, d)``."""
+    return f"""
+  select {key} as k, 0 as l, p, c, d from {rows}
+  union all
+  select k, l + 1, p // 3, any_value((c + 2) // 3), sha256(string_agg(d, '' order by p))
+  from {{self}} where c > 1 group by k, l, p // 3"""
+
+
+def _siblings(tree: str, key: str, before: str) -> str:
+    """Folded digests and the siblings met, by recursion over one tree."""
+    return f"""
+  select i, {key} as k, 0 as l, p, f, s from {before}
+  union all
+  select b.i, b.k, b.l + 1, b.p // 3,
+    sha256(string_agg(case when n.p = b.p then b.f else n.d end, '' order by n.p)),
+    any_value(b.s) || coalesce(string_agg(n.d, '' order by n.p) filter (where n.p <> b.p), '')
+  from {{self}} b join {tree} n on n.k = b.k and n.l = b.l and n.p // 3 = b.p // 3 and n.c > 1
+  group by b.i, b.k, b.l, b.p"""
+
+
+_CRC = """xor(list_reduce(
+    list_prepend(4294967295::ubigint,
+      list_transform(string_split(cast(doc_id as varchar), ''), lambda c: ascii(c)::ubigint)),
+    lambda c, b: list_reduce([xor(c, b), 1, 2, 3, 4, 5, 6, 7, 8],
+      lambda x, i: xor(x >> 1, 3988292384::ubigint * (x & 1)))), 4294967295::ubigint)"""
+
+_ROW = " || ".join(_field(n) for n in HASHED)
+_TAMPERED = _ROW.replace(_field("text"), _field("replace(text, chr(10), '')"))
+
+ORACLE_SQL["op13_midstate_manifest"] = f"""
+with recursive
+leaves as (
+  select *, row_number() over (partition by k order by doc_id nulls first, d) - 1 as p,
+    count(*) over (partition by k) as c, row_number() over () as i
+  from (
+    select doc_id, coalesce('0' || source, '') as k, sha256({_ROW}) as d,
+      case when {_CRC} % 2 = 0 then sha256({_TAMPERED}) else sha256({_ROW}) end as f
+    from documents)
+),
+tree as ({_climb("leaves", "k").format(self="tree")}),
+subroots as (
+  select k, d, row_number() over (order by k) - 1 as p, count(*) over () as c
+  from tree where c = 1
+),
+crown as ({_climb("subroots", "''").format(self="crown")}),
+folded as ({_siblings("tree", "k", "(select *, '' as s from leaves)").format(self="folded")}),
+joined as (
+  select f.i, s.p, s.d as subroot, f.f, f.s
+  from (select *, row_number() over (partition by i order by l desc) as top from folded) f
+  join subroots s on s.k = f.k where f.top = 1
+),
+finished as ({_siblings("crown", "''", "joined").format(self="finished")}),
+roots as (select d from crown where c = 1)
+select l.doc_id, l.d as leaf, j.subroot, r.d as root, sha256(f.s) as proof_sha256,
+  f.f as folded_root, f.f = r.d as verified
+from (select *, row_number() over (partition by i order by l desc) as top from finished) f
+join leaves l on l.i = f.i join joined j on j.i = f.i, roots r
+where f.top = 1
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE_SQL)
