@@ -19,6 +19,7 @@ from skylattice.llm.packing import pack_tokens
 from skylattice.llm.simhash import near_duplicate_classes
 from skylattice.llm.substring_dedup import remove_repeats
 from skylattice.llm.toxicity import fit, score_toxicity
+from skylattice.llm.whitening import whitened_components
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -125,6 +126,11 @@ def op10_path_ratio_text(spark, sf_dir):
     return extract_text(read(spark, sf_dir, "pages"))
 
 
+@query
+def op11_refined_whitening(spark, sf_dir):
+    return whitened_components(spark, read(spark, sf_dir, "embeddings"))
+
+
 @query
 def op12_dominance_packing(spark, sf_dir):
     """Pieces are stored with their ids; only the digests of these are dealt out."""
