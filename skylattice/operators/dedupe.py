@@ -29,35 +29,3 @@ def deduplicate(
     group, ranking = (", ".join(map(quoted, names)) for names in (key, order))
     rank = f"row_number() over (partition by {group} order by {ranking})"
     return df.withColumn("_copy", F.expr(rank)).filter("_copy = 1").drop("_copy")
-
-
-def deduplicate_stream(
-    df: DataFrame,
-    key: Sequence[str] = SNAPSHOT_KEY,
-    within: str | None = "2 days",
-) -> DataFrame:
-    """Streaming form: the first copy to arrive is kept.
-
-    ``within`` bounds the state by *arrival* time: a copy that arrives up to
-    that long after the first is removed, a later one passes. The clock is the
-    micro-batch's own, so no row is ever late and none is dropped for lateness.
-    ``within=None`` remembers every key for ever, which is exact and grows with
-    the stream.
-    """
-    if within is None:
-        return df.dropDuplicates(list(key))
-    return (
-        df.withColumn("_arrival", F.current_timestamp())
-        .withWatermark("_arrival", within)
-        .dropDuplicatesWithinWatermark(list(key))
-        .drop("_arrival")
-    )
-
-
-def unseen(df: DataFrame, seen: DataFrame, key: Sequence[str] = SNAPSHOT_KEY) -> DataFrame:
-    """Rows whose key is not in ``seen``; NULL keys equal each other."""
-    other = seen.select(*(F.col(name).alias(f"_{name}") for name in key))
-    same = F.lit(True)
-    for name in key:
-        same = same & F.col(name).eqNullSafe(F.col(f"_{name}"))
-    return df.join(other, same, "left_anti")

@@ -17,15 +17,7 @@ def decode_envelopes(messages: DataFrame, value_column: str = "value") -> DataFr
     shuffle.
     """
     parsed = F.from_json(F.col(value_column).cast("string"), ENVELOPE)
-    # Exploding the bare column would let the optimizer add a filter on it, which
-    # is pushed below and parses every message a second time.
-    states = F.expr("explode(coalesce(states, array())) as state")
-    return (
-        messages.select(parsed.alias("envelope"))
-        .selectExpr("envelope.*")
-        .select("time", states)
-        .select("time", "state.*")
-    )
+    return states_of(messages.select(parsed.alias("envelope")))
 
 
 def rejected_messages(messages: DataFrame, value_column: str = "value") -> DataFrame:
@@ -34,19 +26,38 @@ def rejected_messages(messages: DataFrame, value_column: str = "value") -> DataF
     The reasons are ``no value``, ``no envelope`` (malformed, or neither a time nor
     states in it) and ``no states``. No shuffle.
     """
+    return rejects_of(parse_messages(messages, value_column))
+
+
+def parse_messages(messages: DataFrame, value_column: str = "value") -> DataFrame:
+    """``value`` as text and ``envelope``, for :func:`states_of` and :func:`rejects_of`."""
     text = F.col(value_column).cast("string")
+    return messages.select(text.alias("value"), F.from_json(text, ENVELOPE).alias("envelope"))
+
+
+def states_of(parsed: DataFrame) -> DataFrame:
+    """One flat row for each state in the parsed envelopes."""
+    # Exploding the bare column would let the optimizer add a filter on it, which
+    # is pushed below and parses every message a second time.
+    states = F.expr("explode(coalesce(states, array())) as state")
     return (
-        messages.select(text.alias("value"), F.from_json(text, ENVELOPE).alias("envelope"))
-        .selectExpr(
-            "value",
-            "case when value is null then 'no value'"
-            " when envelope.time is null and envelope.states is null then 'no envelope'"
-            " when coalesce(size(envelope.states), 0) < 1 then 'no states' end as reason",
-        )
-        .filter("reason is not null")
+        parsed.select("envelope")
+        .selectExpr("envelope.*")
+        .select("time", states)
+        .select("time", "state.*")
     )
 
 
+def rejects_of(parsed: DataFrame) -> DataFrame:
+    """The parsed messages without states, and why."""
+    return parsed.selectExpr(
+        "value",
+        "case when value is null then 'no value'"
+        " when envelope.time is null and envelope.states is null then 'no envelope'"
+        " when coalesce(size(envelope.states), 0) < 1 then 'no states' end as reason",
+    ).filter("reason is not null")
+
+
 def encode_envelopes(
     snapshots: DataFrame, max_states: int = 5000, max_bytes: int = 900_000
 ) -> DataFrame:

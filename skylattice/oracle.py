@@ -227,9 +227,7 @@ def oracle_sql() -> dict[str, str]:
         "select icao24, entry_ts, exit_ts, has_exit, airline_name, airline_icao, "
         'duration_seconds, "date", "year", "month", "day" from sessions where has_exit = 1'
     )
-    return {
-        "envelope_roundtrip": bronze,
-        "envelope_rejects": """
+    rejects = """
 select * from (
   select
     case event_id % 5
@@ -240,7 +238,11 @@ select * from (
       when 0 then 'no states' when 1 then 'no envelope' when 2 then 'no states'
       when 4 then 'no value' end as reason
   from events)
-where reason is not null""",
+where reason is not null"""
+    return {
+        "envelope_roundtrip": bronze,
+        "envelope_rejects": rejects,
+        "stream_bronze_rejects": rejects,
         "bbox_filter": _bronze(
             'select event_id, "time", icao24, latitude, longitude from bronze '
             "where latitude between -24.10 and -23.20 and longitude between -47.20 and -46.20"
@@ -310,6 +312,8 @@ where reason is not null""",
         "stream_bronze": bronze,
         "stream_silver": silver,
         "stream_silver_compacted": silver,
+        "stream_silver_shuffled": silver,
+        "stream_sessions_shuffled": closed,
         "stream_sessions": closed,
         "stream_sessions_backlog": closed,
         "all_reports_airlines": airline_counts,

@@ -34,10 +34,12 @@ from skylattice.streaming import (
     catch_up_sessions,
     compact_silver,
     finish,
+    read_sessions,
     read_streamed,
     start_bronze,
     start_sessions,
     start_silver,
+    start_watermarked_sessions,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +66,10 @@ def envelope_roundtrip(spark, sf_dir):
 
 @query
 def envelope_rejects(spark, sf_dir):
+    return rejected_messages(broken_messages(spark, sf_dir))
+
+
+def broken_messages(spark, sf_dir):
     """Messages made from the events, four of five of them without states in some way."""
     value = """case event_id % 5
         when 0 then concat('{"time": ', event_id, ', "states": []}')
@@ -71,7 +77,7 @@ def envelope_rejects(spark, sf_dir):
         when 2 then concat('{"time": ', event_id, '}')
         when 3 then concat('{"time": ', event_id, ', "states": [{"icao24": "u', user_id, '"}]}')
         end as value"""
-    return rejected_messages(tables.table(spark, sf_dir, "events").selectExpr(value))
+    return tables.table(spark, sf_dir, "events").selectExpr(value)
 
 
 @query
@@ -437,6 +443,40 @@ def stream_silver_compacted(spark, sf_dir):
     return spark.read.parquet(compacted)
 
 
+@query
+def stream_silver_shuffled(spark, sf_dir):
+    """Bronze in files of mixed times and copies, one file a batch: the rebuild's rows."""
+    bronze, silver, checkpoint = (
+        new_path(spark, n) for n in ("bronze", "silver", "silver-checkpoint")
+    )
+    rows = tables.bronze(spark, sf_dir).drop("event_id")
+    # Seven files by a digest, so most copies are in another file than the first one.
+    spread = F.pmod(F.xxhash64("icao24", "time"), F.lit(7))
+    rows.repartitionByRange(7, spread).write.parquet(bronze)
+    start_silver(
+        snapshot_files(spark, bronze, max_files_per_trigger=1),
+        lambda: tables.airlines(spark, sf_dir),
+        silver,
+        checkpoint,
+        processing_time=None,
+    ).awaitTermination()
+    return read_streamed(spark, silver)
+
+
+@query
+def stream_bronze_rejects(spark, sf_dir):
+    """Messages without rows, as the bronze job writes them beside the rows."""
+    messages, bronze, rejects, checkpoint = (
+        new_path(spark, n) for n in ("messages", "bronze", "rejects", "bronze-checkpoint")
+    )
+    broken_messages(spark, sf_dir).coalesce(4).write.parquet(messages)
+    value = spark.readStream.schema("value string").option("maxFilesPerTrigger", 2)
+    start_bronze(
+        value.parquet(messages), bronze, checkpoint, processing_time=None, rejects_path=rejects
+    ).awaitTermination()
+    return spark.read.parquet(rejects).select("value", "reason")
+
+
 @query
 def stream_sessions_backlog(spark, sf_dir):
     """Closed sessions from a stored table whose files hold all times, in many batches.
@@ -460,7 +500,7 @@ def stream_sessions_backlog(spark, sf_dir):
     )
     rows.filter(last).write.mode("append").parquet(silver)
     finish(
-        start_sessions(
+        start_watermarked_sessions(
             snapshot_files(spark, silver, rows.schema),
             closed,
             checkpoint,
@@ -473,7 +513,7 @@ def stream_sessions_backlog(spark, sf_dir):
 
 @query
 def stream_sessions(spark, sf_dir):
-    """Closed sessions as the session stream emits them."""
+    """Closed sessions as the session stream keeps them, from a table in order of days."""
     silver, closed, checkpoint = (
         new_path(spark, n) for n in ("silver", "sessions", "sessions-checkpoint")
     )
@@ -482,7 +522,23 @@ def stream_sessions(spark, sf_dir):
         snapshot_files(spark, silver, SILVER, max_files_per_trigger=None),
         closed,
         checkpoint,
-        lateness_seconds=1,
         processing_time=None,
     ).awaitTermination()
-    return spark.read.parquet(closed)
+    return read_sessions(spark, closed)
+
+
+@query
+def stream_sessions_shuffled(spark, sf_dir):
+    """The same from 112 files that each hold all times, in four batches, with all defaults."""
+    silver, closed, checkpoint = (
+        new_path(spark, n) for n in ("silver", "sessions", "sessions-checkpoint")
+    )
+    rows = tables.silver(spark, sf_dir).drop("event_id", *DAY_PARTITION)
+    rows.repartition(112).write.parquet(silver)
+    start_sessions(
+        snapshot_files(spark, silver, rows.schema, max_files_per_trigger=28),
+        closed,
+        checkpoint,
+        processing_time=None,
+    ).awaitTermination()
+    return read_sessions(spark, closed)

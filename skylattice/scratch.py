@@ -40,5 +40,25 @@ def scratch_table(spark: SparkSession, purpose: str) -> Iterator[str]:
     try:
         yield path
     finally:
-        target = spark._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        delete(spark, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    target, store = _located(spark, path)
+    store.delete(target, True)
+
+
+def list_folders(spark: SparkSession, path: str, prefix: str = "") -> list[str]:
+    """Names of the folders in a folder that begin so, in order; none if it is not there."""
+    target, store = _located(spark, path)
+    if not store.exists(target):
+        return []
+    found = [entry for entry in store.listStatus(target) if entry.isDirectory()]
+    names = [entry.getPath().getName() for entry in found]
+    return sorted(name for name in names if name.startswith(prefix))
+
+
+def _located(spark: SparkSession, path: str):
+    """A path and the file system that holds it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())

@@ -4,6 +4,7 @@ from skylattice.sources.files import (
     envelope_files,
     read_airlines,
     read_silver,
+    read_streamed,
     snapshot_files,
     stored_schema,
 )
@@ -18,6 +19,7 @@ __all__ = [
     "kafka_options",
     "read_airlines",
     "read_silver",
+    "read_streamed",
     "send_envelopes",
     "snapshot_files",
     "stored_schema",

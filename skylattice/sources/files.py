@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from skylattice.operators.filters import (
     BASE_COLUMNS,
@@ -14,7 +14,8 @@ from skylattice.operators.filters import (
     on_date,
     require_columns,
 )
-from skylattice.schemas import AIRLINE, BRONZE
+from skylattice.schemas import AIRLINE, BRONZE, DAY_PARTITION
+from skylattice.scratch import list_folders
 
 
 def envelope_files(
@@ -54,6 +55,50 @@ def read_airlines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+#: Folder, below the day, of what one micro-batch wrote.
+BATCH = "batch"
+#: Table, inside a streamed one, of the rows that a later batch took back.
+RETRACTED = "_retracted/rows"
+
+RETRACTIONS = T.StructType(
+    [
+        *(T.StructField(name, kind) for name, kind in (
+            ("icao24", T.StringType()), ("last_contact", T.LongType()), ("gone", T.LongType()),
+        )),
+        *(T.StructField(name, T.IntegerType()) for name in DAY_PARTITION),
+        T.StructField(BATCH, T.LongType()),
+    ]
+)
+
+
+def read_streamed(spark: SparkSession, path: str, day: str | None = None) -> DataFrame:
+    """A silver table, written by a stream or a job, in silver's own columns.
+
+    Rows that a later batch replaced are left out. ``day`` is the date of one folder.
+    """
+
+    def of_day(rows: DataFrame) -> DataFrame:
+        if day is None:
+            return rows
+        return rows.filter(
+            F.expr(f"make_date({', '.join(DAY_PARTITION)})") == F.to_date(F.lit(day))
+        )
+
+    rows = of_day(spark.read.parquet(path))
+    if BATCH not in rows.columns:
+        return rows
+    if list_folders(spark, f"{path}/{RETRACTED}"):
+        gone = of_day(spark.read.schema(RETRACTIONS).parquet(f"{path}/{RETRACTED}"))
+        gone = gone.select(*(F.col(name).alias(f"_{name}") for name in RETRACTIONS.names))
+        same = F.col(BATCH) == F.col("_gone")
+        for name in ("icao24", "last_contact"):
+            same = same & F.col(name).eqNullSafe(F.col(f"_{name}"))
+        for name in DAY_PARTITION:
+            same = same & (F.col(name) == F.col(f"_{name}"))
+        rows = rows.join(gone, same, "left_anti")
+    return rows.drop(BATCH)
+
+
 def read_silver(
     spark: SparkSession,
     path: str,
@@ -66,7 +111,7 @@ def read_silver(
     are skipped at planning.
     """
     try:
-        silver = spark.read.parquet(path)
+        silver = read_streamed(spark, path)
     except AnalysisException as error:
         raise RuntimeError(f"no readable silver table at {path}") from error
     require_columns(silver, BASE_COLUMNS.union(required_columns))

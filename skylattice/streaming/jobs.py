@@ -1,18 +1,24 @@
-"""Envelope stream to bronze, bronze to silver, silver to closed sessions."""
+"""Envelope stream to bronze, bronze to silver."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from skylattice.operators.dedupe import SNAPSHOT_KEY, deduplicate, unseen
-from skylattice.operators.envelopes import decode_envelopes
-from skylattice.operators.filters import identified
-from skylattice.operators.sessions import DEFAULT_GAP_SECONDS, with_duration_and_day
-from skylattice.plans.silver import enrich
+from skylattice.functions import quoted
+from skylattice.operators.dedupe import SNAPSHOT_KEY, deduplicate
+from skylattice.operators.envelopes import (
+    decode_envelopes,
+    parse_messages,
+    rejects_of,
+    states_of,
+)
+from skylattice.plans.silver import enrich, with_silver_time
 from skylattice.schemas import DAY_PARTITION
+from skylattice.sources.files import BATCH, RETRACTED, read_streamed
 from skylattice.sources.sinks import (
     DEFAULT_TRIGGER,
     WriteResult,
@@ -20,12 +26,7 @@ from skylattice.sources.sinks import (
     batch_stream,
     write_table,
 )
-
-#: Folder, below the day, of what one micro-batch wrote.
-BATCH = "batch"
-
-#: How far a session stream waits for snapshots that arrive out of order.
-DEFAULT_LATENESS_SECONDS = 600
+from skylattice.streaming.versions import NO_DAY, VersionStore
 
 
 def start_bronze(
@@ -33,11 +34,28 @@ def start_bronze(
     path: str,
     checkpoint: str,
     processing_time: str | None = DEFAULT_TRIGGER,
+    rejects_path: str | None = None,
 ) -> StreamingQuery:
-    """Decode envelopes into the flat bronze table; stateless, without a shuffle."""
-    return append_stream(
-        decode_envelopes(messages), path, checkpoint, processing_time=processing_time
-    )
+    """Decode envelopes into the flat bronze table; stateless, without a shuffle.
+
+    With ``rejects_path`` the messages that give no rows are written there, with the
+    reason. Each batch is then read once, into both tables, below ``batch=`` folders that a
+    batch which runs again replaces.
+    """
+    if rejects_path is None:
+        return append_stream(
+            decode_envelopes(messages), path, checkpoint, processing_time=processing_time
+        )
+
+    def write(batch: DataFrame, number: int) -> None:
+        parsed = parse_messages(batch).persist(StorageLevel.DISK_ONLY)
+        try:
+            for rows, target in ((states_of(parsed), path), (rejects_of(parsed), rejects_path)):
+                rows.write.mode("overwrite").parquet(f"{target}/{BATCH}={number}")
+        finally:
+            parsed.unpersist()
+
+    return batch_stream(messages, write, checkpoint, processing_time)
 
 
 def start_silver(
@@ -51,155 +69,116 @@ def start_silver(
 ) -> StreamingQuery:
     """Deduplicate and enrich bronze into day partitions, batch by batch.
 
-    Of the copies in one micro-batch the earliest by time is kept, whatever the order of
-    tasks; keys of earlier batches are removed. Keys are stored beside the checkpoint by
-    day of last contact, and a batch reads the days it holds. All keys count for ever, as
-    in ``rebuild_silver``; with ``dedupe_within`` (an interval such as ``"2 days"``) only
-    those that arrived within that time, which bounds what is read and lets later copies
-    pass.
+    Of all copies of a snapshot the earliest by time stays, ties settled by all columns,
+    which is the row of ``rebuild_silver``, in whatever order and batches they arrive: the
+    kept copies are stored beside the checkpoint by day of last contact
+    (:class:`VersionStore`), and when an earlier copy comes later, the row kept before is
+    taken back. :func:`read_streamed` and ``read_silver`` leave out rows that were
+    taken back; reading the folder as plain Parquet does not. A batch reads the kept copies
+    of the days it holds and, of those, the row groups with its times of last contact.
+
+    With ``dedupe_within`` (an interval such as ``"2 days"``) only copies kept within that
+    time of arrival count, and later ones pass.
 
     The airline table's size is measured in each batch, so the join follows a table that
     grows; give a function to have its file listed anew as well. Rows are rebalanced and
     written below day and ``batch`` folders, which a batch that runs again replaces.
     :func:`compact_silver` merges the files of past days.
     """
-    keys = f"{checkpoint.rstrip('/')}-keys"
+    rest = [f for f in bronze.schema.fields if f.name not in ("time", *SNAPSHOT_KEY)]
+    order = T.StructType([bronze.schema["time"], *rest])
+    columns = T.StructType(
+        [
+            *(bronze.schema[name] for name in SNAPSHOT_KEY),
+            T.StructField("kept", order),
+            T.StructField("arrived", T.TimestampType()),
+        ]
+    )
 
     def write(batch: DataFrame, number: int) -> None:
         dimension = airlines() if callable(airlines) else airlines
-        unique = _new_rows(deduplicate(batch), keys, number, dedupe_within).persist()
+        copies = VersionStore(
+            batch.sparkSession, f"{checkpoint.rstrip('/')}-keys", columns, SNAPSHOT_KEY,
+            sort=("last_contact", "icao24"),
+        )
+        unique = deduplicate(batch).withColumn("_day", F.expr(_CONTACT_DAY)).persist()
+        changed = _earlier_copies(unique, copies, order.names, number, dedupe_within).persist()
         try:
-            stored = unique.selectExpr(*SNAPSHOT_KEY, "current_timestamp() as arrived", _DAY)
-            stored.write.mode("overwrite").partitionBy("day").parquet(f"{keys}/{BATCH}={number}")
-            rows = enrich(unique, dimension, **join_options)
+            copies.append(
+                changed.select(
+                    *SNAPSHOT_KEY, F.struct(*map(quoted, order.names)).alias("kept"),
+                    F.current_timestamp().alias("arrived"), F.col("_day").alias("day"),
+                ),
+                number,
+            )
+            _retract(changed, path, number)
+            rows = enrich(changed.select(*map(quoted, batch.columns)), dimension, **join_options)
             write_table(
                 rows.withColumn(BATCH, F.lit(number)), path, (*DAY_PARTITION, BATCH), "dynamic"
             )
         finally:
+            changed.unpersist()
             unique.unpersist()
 
     return batch_stream(bronze, write, checkpoint, processing_time)
 
 
-_DAY = "to_date(timestamp_seconds(last_contact)) as day"
-_KEYS = f"icao24 string, last_contact long, arrived timestamp, {BATCH} long, day date"
-
-
-def _new_rows(unique: DataFrame, keys: str, number: int, within: str | None) -> DataFrame:
-    """Rows of a batch whose key no earlier batch had."""
-    if number == 0:
-        return unique
-    spark = unique.sparkSession
-    seen = spark.read.schema(_KEYS).parquet(keys).filter(F.col(BATCH) < number)
-    if within is not None:
-        seen = seen.filter(F.expr(f"arrived >= current_timestamp() - interval {within}"))
-    first, last = unique.selectExpr(_DAY).agg(F.min("day"), F.max("day")).first()
-    days = F.col("day").isNull()
-    if first is not None:
-        days = days | F.col("day").between(F.lit(first), F.lit(last))
-    return unseen(unique, seen.filter(days))
-
+_CONTACT_DAY = "to_date(timestamp_seconds(last_contact))"
 
-def compact_silver(spark: SparkSession, path: str, compacted: str, day: str) -> WriteResult:
-    """Write one day of a streamed silver table as few files into a table without batches.
 
-    The day is replaced there, so the job may run again. ``day`` is the folder's date.
-    """
-    folder = F.expr(f"make_date({', '.join(DAY_PARTITION)})")
-    rows = read_streamed(spark, path).filter(folder == F.to_date(F.lit(day)))
-    return write_table(rows, compacted, replace="dynamic")
-
-
-def read_streamed(spark: SparkSession, path: str) -> DataFrame:
-    """A table written by :func:`start_silver` in silver's own columns."""
-    return spark.read.parquet(path).drop(BATCH)
-
-
-def stream_sessions(
-    silver: DataFrame,
-    gap_seconds: int = DEFAULT_GAP_SECONDS,
-    lateness_seconds: int = DEFAULT_LATENESS_SECONDS,
+def _earlier_copies(
+    unique: DataFrame, copies: VersionStore, order: list[str], number: int, within: str | None
 ) -> DataFrame:
-    """Closed sessions of a silver stream, by the gap rule of the batch report.
-
-    A session comes out once the stream is more than the gap past its last
-    snapshot, which is when the batch rule calls it closed. Times are whole
-    seconds and the watermark trails by at least one, so that a gap of exactly
-    ``gap_seconds`` still continues a session. ``lateness_seconds`` is how far
-    snapshots may arrive out of order: a larger value closes sessions later.
-    Snapshots later than that are not in any session; :func:`late_rows` counts
-    them. A stored table's files come in no order of time, so most of a backlog
-    would be late: take it in by :func:`catch_up_sessions` first.
+    """Rows of a batch that are new or earlier than the copy kept so far.
+
+    Adds that copy's time (``_old_time``, in epoch seconds) and batch (``_old_batch``).
     """
-    if lateness_seconds < 1:
-        raise ValueError("lateness_seconds must be at least 1")
-    if gap_seconds < 1:
-        raise ValueError("a session window needs a gap of at least one second")
-    timed = identified(silver).withColumn("time", F.expr("date_trunc('second', time)"))
-
-    def earliest(name: str) -> str:
-        return f"min(case when {name} is not null then struct(time, {name}) end).{name}"
-
-    folded = (
-        timed.withWatermark("time", f"{lateness_seconds} seconds")
-        .groupBy(F.session_window("time", f"{gap_seconds} seconds"), "icao24")
-        .agg(
-            F.min("time").alias("entry_ts"),
-            F.max("time").alias("exit_ts"),
-            F.expr(f"{earliest('Nome')} as airline_name"),
-            F.expr(f"{earliest('ICAO')} as airline_icao"),
-        )
-        .drop("session_window")
-        .withColumn("has_exit", F.lit(1))
+    spans = unique.groupBy("_day").agg(F.min("last_contact"), F.max("last_contact")).collect()
+    days = [NO_DAY if day is None else str(day) for day, _, _ in spans]
+    copies.fold(days, number)
+    ranges = [f"last_contact between {low} and {high}" for _, low, high in spans if low is not None]
+    if len(ranges) > _RANGES:
+        lows, highs = zip(*((low, high) for _, low, high in spans if low is not None), strict=True)
+        ranges = [f"last_contact between {min(lows)} and {max(highs)}"]
+    seen = copies.rows(days, number, " or ".join(["last_contact is null", *ranges]))
+    if within is not None:
+        seen = seen.filter(F.expr(f"arrived >= current_timestamp() - interval {within}"))
+    known = seen.select(
+        *(F.col(name).alias(f"_{name}") for name in SNAPSHOT_KEY),
+        F.col("kept").alias("_kept"),
+        F.col("batch").alias("_old_batch"),
     )
-    return with_duration_and_day(folded)
-
-
-def start_sessions(
-    silver: DataFrame,
-    path: str,
-    checkpoint: str,
-    gap_seconds: int = DEFAULT_GAP_SECONDS,
-    lateness_seconds: int = DEFAULT_LATENESS_SECONDS,
-    processing_time: str | None = DEFAULT_TRIGGER,
-) -> StreamingQuery:
-    return append_stream(
-        stream_sessions(silver, gap_seconds, lateness_seconds),
-        path,
-        checkpoint,
-        partition_columns=DAY_PARTITION,
-        processing_time=processing_time,
+    same = F.lit(True)
+    for name in SNAPSHOT_KEY:
+        same = same & F.col(name).eqNullSafe(F.col(f"_{name}"))
+    newer = F.struct(*map(quoted, order)) < F.col("_kept")
+    return (
+        unique.join(known, same, "left")
+        .filter(F.col("_old_batch").isNull() | newer)
+        .withColumn("_old_time", F.col("_kept.time"))
+        .drop(*(f"_{name}" for name in SNAPSHOT_KEY), "_kept")
     )
 
 
-def catch_up_sessions(
-    silver: DataFrame,
-    path: str,
-    checkpoint: str,
-    span_seconds: int,
-    gap_seconds: int = DEFAULT_GAP_SECONDS,
-) -> StreamingQuery:
-    """Take a stored table into the session stream, its files in any order and batches.
-
-    ``span_seconds`` is the time between the table's first and last snapshot (or more).
-    The watermark trails by all of it, so nothing is late; state holds the table's folded
-    sessions. They come out when :func:`start_sessions` goes on with the same checkpoint
-    and its own lateness.
-    """
-    return start_sessions(silver, path, checkpoint, gap_seconds, span_seconds + gap_seconds + 1, None)
+#: So many ranges of last contact, one a day, go into one filter; beyond, their hull does.
+_RANGES = 64
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Snapshots that a stream left out for being late, in the progress Spark still has."""
-    return sum(
-        operator.get("numRowsDroppedByWatermark", 0)
-        for progress in query.recentProgress
-        for operator in progress["stateOperators"]
+def _retract(changed: DataFrame, path: str, number: int) -> None:
+    """Note the rows of earlier batches that rows of this one replace."""
+    replaced = changed.filter("_old_batch is not null")
+    if replaced.isEmpty():
+        return
+    old = replaced.select(
+        *SNAPSHOT_KEY, F.col("_old_batch").alias("gone"), F.col("_old_time").alias("time")
     )
+    rows = with_silver_time(old).drop("time").withColumn(BATCH, F.lit(number))
+    write_table(rows, f"{path}/{RETRACTED}", (*DAY_PARTITION, BATCH), "dynamic")
+
 
+def compact_silver(spark: SparkSession, path: str, compacted: str, day: str) -> WriteResult:
+    """Write one day of a streamed silver table as few files into a table without batches.
 
-def finish(query: StreamingQuery) -> None:
-    """Wait for a stream that works off what is there; raise if it left rows out."""
-    query.awaitTermination()
-    if late := late_rows(query):
-        raise RuntimeError(f"{late} late snapshots are in no session; see catch_up_sessions")
+    The day is replaced there, so the job may run again. ``day`` is the folder's date.
+    """
+    return write_table(read_streamed(spark, path, day), compacted, replace="dynamic")

@@ -13,7 +13,14 @@ from skylattice.plans import jobs
 from skylattice.schemas import BRONZE, SILVER
 from skylattice.sources import envelope_files, snapshot_files
 from skylattice.streaming import finish as strict
-from skylattice.streaming import read_streamed, start_bronze, start_sessions, start_silver
+from skylattice.streaming import (
+    read_sessions,
+    read_streamed,
+    start_bronze,
+    start_sessions,
+    start_silver,
+    start_watermarked_sessions,
+)
 from tests.conftest import instant
 
 BASE = 1_767_225_600
@@ -112,13 +119,21 @@ def seen(aircraft, *offsets):
     ]
 
 
-def closed_by_stream(spark, silver, folder, batches, lateness=1, gap=1800):
+def closed_by_stream(spark, silver, folder, batches, lateness=None, gap=1800):
+    """Sessions after the batches; with a lateness by the watermarked stream."""
     source, out, checkpoint = folder(), folder(), folder()
     for rows in batches:
         silver(*rows).write.mode("append").parquet(source)
         stream = snapshot_files(spark, source, SILVER)
-        strict(start_sessions(stream, out, checkpoint, gap, lateness, processing_time=None))
-    return spark.read.schema(SESSIONS).parquet(out)
+        if lateness is None:
+            strict(start_sessions(stream, out, checkpoint, gap, processing_time=None))
+        else:
+            strict(
+                start_watermarked_sessions(
+                    stream, out, checkpoint, gap, lateness_seconds=lateness, processing_time=None
+                )
+            )
+    return read_sessions(spark, out) if lateness is None else spark.read.schema(SESSIONS).parquet(out)
 
 
 SESSIONS = (
@@ -128,16 +143,18 @@ SESSIONS = (
 SESSION_COLUMNS = ("icao24", "entry_ts", "exit_ts", "has_exit", "airline_name", "duration_seconds")
 
 
+@pytest.mark.parametrize("lateness", [None, 1])
 @pytest.mark.parametrize("later, closed", [(1800, 0), (1801, 1)])
-def test_session_closes_strictly_after_the_gap(spark, silver, folder, later, closed):
-    result = closed_by_stream(spark, silver, folder, [seen("a", 0) + seen("b", later)])
+def test_session_closes_strictly_after_the_gap(spark, silver, folder, later, closed, lateness):
+    batches = [seen("a", 0) + seen("b", later)]
+    result = closed_by_stream(spark, silver, folder, batches, lateness)
     assert result.filter("icao24 = 'a'").count() == closed
 
 
 def test_stream_sessions_equal_closed_batch_sessions(spark, silver, folder):
     first = seen("a", 0, 600, 2400, 4201) + seen("b", 10, 1811)
     second = seen("a", 4300, 9000) + seen("c", 20_000) + seen(None, 19_000)
-    for lateness in (1, 900):
+    for lateness in (None, 1, 900):
         result = closed_by_stream(spark, silver, folder, [first, second], lateness)
         batch = build_sessions(silver(*first, *second).filter("icao24 is not null"))
         expected = batch.filter("has_exit = 1").select(*SESSION_COLUMNS)
@@ -148,12 +165,12 @@ def test_stream_sessions_equal_closed_batch_sessions(spark, silver, folder):
 def test_late_snapshots_are_counted_and_end_the_wait(spark, silver, folder):
     batches = [seen("a", 0) + seen("b", 10_000), seen("a", 100)]
     with pytest.raises(RuntimeError, match="1 late"):
-        closed_by_stream(spark, silver, folder, batches)
+        closed_by_stream(spark, silver, folder, batches, 1)
     waiting = closed_by_stream(spark, silver, folder, [*batches, seen("b", 20_000)], 12_000)
     assert [(r.icao24, r.duration_seconds) for r in waiting.collect()] == [("a", 100)]
 
 
-def test_kept_copy_is_the_earliest_of_a_batch(spark, bronze, airlines, folder):
+def test_kept_copy_is_the_earliest_of_all_batches(spark, bronze, airlines, folder):
     source, out, checkpoint = folder(), folder(), folder()
     row = {"icao24": "a", "last_contact": BASE, "callsign": "GLO1"}
     bronze(*({**row, "time": BASE + o} for o in (30, 5, 90))).repartition(3).write.parquet(source)
@@ -168,10 +185,11 @@ def test_kept_copy_is_the_earliest_of_a_batch(spark, bronze, airlines, folder):
             "append"
         ).parquet(source)
     rows = read_streamed(spark, out).selectExpr("icao24", "unix_timestamp(time)", "Nome")
-    assert sorted(map(tuple, rows.collect())) == [("a", BASE + 5, "Gol"), ("b", BASE, "Gol")]
+    # The copy of the second batch is earlier still; the row of the first is taken back.
+    assert sorted(map(tuple, rows.collect())) == [("a", BASE, "Gol"), ("b", BASE, "Gol")]
 
 
-@pytest.mark.parametrize("options", [{"lateness": 0}, {"gap": 0}])
+@pytest.mark.parametrize("options", [{"lateness": 0}, {"gap": 0, "lateness": 1}, {"gap": -1}])
 def test_impossible_session_settings(spark, silver, folder, options):
     with pytest.raises(ValueError):
         closed_by_stream(spark, silver, folder, [seen("a", 0)], **options)
