@@ -12,13 +12,25 @@ from skylattice.functions.columns import (
     seconds_between,
     time_cell,
 )
-from skylattice.functions.means import mean_parts, mean_value, merge_mean_parts
+from skylattice.functions.means import (
+    exact_means,
+    gather_means,
+    mean_columns,
+    mean_parts,
+    mean_ranges,
+    mean_value,
+    merge_mean_parts,
+)
 
 __all__ = [
     "airline_key",
     "calendar_columns",
+    "exact_means",
+    "gather_means",
     "label_or",
+    "mean_columns",
     "mean_parts",
+    "mean_ranges",
     "mean_value",
     "merge_mean_parts",
     "quoted",

@@ -91,7 +91,16 @@ def build_sessions(
     non-null ones of the session, each on its own.
     """
     cells = presence_cells(df, gap_seconds)
-    return sessions_from_cells(cells, latest_time(df), gap_seconds, close_stale_tail)
+    return sessions_from_cells(cells, latest_seen(cells), gap_seconds, close_stale_tail)
+
+
+def latest_seen(cells: DataFrame) -> Column:
+    """Latest time of the snapshots that were folded to these cells.
+
+    Asks for both ends of every cell, as the sessions do, so that both have the same shuffle
+    below them: Spark runs it once and the snapshots are read once.
+    """
+    return cells.agg(F.expr("max(greatest(first_seen, last_seen))")).scalar()
 
 
 def latest_time(df: DataFrame, timestamp_column: str = "time") -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from skylattice.registry import OBSERVATION_COLUMNS, RUN_DATE, WIDE_GAP
+from skylattice.registry import FINE, LARGE, OBSERVATION_COLUMNS, RUN_DATE, WIDE_GAP
 
 _GAP = 1800
 
@@ -172,6 +172,35 @@ select "date", "hour", {_ymd()},
 from gold group by "date", "hour" """)
 
 
+def _extremes() -> str:
+    """Sums of whole numbers, of which the means are then taken."""
+    def special(hour: int, rest: int) -> str:
+        return f'"hour" % 6 = {hour} and event_id % 7 = {rest}'
+
+    nan, plus, minus = (
+        f"coalesce(bool_or({condition}), false)"
+        for condition in (
+            special(1, 0),
+            f"{special(2, 1)} or {special(3, 1)}",
+            f"{special(3, 2)} or {special(4, 2)}",
+        )
+    )
+    none = " or ".join(special(h, r) for h, r in ((1, 0), (2, 1), (3, 1), (3, 2), (4, 2)))
+    return _gold(f"""
+select "date", "hour",
+  round(cast(sum({FINE}) filter (where event_id % 11 <> 0) as double) / 16777216
+    / nullif(count(*) filter (where event_id % 11 <> 0), 0), 2) as avg_altitude,
+  count(*) filter (where event_id % 11 <> 0) as altitude_observations,
+  count(*) filter (where event_id % 13 <> 0 or {none}) as velocity_observations,
+  case when not ({nan} or {plus} or {minus}) then
+    cast(sum({LARGE}) filter (where event_id % 13 <> 0) as double)
+      / nullif(count(*) filter (where event_id % 13 <> 0), 0) * 1099511627776 end as avg_velocity,
+  case when {nan} or ({plus} and {minus}) then 'NaN' when {plus} then 'Infinity'
+    when {minus} then '-Infinity' when count(*) filter (where event_id % 13 <> 0) = 0 then 'none'
+    else 'finite' end as velocity_kind
+from gold group by "date", "hour" """)
+
+
 def _activity(where: str) -> str:
     return _gold(f"""
 select "date", "hour", {_ymd()}, count(distinct icao24) as active_aircraft_count
@@ -239,7 +268,12 @@ select * from (
       when 4 then 'no value' end as reason
   from events)
 where reason is not null"""
+    quality = _session(
+            f"select {_BASIC_COUNTERS}, count(*) filter (where has_exit = 1 and "
+            "duration_seconds <= 0) as sessions_discarded_non_positive from sessions"
+        )
     return {
+        "altitude_speed_extremes": _extremes(),
         "envelope_roundtrip": bronze,
         "envelope_rejects": rejects,
         "stream_bronze_rejects": rejects,
@@ -284,10 +318,8 @@ where reason is not null"""
         "area_duration_prefiltered": _session(
             _DURATION.format(extra=""), WIDE_GAP, where=f'"date" = {run_date}'
         ),
-        "session_quality": _session(
-            f"select {_BASIC_COUNTERS}, count(*) filter (where has_exit = 1 and "
-            "duration_seconds <= 0) as sessions_discarded_non_positive from sessions"
-        ),
+        "session_quality": quality,
+        "all_reports_quality": quality,
         "session_quality_basic": _session(f"select {_BASIC_COUNTERS} from sessions", WIDE_GAP),
         "session_detail": _session(
             "select icao24, airline_icao, airline_name, entry_ts, exit_ts, duration_seconds "

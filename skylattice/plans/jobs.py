@@ -9,7 +9,14 @@ from datetime import date
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skylattice.functions import calendar_columns, mean_parts, seconds_between, time_cell
+from skylattice.functions import (
+    calendar_columns,
+    mean_columns,
+    mean_parts,
+    mean_ranges,
+    seconds_between,
+    time_cell,
+)
 from skylattice.operators.airlines import clean_airlines
 from skylattice.operators.filters import ZONE_SLACK_DAYS, on_date
 from skylattice.operators.sessions import (
@@ -68,16 +75,20 @@ def hourly_rollup(df: DataFrame, gap_seconds: int = DEFAULT_GAP_SECONDS) -> Data
             "ICAO",
             "time",
             "on_ground",
-            "baro_altitude",
-            "velocity",
+            *(
+                column.alias(name)
+                for prefix, value in marts.MEANS.items()
+                for name, column in mean_columns(value, prefix).items()
+            ),
+        )
+        .groupBy(
+            "icao24", "date", "hour", "cell", "Nome", "ICAO", *mean_ranges(*marts.MEANS)
         )
-        .groupBy("icao24", "date", "hour", "cell", "Nome", "ICAO")
         .agg(
             F.min("time").alias("first_seen"),
             F.max("time").alias("last_seen"),
             F.expr("max(coalesce(not on_ground, false)) as was_airborne"),
-            *mean_parts("baro_altitude", "altitude"),
-            *mean_parts("velocity", "velocity"),
+            *(part for prefix in marts.MEANS for part in mean_parts(prefix)),
         )
     )
 

@@ -11,8 +11,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from skylattice.functions import (
     calendar_columns,
+    exact_means,
+    gather_means,
     label_or,
-    mean_parts,
+    mean_ranges,
     mean_value,
     merge_mean_parts,
 )
@@ -30,6 +32,9 @@ HOUR_COLUMNS = ("date", "hour", "year", "month", "day")
 UNKNOWN_AIRLINE = "Desconhecida"
 UNKNOWN_CODE = "N/A"
 
+#: Means of the altitude and speed report: prefix of its sums to column.
+MEANS = {"altitude": "baro_altitude", "velocity": "velocity"}
+
 #: Sort columns of each report when it is shown to a reader.
 REPORT_ORDER = {
     "aircraft_activity": ("date", "hour"),
@@ -103,27 +108,21 @@ def airline_counts(
 
 def altitude_speed(df: DataFrame, round_velocity: bool = True) -> DataFrame:
     """Mean altitude and speed per date and hour, aircraft on the ground included."""
-    parts = (
-        with_calendar(df)
-        .groupBy("date", "hour")
-        .agg(
-            *mean_parts("baro_altitude", "altitude"),
-            *mean_parts("velocity", "velocity"),
-        )
-    )
-    return _altitude_speed_report(parts, round_velocity)
+    means = exact_means(with_calendar(df), ("date", "hour"), MEANS)
+    return _altitude_speed_report(means, round_velocity)
 
 
 def altitude_speed_from_parts(rollup: DataFrame, round_velocity: bool = True) -> DataFrame:
     """The same report from rows that already hold sums and counts."""
-    parts = rollup.groupBy("date", "hour").agg(
-        *merge_mean_parts("altitude"), *merge_mean_parts("velocity")
+    merged = rollup.groupBy("date", "hour", *mean_ranges(*MEANS)).agg(
+        *(part for prefix in MEANS for part in merge_mean_parts(prefix))
     )
-    return _altitude_speed_report(parts, round_velocity)
+    means = gather_means(merged, ("date", "hour"), list(MEANS))
+    return _altitude_speed_report(means, round_velocity)
 
 
-def _altitude_speed_report(parts: DataFrame, round_velocity: bool) -> DataFrame:
-    return with_day_columns(parts).select(
+def _altitude_speed_report(means: DataFrame, round_velocity: bool) -> DataFrame:
+    return with_day_columns(means).select(
         *HOUR_COLUMNS,
         mean_value("altitude").alias("avg_altitude"),
         mean_value("velocity", 2 if round_velocity else None).alias("avg_velocity"),

@@ -163,6 +163,44 @@ def altitude_speed_raw(spark, sf_dir):
     return marts.altitude_speed(tables.gold_input(spark, sf_dir), round_velocity=False)
 
 
+@query
+def altitude_speed_extremes(spark, sf_dir):
+    """Means of values that no grid or double sum holds: beyond 1e7, finer than 1e-6, no numbers.
+
+    ``avg_velocity`` is null and ``velocity_kind`` tells why where it is no number.
+    """
+    special = "hour(time) % 6 = {} and event_id % 7 = {}".format
+    wild = tables.gold_input(spark, sf_dir).withColumns(
+        {
+            "baro_altitude": F.expr(f"case when event_id % 11 <> 0 then {FINE} / 16777216D end"),
+            "velocity": F.expr(
+                f"""case when {special(1, 0)} then double('NaN')
+                    when {special(2, 1)} or {special(3, 1)} then double('Infinity')
+                    when {special(3, 2)} or {special(4, 2)} then double('-Infinity')
+                    when event_id % 13 <> 0 then {LARGE} * 1099511627776D end"""
+            ),
+        }
+    )
+    finite = "abs(avg_velocity) < double('Infinity')"
+    return marts.altitude_speed(wild).selectExpr(
+        "date",
+        "hour",
+        "avg_altitude",
+        "altitude_observations",
+        "velocity_observations",
+        f"case when {finite} then avg_velocity end as avg_velocity",
+        f"""case when avg_velocity is null then 'none' when {finite} then 'finite'
+            when isnan(avg_velocity) then 'NaN' when avg_velocity > 0 then 'Infinity'
+            else '-Infinity' end as velocity_kind""",
+    )
+
+
+#: Whole numbers by event: in units of 2^-24 up to 2 * 10^7, and of 2^40 up to 5 * 10^17.
+FINE = """((event_id * 7919) % 1000003 + (event_id % 3) * 167772160000000)
+    * (2 * (event_id % 2) - 1)"""
+LARGE = "((event_id * 104729) % 999983 - 500000)"
+
+
 @query
 def airline_counts(spark, sf_dir):
     report = marts.airline_counts(tables.gold_input(spark, sf_dir))
@@ -330,6 +368,15 @@ def _all_reports(spark, sf_dir, mart):
     return spark.read.parquet(f"{marts_path}/{mart}")
 
 
+@query
+def all_reports_quality(spark, sf_dir):
+    """The counters that the all-reports job returns."""
+    silver, marts_path = new_path(spark, "silver"), new_path(spark, "marts")
+    write_table(tables.silver(spark, sf_dir), silver)
+    quality = jobs.generate_all_reports(spark, silver, marts_path).quality
+    return spark.createDataFrame([quality], ", ".join(f"{name} long" for name in quality))
+
+
 @query
 def all_reports_airlines(spark, sf_dir):
     return _all_reports(spark, sf_dir, "airline_counts")

@@ -166,3 +166,14 @@ def test_snapshots_are_folded_before_any_ordering(spark, silver, folder):
     assert "Window" in above and above.index("Window") < fold
     assert not any(name == "Sort" for name in above[fold:])
     assert not any(name == "Exchange" for name in above[fold:])
+
+
+def test_the_end_of_the_data_needs_no_second_reading(spark, silver, folder):
+    path = folder()
+    rows = [{"time": instant(s), "icao24": f"a{s % 3}"} for s in range(0, 9000, 700)]
+    silver(*rows).write.parquet(path)
+    result = sess.build_sessions(spark.read.parquet(path))
+    assert result.count() and result.collect()
+    ended = result._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    subquery = ended[ended.index("Subquery") :]
+    assert "ReusedExchange" in subquery and "FileScan" not in subquery
