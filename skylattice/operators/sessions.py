@@ -113,19 +113,24 @@ def session_observations(
     gap_seconds: int = DEFAULT_GAP_SECONDS,
     close_stale_tail: bool = True,
     tie_break: Sequence[str] = (),
+    cell_seconds: int = ROW_CELL_SECONDS,
 ) -> DataFrame:
     """Every snapshot with its neighbours' times and its session number.
 
     Adds ``previous_time, next_time, dataset_end, new_session, session_id,
     session_closes``. Rows are ordered only inside short cells of an aircraft;
     what lies before and after a cell comes from the folded cells. ``tie_break``
-    orders rows of the same aircraft and time. Rows must have a time.
+    orders rows of the same aircraft and time. Rows must have a time. One aircraft's cell is
+    ordered by one task: where a single minute holds a large part of the rows, shorter cells
+    (``cell_seconds=1``) deal it to sixty, at the price of more cells to be put in order.
     """
+    if cell_seconds < 1:
+        raise ValueError("a cell is at least one second long")
     # Flat keys that are never NULL: rows without an aircraft join themselves, and
     # one partitioning and one sort serve the window and the join.
     keys = ("_aircraft", "_unknown", "_cell")
     slot, aircraft = ", ".join(keys), ", ".join(keys[:2])
-    cell = time_cell("time", min(cell_width(gap_seconds), ROW_CELL_SECONDS)).alias("_cell")
+    cell = time_cell("time", min(cell_width(gap_seconds), cell_seconds)).alias("_cell")
     rows = df.select(
         *(quoted(name) for name in df.columns if name != "icao24"),
         F.expr("coalesce(icao24, '') as _aircraft"),
@@ -134,9 +139,11 @@ def session_observations(
     )
     in_order = f"partition by {aircraft} order by _cell"
     opens = _opens("_first", "_before", gap_seconds)
+    cells = rows.groupBy(*keys).agg(
+        F.expr("min(time) as first_seen"), F.expr("max(time) as last_seen")
+    )
     borders = (
-        rows.groupBy(*keys)
-        .agg(F.expr("min(time) as _first"), F.expr("max(time) as _last"))
+        cells.selectExpr(*keys, "first_seen as _first", "last_seen as _last")
         .selectExpr(
             "*",
             f"lag(_last) over ({in_order}) as _before",
@@ -164,7 +171,7 @@ def session_observations(
             *(F.expr(column) for column in columns),
             F.expr("coalesce(_lag, _before) as previous_time"),
             F.expr("coalesce(_lead, _after) as next_time"),
-            latest_time(df).alias("dataset_end"),
+            latest_seen(cells).alias("dataset_end"),
             "session_id",
         )
         .selectExpr(

@@ -256,6 +256,10 @@ def oracle_sql() -> dict[str, str]:
         "select icao24, entry_ts, exit_ts, has_exit, airline_name, airline_icao, "
         'duration_seconds, "date", "year", "month", "day" from sessions where has_exit = 1'
     )
+    box = _bronze(
+        'select event_id, "time", icao24, latitude, longitude from bronze '
+        "where latitude between -24.10 and -23.20 and longitude between -47.20 and -46.20"
+    )
     rejects = """
 select * from (
   select
@@ -277,10 +281,8 @@ where reason is not null"""
         "envelope_roundtrip": bronze,
         "envelope_rejects": rejects,
         "stream_bronze_rejects": rejects,
-        "bbox_filter": _bronze(
-            'select event_id, "time", icao24, latitude, longitude from bronze '
-            "where latitude between -24.10 and -23.20 and longitude between -47.20 and -46.20"
-        ),
+        "bbox_filter": box,
+        "bbox_stored": box,
         "airline_dim_clean": airlines,
         "airline_csv_roundtrip": airlines,
         "silver_dedup": _unique(f"select {_DEDUP_COLUMNS} from uniq"),
@@ -306,6 +308,13 @@ where reason is not null"""
             "callsign", '"Airline ID"', "no call sign", "none"
         ),
         "session_observations": _gold(observations, _observed(_GAP, True)),
+        "session_observations_short_cells": _gold(observations, _observed(_GAP, True)),
+        "aircraft_by_month": _gold(
+            'select cast(year("date") as integer) as "year", '
+            'cast(month("date") as integer) as "month", '
+            "count(distinct icao24) as aircraft, true as within_bound "
+            "from gold where on_ground = false group by 1, 2"
+        ),
         "session_observations_wide": _gold(observations, _observed(WIDE_GAP, False)),
         "sessions": _session(all_sessions),
         "sessions_wide": _session(all_sessions, WIDE_GAP),

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from skylattice import driver_tables as tables
-from skylattice.operators import sessions as sess
+from skylattice.operators import sessions as sess, sketches
 from skylattice.operators.airlines import clean_airlines
 from skylattice.operators.envelopes import (
     decode_envelopes,
@@ -26,8 +26,10 @@ from skylattice.scratch import new_path
 from skylattice.sources import (
     envelope_files,
     read_airlines,
+    read_area,
     read_silver,
     snapshot_files,
+    write_by_area,
     write_table,
 )
 from skylattice.streaming import (
@@ -87,6 +89,14 @@ def bbox_filter(spark, sf_dir):
     )
 
 
+@query
+def bbox_stored(spark, sf_dir):
+    """The same box from a table stored by place."""
+    path = new_path(spark, "area")
+    write_by_area(tables.bronze(spark, sf_dir), path, files=16)
+    return read_area(spark, path).select("event_id", "time", "icao24", "latitude", "longitude")
+
+
 # --- silver -----------------------------------------------------------------
 
 
@@ -152,6 +162,25 @@ def aircraft_activity_all(spark, sf_dir):
     return marts.aircraft_activity(tables.gold_input(spark, sf_dir), only_airborne=False)
 
 
+@query
+def aircraft_by_month(spark, sf_dir):
+    """Distinct aircraft of a month, counted and estimated from stored sketches of its hours."""
+    path = new_path(spark, "sketches")
+    gold = tables.gold_input(spark, sf_dir)
+    sketches.activity_sketches(gold).write.parquet(path)
+    month = [F.expr("year(date) as year"), F.expr("month(date) as month")]
+    merged = sketches.merge_sketches(spark.read.parquet(path), month)
+    exact = (
+        marts.with_calendar(gold.filter("on_ground = false"))
+        .groupBy("year", "month")
+        .agg(F.countDistinct("icao24").alias("aircraft"))
+    )
+    close = f"abs(active_aircraft_estimate - aircraft) <= {sketches.error_bound()} * aircraft"
+    return exact.join(sketches.estimated_counts(merged), ["year", "month"]).selectExpr(
+        "year", "month", "aircraft", f"{close} as within_bound"
+    )
+
+
 @query
 def altitude_speed(spark, sf_dir):
     report = marts.altitude_speed(tables.gold_input(spark, sf_dir))
@@ -225,6 +254,15 @@ def session_observations(spark, sf_dir):
     return rows.select("event_id", "icao24", "time", *OBSERVATION_COLUMNS)
 
 
+@query
+def session_observations_short_cells(spark, sf_dir):
+    """The same listing with a cell for each second, as for a minute with very many rows."""
+    rows = sess.session_observations(
+        tables.gold_input(spark, sf_dir), tie_break=("event_id",), cell_seconds=1
+    )
+    return rows.select("event_id", "icao24", "time", *OBSERVATION_COLUMNS)
+
+
 @query
 def session_observations_wide(spark, sf_dir):
     rows = sess.session_observations(

@@ -1,5 +1,6 @@
 """Readers and writers."""
 
+from skylattice.sources.areas import read_area, write_by_area
 from skylattice.sources.files import (
     envelope_files,
     read_airlines,
@@ -18,10 +19,12 @@ __all__ = [
     "kafka_envelopes",
     "kafka_options",
     "read_airlines",
+    "read_area",
     "read_silver",
     "read_streamed",
     "send_envelopes",
     "snapshot_files",
     "stored_schema",
+    "write_by_area",
     "write_table",
 ]
