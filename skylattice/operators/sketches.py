@@ -2,8 +2,9 @@
 
 Exact distinct counts of two hours do not add up to that of both. A sketch of each hour does:
 sketches merge, in any order and any grouping, and give the count to within
-``error_bound`` with a probability of 95 %. A month is then counted from its 720 stored hours
-instead of its snapshots. The reports themselves stay exact.
+``error_bound`` with a probability of 95 % (the estimate itself may differ a little with the
+order, inside that bound). A month is then counted from its 720 stored hours instead of its
+snapshots. The reports themselves stay exact.
 """
 
 from __future__ import annotations
