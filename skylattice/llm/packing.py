@@ -25,7 +25,6 @@ that look like special tokens are ordinary text.
 from __future__ import annotations
 
 import base64
-import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -40,9 +39,6 @@ WIDTH = 2_048
 GROUP_TOKENS = 4 << 20
 #: Matrix rows in one shard.
 SHARD_ROWS = 256
-#: Pieces whose ids a task keeps.
-_CACHE = 1 << 16
-
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
 # Fixed value: the pattern by which the public vocabulary splits text.
@@ -50,11 +46,6 @@ _PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
 
-#: A text may be cut before single blanks and line ends between other characters without
-#: changing its tokens: no token of the pattern runs over such a place.
-_STRETCH = re.compile(r"[ \n]?\S+(?=[ \n]\S|\Z)|[ \n]?\S+\s+\S*|\s+\S*|\S+")
-
-
 @lru_cache(maxsize=2)
 def encoding(path: str):
     import tiktoken
@@ -65,43 +56,14 @@ def encoding(path: str):
 
 
 class Tokenizer:
-    """Encodes texts; stretches that come again are looked up."""
+    """Encodes whole texts to ids of the least type that holds the vocabulary."""
 
     def __init__(self, path: str):
         self.encoding = encoding(path)
         self.dtype = np.dtype("<u2" if self.encoding.max_token_value < 65_535 else "<u4")
-        self._reset()
-
-    def _reset(self) -> None:
-        self.known: dict[str, int] = {}
-        self.ids = np.empty(1 << 16, dtype=self.dtype)
-        self.ends = np.zeros(1 << 14, dtype=np.int64)
-
-    def _learn(self, stretches: list[str]) -> None:
-        """Add new stretches; the arrays double, so each id is moved a few times at most."""
-        coded = [self.encoding.encode_ordinary(x) for x in stretches]
-        n, used = len(self.known), int(self.ends[len(self.known)])
-        added = np.cumsum([len(x) for x in coded])
-        while used + added[-1] > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
-        while n + len(coded) + 1 > len(self.ends):
-            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
-        self.ids[used : used + added[-1]] = [i for x in coded for i in x]
-        self.ends[n + 1 : n + 1 + len(coded)] = used + added
-        for number, stretch in enumerate(stretches):
-            self.known[stretch] = n + number
 
     def encode(self, text: str) -> np.ndarray:
-        if len(self.known) > _CACHE:
-            self._reset()
-        stretches = _STRETCH.findall(text)
-        known = self.known
-        if new := [x for x in dict.fromkeys(stretches) if x not in known]:
-            self._learn(new)
-        at = np.fromiter((known[x] for x in stretches), dtype=np.int64, count=len(stretches))
-        starts, counts = self.ends[at], self.ends[at + 1] - self.ends[at]
-        offsets = np.cumsum(counts) - counts
-        return self.ids[np.arange(counts.sum()) + np.repeat(starts - offsets, counts)]
+        return self.encoding.encode_to_numpy(text, disallowed_special=()).astype(self.dtype)
 
 
 class Capacities:
