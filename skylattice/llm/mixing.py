@@ -16,7 +16,8 @@ rows is read by as many tasks as its size asks for.
 Defined results: a null group value is a value of its own. Null and empty texts have no
 tokens; such rows come with every whole epoch and with a prefix that reaches them (a budget
 of whole epochs has no prefix). Rows
-that are alike in all respects share a place in the order and are taken as they are met.
+that share an id are put in order by a digest of their text; rows that share that as well
+are taken as they are met.
 Repeated rows count as rows. With nothing to choose from the result is empty. A leaf
 without a weight has weight 1; a weight of 0 takes nothing unless all siblings are 0.
 """
@@ -118,17 +119,25 @@ def mix_sources(
     id_column: str = "doc_id",
     text_column: str = "text",
     total_is_share: bool = False,
+    epoch_column: str = "_epoch",
 ) -> DataFrame:
     """Chosen rows with all their columns and ``_epoch``, once for each epoch they are in.
 
-    ``total`` counts tokens, or with ``total_is_share`` the share of all tokens. Names
-    that begin with ``_mix`` are used inside.
+    ``total`` counts tokens, or with ``total_is_share`` the share of all tokens. Other
+    columns may have any names but that of ``epoch_column``, for which another may be given.
     """
+    if epoch_column in docs.columns:
+        raise ValueError(f"there is a column {epoch_column} already; name epoch_column otherwise")
     paths = [F.col(f"`{x}`") if isinstance(x, str) else x for x in levels]
     names = [f"_mix{i}" for i in range(len(paths))]
-    rows = docs.withColumns(
-        {n: p.cast("string") for n, p in zip(names, paths, strict=True)}
-        | {"_mix_tokens": word_count(F.col(f"`{text_column}`"))}
+    text, of_row = F.col(f"`{text_column}`"), F.col(f"`{id_column}`").cast("string")
+    # The caller's columns travel in one, so that no name of theirs is met.
+    rows = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_mix_row"),
+        *(p.cast("string").alias(n) for n, p in zip(names, paths, strict=True)),
+        word_count(text).alias("_mix_tokens"),
+        F.coalesce(of_row, text).alias("_mix_of"),
+        F.xxhash64(text).alias("_mix_tie"),
     )
     leaves = rows.groupBy(*names).agg(
         F.sum("_mix_tokens").alias("tokens"), F.count("*").alias("n")
@@ -163,9 +172,8 @@ def mix_sources(
         return joined.drop(*(f"{n}r" for n in names))
 
     # The next epoch's order: a hash of seed, epoch and row; its upper bits give the range.
-    row = F.coalesce(F.col(f"`{id_column}`").cast("string"), F.col(f"`{text_column}`"))
     planned = with_leaf(rows, table, "inner").withColumn(
-        "_mix_order", F.xxhash64(F.lit(seed), "_mix_whole", row)
+        "_mix_order", F.xxhash64(F.lit(seed), "_mix_whole", "_mix_of")
     )
     place = F.shiftrightunsigned("_mix_order", 33) * F.col("_mix_ranges")
     planned = planned.withColumn("_mix_range", F.shiftright(place, 31))
@@ -190,7 +198,7 @@ def mix_sources(
     edge = placed.filter(at_end)
     within = (
         Window.partitionBy(*names, "_mix_range")
-        .orderBy("_mix_order")
+        .orderBy("_mix_order", "_mix_tie")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     edge = edge.withColumn(
@@ -202,6 +210,5 @@ def mix_sources(
     prefix = F.col("_mix_in") & (F.col("_mix_rest") > 0)
     times = F.col("_mix_whole") + prefix.cast("int")
     chosen = rest.unionByName(edge).filter(times > 0)
-    out = chosen.withColumn("_epoch", F.explode(F.sequence(F.lit(0), times - 1)))
-    return out.select(*(F.col(f"`{c}`") for c in docs.columns), "_epoch")
-
+    out = chosen.withColumn("_mix_epoch", F.explode(F.sequence(F.lit(0), times - 1)))
+    return out.select("_mix_row.*", F.col("_mix_epoch").alias(epoch_column))

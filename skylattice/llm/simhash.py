@@ -17,7 +17,7 @@ fingerprints take part; copies of a text are folded into one beforehand.
 errors over three segments leave two with at most one each, so with all three pairs no
 link is lost.
 
-``SIMILAR``: 256 bits over the set of distinct five-word shingles, for a Jaccard similarity
+``SIMILAR``, which no query uses: 256 bits over the set of distinct five-word shingles, for a Jaccard similarity
 of 0.8 or more of these sets, where about 15 % of the bits differ. Nodes are distinct sets.
 Pairs of eleven segments, with every key, give candidates of at most 64 differing bits; they
 are found with a high probability instead of surely (``tests/llm/test_simhash.py`` has the
@@ -155,17 +155,21 @@ def _content(of: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(of.tobytes(), _HASH_SEED) - (1 << 63)
 
 
-def fingerprints(docs: DataFrame, scheme: Scheme = THREE_BITS) -> DataFrame:
+def fingerprints(
+    docs: DataFrame, scheme: Scheme = THREE_BITS, kept: tuple[str, ...] = ()
+) -> DataFrame:
     """doc_id and the fingerprint, 8 little-endian bytes for each word.
 
-    If the scheme is about sets, also the set's digest and size.
+    If the scheme is about sets, also the set's digest and size. ``kept`` names columns of
+    longs that are passed on.
     """
     sets = scheme.similarity is not None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_pieces(batches):
             texts = encoded(batch.column("text"))
-            columns, names = [batch.column("doc_id")], ["doc_id", "fp"]
+            names = ["doc_id", *kept, "fp"]
+            columns = [batch.column(name) for name in names[:-1]]
             if sets:
                 prints, contents, sizes = [], [], []
                 for text in texts:
@@ -181,9 +185,10 @@ def fingerprints(docs: DataFrame, scheme: Scheme = THREE_BITS) -> DataFrame:
                 columns.append(pa.array(prints, pa.binary()))
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *kept)
+    passed = "".join(f"{name} long, " for name in kept)
     return rows.mapInArrow(
-        run, "doc_id long, fp binary" + (", content long, size int" if sets else "")
+        run, f"doc_id long, {passed}fp binary" + (", content long, size int" if sets else "")
     )
 
 
@@ -502,6 +507,16 @@ def similar_links(
 def near_duplicate_classes(docs: DataFrame, scheme: Scheme = THREE_BITS) -> DataFrame:
     """One row per document: doc_id, fingerprint in hex, component_id."""
     printed = store(fingerprints(docs, scheme), "fingerprints")
+    classes = _classes(docs, printed, scheme)
+    # The most significant byte is shown first.
+    digits = [F.substring(F.hex("fp"), at, 2) for at in range(16 * scheme.words - 1, 0, -2)]
+    return classes.select(
+        "doc_id", F.lower(F.concat(*digits)).alias("fingerprint"), "component_id"
+    )
+
+
+def _classes(docs: DataFrame, printed: DataFrame, scheme: Scheme) -> DataFrame:
+    """Stored fingerprints with ``component_id`` and ``class``, which is never null."""
     # Distinct fingerprints or sets are the nodes; they are few bytes, and numbered once.
     same = ["fp"] if scheme.similarity is None else ["fp", "content", "size"]
     nodes = store(
@@ -517,21 +532,35 @@ def near_duplicate_classes(docs: DataFrame, scheme: Scheme = THREE_BITS) -> Data
         stars, F.col("own") == F.col("node"), "left"
     ).select(*same, "least", F.coalesce("root", "own").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = rooted.join(least, "root").select(*same, "component_id")
-    # The most significant byte is shown first.
-    digits = [F.substring(F.hex("fp"), at, 2) for at in range(16 * scheme.words - 1, 0, -2)]
-    return printed.join(classes, same).select(
-        "doc_id", F.lower(F.concat(*digits)).alias("fingerprint"), "component_id"
+    classes = rooted.join(least, "root").select(
+        *same, "component_id", F.col("root").alias("class")
     )
+    return printed.join(classes, same)
 
 
-def drop_near_duplicates(docs: DataFrame, scheme: Scheme = SIMILAR) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, scheme: Scheme = THREE_BITS) -> DataFrame:
     """Of each class the row with the smallest ``doc_id``, with all columns.
 
-    Rows without a ``doc_id`` stay; of rows that repeat a ``doc_id`` one stays.
+    Rows that share that ``doc_id`` are told apart by a digest of all their columns, of
+    which the smallest stays; rows that agree in every column are one. Rows without a
+    ``doc_id`` stay, all of them. Other columns may have any names.
     """
-    named = docs.filter(F.col("doc_id").isNotNull())
-    classes = near_duplicate_classes(named, scheme)
-    stay = classes.filter("doc_id = component_id").select(F.col("doc_id").alias("_stay"))
-    kept = named.join(stay, F.col("doc_id") == F.col("_stay"), "left_semi")
-    return kept.dropDuplicates(["doc_id"]).unionByName(docs.filter(F.col("doc_id").isNull()))
+    # The caller's columns travel in one, so that no name of theirs is met.
+    rows = docs.select(
+        F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("row"),
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.col("text").cast("string").alias("text"),
+        F.xxhash64(*(F.col(f"`{name}`") for name in docs.columns)).alias("digest"),
+    )
+    named = rows.filter(F.col("doc_id").isNotNull())
+    printed = store(fingerprints(named, scheme, ("digest",)), "fingerprints")
+    classes = _classes(named, printed, scheme)
+    stay = classes.groupBy("class").agg(
+        F.expr("min(named_struct('id', doc_id, 'digest', digest)) as kept")
+    )
+    stay = stay.selectExpr("kept.id as doc_id", "kept.digest as digest")
+    kept = named.join(stay, ["doc_id", "digest"])
+    first = "row_number() over (partition by doc_id, digest order by digest)"
+    kept = kept.withColumn("copy", F.expr(first)).filter("copy = 1")
+    nameless = rows.filter(F.col("doc_id").isNull())
+    return kept.select("row").unionByName(nameless.select("row")).select("row.*")

@@ -19,7 +19,8 @@ DOCS = T.StructType(
 #: Columns named like those that operators use inside.
 CLASHING = (
     "unit bucket row line n key kind node fp class members digest content low high place line_id "
-    "tokens budget score y words a b root least held_out best"
+    "tokens budget score y words a b root least held_out best _stay _copy _mix0 _mix_row "
+    "_mix_tokens _mix_order copy text_digest doc_ids position total level task rank"
 ).split()
 
 

@@ -213,5 +213,6 @@ def test_drop_keeps_to_the_threshold(spark, monkeypatch, block):
     assert all(true[c] == true[i] for i, c in classes.items())
     found = sum(classes[i] == classes[j] for i, j in near)
     assert len(near) >= 80 and found >= 0.96 * len(near)
-    kept = {r.doc_id for r in simhash.drop_near_duplicates(table).select("doc_id").collect()}
+    dropped = simhash.drop_near_duplicates(table, SIMILAR)
+    kept = {r.doc_id for r in dropped.select("doc_id").collect()}
     assert {i for i, c in true.items() if i == c} <= kept
