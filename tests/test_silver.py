@@ -1,3 +1,5 @@
+from collections import Counter
+
 import pytest
 
 from skylattice.operators import airlines as air
@@ -133,3 +135,24 @@ def test_repeated_local_hour_keeps_its_instants(spark, bronze, zone):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert instant(0).day == 1
+
+
+def test_only_busy_codes_are_salted(spark, bronze, airlines):
+    """One code has half of the rows, one that no airline has a quarter, others are rare."""
+    names = [f"{a}{b}X" for a in "ABCDEFGH" for b in "ABCDEFGH"]
+    rows = [{"icao24": f"h{i}", "callsign": "GLO1"} for i in range(400)]
+    rows += [{"icao24": f"z{i}", "callsign": "ZZZ9"} for i in range(200)]
+    rows += [{"icao24": f"r{i}", "callsign": f"{names[i % 64]}{i}"} for i in range(192)]
+    rows += [{"icao24": f"n{i}", "callsign": None} for i in range(8)]
+    rows = [{**r, "last_contact": i, "time": i} for i, r in enumerate(rows)]
+    df = bronze(*rows)
+    dimension = airlines(*({"ICAO": code, "Nome": code} for code in ["GLO", *names]))
+    keyed = df.withColumn("_key", air.airline_key("callsign"))
+    assert sorted(air.busy_keys(keyed, 8)) == ["GLO", "ZZZ"]
+    assert air.busy_keys(keyed.limit(0), 8) == []
+    joined = air.join_airlines(df, dimension, broadcast_limit_bytes=0, salts=8)
+    plain = air.join_airlines(df, dimension)
+    assert Counter(map(tuple, joined.collect())) == Counter(map(tuple, plain.collect()))
+    # Of the 65 airlines one is copied, to eight.
+    assert air.with_copies(dimension, ["GLO", "ZZZ"], 8).count() == 64 + 8
+    assert air.with_copies(dimension, None, 8).count() == 65 * 8
