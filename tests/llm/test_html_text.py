@@ -1,5 +1,7 @@
 import html
 import re
+import time
+import tracemalloc
 
 import pytest
 
@@ -118,3 +120,126 @@ def test_names_are_not_heeded_if_they_leave_nothing():
 def test_formulas_stay_in_the_text():
     page = "<article><p>So <math><mi>a</mi><mo>=</mo><mi>b</mi></math> holds.</p></article>"
     assert main_text(page) == "So a=b holds."
+
+
+#: What a page around or in the article may hold, none of it the article's.
+REMARK = """<div {0}><h3>Remarks</h3><p>REMARK one, which is long; so long, in fact, that it is longer
+than the article, with commas, points, and all that text has. Is it? It is!</p><p>REMARK two.</p>
+</div>"""
+
+NAMES = """post-comments entry-comments user-comments reader-comments comments-area commentlist
+comment-list userComments comment-thread disqus_thread article-footer site-footer entry-footer
+pageFooter left-sidebar sidebar-right sidebarLeft main-nav site-navigation js-ad-slot ad-top
+advert-box sponsored-content promo-box cookie-bar cookieConsent gdpr-notice newsletter-signup
+related-posts recommended-stories share-buttons social-links widget-area breadcrumb-trail
+copyright-line""".split()
+
+BODY = """<h1>The title</h1><p>First paragraph, which says a few things; some of them long.</p>
+<h2>Part</h2><p>Second paragraph. It goes on, and on, and has a <a href="x">link</a> in it.</p>
+<ul><li>A</li><li>B</li></ul><table><tr><td>1<td>2<tr><td>3</table><p>Last words.</p>"""
+
+WORDS = [
+    "The title",
+    "First paragraph, which says a few things; some of them long.",
+    "Part",
+    "Second paragraph. It goes on, and on, and has a link in it.",
+    *"AB123",
+    "Last words.",
+]
+
+
+@pytest.mark.parametrize("name", NAMES)
+@pytest.mark.parametrize("attribute", ["class='{}'", "class='box {} x2'", "id={}"])
+def test_named_parts_go_inside_and_beside_the_article(name, attribute):
+    remark = REMARK.format(attribute.format(name))
+    for open_, close in (
+        ("<article>", "</article>"),
+        ("<main><article class='post'>", "</article></main>"),
+        ("<div class='content'>", "</div>"),
+        ("<div><section>", "</section></div>"),
+        ("<div role=main>", "</div>"),
+    ):
+        for page in (
+            f"<body>{open_}{BODY}{remark}{close}</body>",
+            f"<body>{open_}{BODY}{close}{remark}</body>",
+            f"<body>{remark}{open_}{BODY}{close}</body>",
+        ):
+            assert main_text(page) == "\n\n".join(WORDS), page
+
+
+@pytest.mark.parametrize(
+    "opening",
+    [
+        "<article class='post no-sidebar'>",
+        "<article class='post category-social tag-comment'>",
+        "<article class='hentry share-enabled'>",
+        "<div class='content-sidebar-wrap'>",
+        "<div class='with-sidebar'>",
+        "<div class='sidebar-layout'>",
+        "<div class='commentary'>",
+        "<div class='left-sidebar-page' id='page'>",
+        "<div data-class='comments' title='class=footer'>",
+        "<div class='social'>",
+        "<form action='/postback'><div>",
+    ],
+)
+def test_names_that_are_not_about_the_article_do_not_bar_it(opening):
+    close = "".join(f"</{x}>" for x in reversed(re.findall(r"<(\w+)", opening)))
+    rest = REMARK.format("id='comments'") + "<footer>REMARK, of the footer.</footer>"
+    for page in (f"{opening}{BODY}{close}{rest}", f"<div>{opening}{BODY}{rest}{close}</div>"):
+        assert main_text(page) == "\n\n".join(WORDS), page
+
+
+def test_runs_of_links_go_by_their_ratio():
+    menu = "".join(f"<li><a href=/{n}>Entry number {n}</a></li>" for n in range(9))
+    page = f"<article><ol class=x>{menu}</ol>{BODY}<p><a href=y>Source</a></p></article>"
+    assert main_text(page) == "\n\n".join([*WORDS, "Source"])
+
+
+def test_long_comments_do_not_outweigh_a_short_article():
+    remarks = "".join(
+        f"<article class='comment'><p>REMARK {n}, {'as long as can be, ' * 20}.</p></article>"
+        for n in range(50)
+    )
+    for around in ("<div class='comments'>{}</div>", "{}"):
+        page = f"<article><h1>News</h1><p>Great news today</p></article>{around.format(remarks)}"
+        assert main_text(page) == "News\n\nGreat news today"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        lambda n: "<a " * n,
+        lambda n: "<a \"'>" * n + '"',
+        lambda n: "<!" * n,
+        lambda n: "</" * n,
+        lambda n: "<script" + " </script" * n,
+        lambda n: "<p " + "class " * n + ">x",
+        lambda n: "<p " + 'class="' * n + ">x",
+        lambda n: "<p class" + " " * n + ">x",
+        lambda n: "<div>" * n + "x",
+        lambda n: "<div class=a>" * n + "</section>" * n + "x",
+        lambda n: "<ul><li>" + "<blockquote>" * n + "<li></li>" * n,
+        lambda n: "<table>" + "<tr><td>x" * n,
+        lambda n: "<p>" + "<blockquote><p>x" * n,
+        lambda n: "&" * n + "<" * n + "&#" * n,
+    ],
+)
+def test_time_and_memory_grow_with_the_page(page):
+    def cost(n):
+        text = page(n)
+        tracemalloc.start()
+        main_text(text)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        seconds = []
+        for _ in range(3):
+            start = time.process_time()
+            main_text(text)
+            seconds.append(time.process_time() - start)
+        return min(seconds), peak
+
+    seconds, peak = cost(4_000)
+    more_seconds, more_peak = cost(16_000)
+    assert more_seconds < 8 * seconds + 0.05
+    assert more_peak < 6 * peak + 100_000
