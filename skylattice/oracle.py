@@ -2,7 +2,14 @@
 
 from __future__ import annotations
 
-from skylattice.registry import FINE, LARGE, OBSERVATION_COLUMNS, RUN_DATE, WIDE_GAP
+from skylattice.registry import (
+    FINE,
+    LARGE,
+    OBSERVATION_COLUMNS,
+    RUN_DATE,
+    RUN_DATES,
+    WIDE_GAP,
+)
 
 _GAP = 1800
 
@@ -349,6 +356,12 @@ where reason is not null"""
         "job_area_duration_day": _session(
             _DURATION.format(extra=f'and "date" = {run_date}'), WIDE_GAP
         ),
+        "job_area_duration_days": _session(
+            _DURATION.format(
+                extra=f"""and "date" between date '{RUN_DATES[0]}' and date '{RUN_DATES[1]}'"""
+            ),
+            WIDE_GAP,
+        ),
         "silver_rebuild": silver,
         "stream_bronze": bronze,
         "stream_silver": silver,

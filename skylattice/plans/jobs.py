@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -14,11 +14,10 @@ from skylattice.functions import (
     mean_columns,
     mean_parts,
     mean_ranges,
-    seconds_between,
     time_cell,
 )
 from skylattice.operators.airlines import clean_airlines
-from skylattice.operators.filters import ZONE_SLACK_DAYS, on_date
+from skylattice.operators.filters import on_date
 from skylattice.operators.sessions import (
     DEFAULT_GAP_SECONDS,
     build_sessions,
@@ -27,6 +26,7 @@ from skylattice.operators.sessions import (
     sessions_from_cells,
 )
 from skylattice.plans import marts
+from skylattice.plans.carry import entered_between
 from skylattice.plans.silver import build_silver
 from skylattice.schemas import BRONZE, DAY_PARTITION
 from skylattice.scratch import scratch_table
@@ -239,60 +239,38 @@ def run_area_duration_day(
     timezone: str = "UTC",
     session_gap: int = DEFAULT_GAP_SECONDS,
 ) -> ReportRun:
-    """The same report for one entry date, reading only the days it needs.
-
-    Reading starts one gap before the date, enough to tell whether a sighting
-    opens a session, and goes on until the data read reach more than the gap past
-    the last snapshot of every session of the date: those are then complete and
-    known to be closed, whatever comes later. If some are not, twice as many days
-    are read, at most to the end of the table. There are no counters, which are
-    over the whole history.
-    """
-    name = "monitored_area_duration"
-    with session_zone(spark, timezone):
-        run_date = _iso_date(spark, run_date)
-        silver = read_silver(spark, source_path, REPORT_COLUMNS[name])
-        days = 2
-        while True:
-            with scratch_table(spark, "sessions") as path:
-                near = _days_around(silver, run_date, days, session_gap)
-                wanted = on_date(build_sessions(near, session_gap), run_date, "entry_ts")
-                wanted.withColumn("data_end", latest_time(near)).write.parquet(path)
-                stored = spark.read.parquet(path)
-                undecided = stored.filter(
-                    f"{seconds_between('exit_ts', 'data_end')} <= {session_gap}"
-                )
-                if undecided.isEmpty() or _days_after(silver, run_date, days).isEmpty():
-                    report = marts.area_duration(stored)
-                    return ReportRun({name: _write_report(report, output_path, run_date)})
-            days *= 2
-
-
-def _days_around(silver: DataFrame, run_date: str, days: int, gap_seconds: int) -> DataFrame:
-    """Rows from one gap before a local date to the end of ``days`` days."""
-    start, end = _midnight(run_date, 0), _midnight(run_date, days)
-    first = F.expr(f"timestamp_seconds(cast({start} as bigint) - {gap_seconds})")
-    near = silver.filter((F.col("time") >= first) & F.expr(f"time < {end}"))
-    slack = ZONE_SLACK_DAYS + gap_seconds // 86_400 + 1
-    return near.filter(
-        f"{_FOLDER} between date_sub(date'{run_date}', {slack})"
-        f" and date_add(date'{run_date}', {days + ZONE_SLACK_DAYS})"
+    """The same report for one entry date, see :func:`run_area_duration_days`."""
+    return run_area_duration_days(
+        spark, source_path, output_path, run_date, run_date, timezone, session_gap
     )
 
 
-def _days_after(silver: DataFrame, run_date: str, days: int) -> DataFrame:
-    return silver.filter(f"time >= {_midnight(run_date, days)}").filter(
-        f"{_FOLDER} >= date_add(date'{run_date}', {days - ZONE_SLACK_DAYS})"
-    )
-
-
-#: Day of a partition folder, a predicate that is settled at planning.
-_FOLDER = "make_date(year, month, day)"
-
+def run_area_duration_days(
+    spark: SparkSession,
+    source_path: str,
+    output_path: str,
+    first_date: str,
+    last_date: str,
+    timezone: str = "UTC",
+    session_gap: int = DEFAULT_GAP_SECONDS,
+) -> ReportRun:
+    """Area duration of the entry dates from one to another, reading each day once.
 
-def _midnight(run_date: str, days: int) -> str:
-    """SQL text: local midnight so many days after a date."""
-    return f"cast(date_add(date'{run_date}', {days}) as timestamp)"
+    What a day leaves open is carried to the next, see :mod:`skylattice.plans.carry`. Days of
+    the table that lie before or behind what the sessions of these dates reach are not read.
+    Only the partitions of these dates are replaced, and emptied where they have no sessions.
+    There are no counters, which are over the whole history.
+    """
+    name = "monitored_area_duration"
+    with session_zone(spark, timezone), scratch_table(spark, "sessions") as path:
+        first, last = (_iso_date(spark, day) for day in (first_date, last_date))
+        if not first or not last or first > last:
+            raise ValueError(f"not a range of dates: {first_date} to {last_date}")
+        silver = read_silver(spark, source_path, REPORT_COLUMNS[name])
+        report = marts.area_duration(entered_between(silver, first, last, session_gap, path))
+        days = (date.fromisoformat(last) - date.fromisoformat(first)).days + 1
+        dates = [str(date.fromisoformat(first) + timedelta(n)) for n in range(days)]
+        return ReportRun({name: _replace_days(report, output_path, dates)})
 
 
 def rebuild_silver(
@@ -325,13 +303,22 @@ def _snapshot_report(
 
 def _write_report(report: DataFrame, path: str, run_date: str | None) -> WriteResult:
     """Replace the whole mart, or with a date that day and no other."""
-    if not run_date:
-        return write_table(report, path)
+    return _replace_days(report, path, [run_date]) if run_date else write_table(report, path)
+
+
+def _replace_days(report: DataFrame, path: str, dates: list[str]) -> WriteResult:
+    """Replace the days of a mart that these dates name, all of the report's rows being theirs."""
+    spark = report.sparkSession
     result = write_table(report, path, replace="dynamic")
-    if result.rows == 0:
-        # Nothing replaces the day's old rows then; an empty file does.
-        day = date.fromisoformat(run_date)
-        nothing = report.sparkSession.createDataFrame([], report.drop(*DAY_PARTITION).schema)
+    filled: set[str] = set()
+    if result.rows and len(dates) > 1:
+        # At most one row for each date of the range.
+        filled = {str(row.date) for row in report.select("date").distinct().collect()}
+    elif result.rows:
+        filled = set(dates)
+    for day in (date.fromisoformat(x) for x in dates if x not in filled):
+        # Nothing replaces the day's old rows; an empty file does.
+        nothing = spark.createDataFrame([], report.drop(*DAY_PARTITION).schema)
         nothing.write.mode("overwrite").parquet(
             f"{path}/year={day.year}/month={day.month}/day={day.day}"
         )

@@ -48,6 +48,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 #: Dates and gaps the parameterised queries run with.
 RUN_DATE = "2024-01-15"
+#: First and last date of a range of entry dates.
+RUN_DATES = ("2024-01-08", "2024-01-17")
 WIDE_GAP = 6 * 60 * 60
 
 QUERIES: dict[str, Query] = {}
@@ -464,6 +466,12 @@ def job_area_duration_day(spark, sf_dir):
     return _job(spark, sf_dir, jobs.run_area_duration_day, RUN_DATE, session_gap=WIDE_GAP)
 
 
+@query
+def job_area_duration_days(spark, sf_dir):
+    """Ten entry dates, each day read once; sessions run on for days behind the last."""
+    return _job(spark, sf_dir, jobs.run_area_duration_days, *RUN_DATES, session_gap=WIDE_GAP)
+
+
 @query
 def silver_rebuild(spark, sf_dir):
     """Bronze and airline files to the silver table, by the rebuild job."""

@@ -22,14 +22,9 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from skylattice.functions import seconds_between
 from skylattice.operators.filters import identified
-from skylattice.operators.sessions import (
-    DEFAULT_GAP_SECONDS,
-    cell_width,
-    presence_cells,
-    with_duration_and_day,
-)
+from skylattice.operators.intervals import joined_intervals, presence_intervals
+from skylattice.operators.sessions import DEFAULT_GAP_SECONDS, cell_width, with_duration_and_day
 from skylattice.sources.sinks import DEFAULT_TRIGGER, WriteResult, batch_stream, write_table
 from skylattice.streaming.versions import NO_DAY, VersionStore
 
@@ -94,52 +89,6 @@ def start_sessions(
     return batch_stream(silver, write, checkpoint, processing_time)
 
 
-def presence_intervals(df: DataFrame, gap_seconds: int) -> DataFrame:
-    """Maximal runs of an aircraft's snapshots: ``icao24, entry_ts, exit_ts, named, coded``.
-
-    Snapshots are folded to cells before anything is shuffled, see ``presence_cells``.
-    """
-    cells = presence_cells(df, gap_seconds)
-    folded = cells.groupBy("icao24", "cell").agg(
-        F.expr("min(first_seen) as entry_ts"),
-        F.expr("max(last_seen) as exit_ts"),
-        _first_label("first_seen", "Nome", "named"),
-        _first_label("first_seen", "ICAO", "coded"),
-    )
-    return _joined(folded, gap_seconds).select(
-        "icao24", "entry_ts", "exit_ts", "named", "coded"
-    ).distinct()
-
-
-def _first_label(time: str, value: str, name: str):
-    pair = f"named_struct('time', {time}, 'label', {value})"
-    return F.expr(f"min(case when {value} is not null then {pair} end) as {name}")
-
-
-def _joined(intervals: DataFrame, gap_seconds: int) -> DataFrame:
-    """Give each interval the borders and labels of the run it is in.
-
-    Adds ``chain``, the number of the run, and keeps the interval's own start as ``own``.
-    """
-    aircraft = "partition by icao24 order by entry_ts, exit_ts"
-    before = f"max(exit_ts) over ({aircraft} rows between unbounded preceding and 1 preceding)"
-    gap = seconds_between("_before", "entry_ts")
-    chained = (
-        intervals.withColumn("_before", F.expr(before))
-        .withColumn("_opens", F.expr(f"case when _before is null or {gap} > {gap_seconds} then 1 else 0 end"))
-        .withColumn("chain", F.expr(f"sum(_opens) over ({aircraft} rows unbounded preceding)"))
-    )
-    run = "over (partition by icao24, chain)"
-    return chained.withColumn("own", F.col("entry_ts")).withColumns(
-        {
-            "entry_ts": F.expr(f"min(own) {run}"),
-            "exit_ts": F.expr(f"max(exit_ts) {run}"),
-            "named": F.expr(f"min(named) {run}"),
-            "coded": F.expr(f"min(coded) {run}"),
-        }
-    )
-
-
 def _touched(found: DataFrame, gap_seconds: int) -> list:
     """Dates that the intervals, widened by the gap, fall on."""
     widened = (
@@ -178,7 +127,7 @@ def _merged(found: DataFrame, stored: DataFrame, gap_seconds: int) -> DataFrame:
     both = found.select(*columns, F.lit(True).alias("fresh")).unionByName(
         concerned.select(*columns, F.lit(False).alias("fresh"))
     )
-    runs = _joined(both, gap_seconds)
+    runs = joined_intervals(both, gap_seconds)
     return runs.withColumn(
         "touched", F.expr("max(fresh) over (partition by icao24, chain)")
     ).filter("touched")

@@ -7,7 +7,7 @@ import pytest
 
 from skylattice import scratch
 from skylattice.operators.sessions import build_sessions
-from skylattice.plans import jobs, marts
+from skylattice.plans import carry, jobs, marts
 from skylattice.sources import (
     kafka_envelopes,
     kafka_options,
@@ -214,10 +214,107 @@ def test_area_duration_day_equals_the_whole_history(spark, silver_path, folder,
             assert rows_of(spark.read.parquet(out)) == wanted
 
 
-def test_area_duration_day_reads_few_partitions(spark, silver_path):
-    near = jobs._days_around(read_silver(spark, silver_path), "2024-01-15", 2, 1800)
+def test_area_duration_days_equal_the_whole_history(spark, silver_path, folder):
+    """Also over the whole table and beyond both of its ends."""
+    gap, everything = 6 * 3600, folder()
+    jobs.run_area_duration(spark, silver_path, everything, session_gap=gap)
+    expected = spark.read.parquet(everything)
+    for first, last in (
+        ("2024-01-08", "2024-01-12"), ("2023-12-30", "2024-02-02"), ("2024-01-29", "2024-01-30"),
+    ):
+        wanted = rows_of(expected.filter(f"date between date'{first}' and date'{last}'"))
+        out = folder()
+        run = jobs.run_area_duration_days(
+            spark, silver_path, out, first, last, session_gap=gap
+        )
+        assert run.written["monitored_area_duration"].rows == sum(wanted.values()) > 0
+        assert rows_of(spark.read.parquet(out)) == wanted
+
+
+def test_area_duration_days_replace_their_days_only(spark, silver_path, folder):
+    out, corrected = folder(), folder()
+    jobs.run_area_duration(spark, silver_path, out, session_gap=6 * 3600)
+    before = rows_of(spark.read.parquet(out).filter("day not between 14 and 16"))
+    rest = spark.read.parquet(silver_path).filter("to_date(time) <> date'2024-01-15'")
+    write_table(rest, corrected)
+    jobs.run_area_duration_days(
+        spark, corrected, out, "2024-01-14", "2024-1-16", session_gap=600
+    )
+    after = spark.read.parquet(out)
+    assert rows_of(after.filter("day not between 14 and 16")) == before
+    assert after.filter("day = 15").count() == 0
+
+
+def test_a_range_of_dates_that_is_none_stops_the_job(spark, silver_path, folder):
+    with pytest.raises(ValueError, match="range"):
+        jobs.run_area_duration_days(spark, silver_path, folder(), "2024-01-02", "2024-01-01")
+
+
+def _flights(spark, folder, *sightings):
+    path = folder()
+    rows = [(at(time), aircraft, None, None) for aircraft, *times in sightings for time in times]
+    df = spark.createDataFrame(rows, "time timestamp, icao24 string, Nome string, ICAO string")
+    write_table(marts.with_calendar(df).drop("date", "hour"), path)
+    return path
+
+
+def _steps(spark, silver, first, last, gap, folder, monkeypatch):
+    """Sessions, and the spans of days read for them with the lead of each."""
+    read, whole = [], carry.snapshots_between
+
+    def noted(silver, day, start, end, lead_seconds=0):
+        read.append((start, end, lead_seconds))
+        return whole(silver, day, start, end, lead_seconds)
+
+    monkeypatch.setattr(carry, "snapshots_between", noted)
+    found = carry.entered_between(read_silver(spark, silver, ("Nome", "ICAO")), first, last, gap, folder())
+    rows = sorted((r.icao24, str(r.entry_ts), str(r.exit_ts), r.has_exit) for r in found.collect())
+    return rows, read
+
+
+def test_days_are_read_once_and_only_as_far_as_sessions_run(spark, folder, monkeypatch):
+    silver = _flights(
+        spark, folder,
+        ("before", "2026-03-01 23:50", "2026-03-02 00:10", "2026-03-02 00:35"),
+        ("over", "2026-03-02 23:40", "2026-03-03 00:05", "2026-03-03 00:30"),
+        ("edge", "2026-03-02 12:00", "2026-03-02 12:30", "2026-03-02 13:00:01"),
+        ("next", "2026-03-03 10:00"),
+        ("later", "2026-03-09 10:00"),
+    )
+    rows, read = _steps(spark, silver, "2026-03-02", "2026-03-02", 1800, folder, monkeypatch)
+    assert rows == [
+        ("edge", "2026-03-02 12:00:00", "2026-03-02 12:30:00", 1),
+        ("edge", "2026-03-02 13:00:01", "2026-03-02 13:00:01", 1),
+        ("over", "2026-03-02 23:40:00", "2026-03-03 00:30:00", 1),
+    ]
+    assert read == [(0, 1, 1800), (1, 2, 0)]
+
+
+def test_the_end_of_the_data_leaves_sessions_open(spark, folder, monkeypatch):
+    silver = _flights(
+        spark, folder,
+        ("a", "2026-03-02 10:00", "2026-03-02 10:20"),
+        ("b", "2026-03-02 10:30", "2026-03-02 10:50"),
+    )
+    rows, read = _steps(spark, silver, "2026-03-02", "2026-03-04", 1800, folder, monkeypatch)
+    # Exactly the gap before the end of the data is not yet an exit.
+    assert [r[3] for r in rows] == [0, 0]
+    assert read == [(0, 1, 1800), (0, 1, 1800)]
+    assert _steps(spark, silver, "2026-03-02", "2026-03-02", 1799, folder, monkeypatch)[0][0][3] == 1
+
+
+def test_a_session_of_many_days_is_carried(spark, folder, monkeypatch):
+    hours = [f"2026-03-{d:02} {h:02}:15" for d in range(2, 8) for h in range(24)]
+    silver = _flights(spark, folder, ("a", *hours), ("b", "2026-03-05 10:00"), ("c", "2026-03-20 10:00"))
+    rows, read = _steps(spark, silver, "2026-03-01", "2026-03-02", 3600, folder, monkeypatch)
+    assert rows == [("a", "2026-03-02 00:15:00", "2026-03-07 23:15:00", 1)]
+    assert read == [(0, 1, 3600)] + [(n, n + 1, 0) for n in range(1, 8)]
+
+
+def test_day_spans_read_few_partitions(spark, silver_path):
+    near = carry.snapshots_between(read_silver(spark, silver_path), "2024-01-15", 0, 1, 1800)
     days = {path.split("/day=")[1].split("/")[0] for path in _scanned(near)}
-    assert days <= {str(d) for d in range(12, 21)}
+    assert days <= {str(d) for d in range(12, 19)}
 
 
 def _scanned(df):
