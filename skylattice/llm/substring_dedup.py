@@ -7,9 +7,11 @@ repeat. Windows of the full width around a hit are then compared by their digest
 smallest document of each digest is found and the windows of larger documents are
 removed. Neighbouring windows merge, which extends a hit to the maximal repeat.
 
-How the lookups travel: documents are dealt to units of bounded size, and a unit asks
-about its distinct digests only, sorted, as one packed row for each bucket of the
-index. Answers come back in the same order: one bit for a block lookup, the smallest
+How the lookups travel: documents are dealt to units of bounded size by their id and text,
+so rows without an id, or many texts under one id, are spread like any others (only rows alike
+in both share a unit). A unit asks about its distinct digests only, sorted, as one packed row
+for each bucket of the index; there are as many buckets as bound what one of them is asked.
+Answers come back in the same order: one bit for a block lookup, the smallest
 document for a full window. So a passage that a third of all documents share is asked
 about once per unit, and neither its documents nor their pairs meet anywhere. Texts are
 shuffled once; the units' exchange is the same in all three passes and Spark reuses it.
@@ -43,6 +45,8 @@ from skylattice.llm.common import (
 WINDOW_WORDS = 50
 #: Bytes of text in one unit; a unit's digests are held in one task.
 UNIT_BYTES = 8 << 20
+#: Bytes of text for each bucket of the index; about so much is asked of a bucket as well.
+BUCKET_BYTES = 64 << 20
 
 _UNKNOWN = np.iinfo(np.int64).max
 
@@ -366,6 +370,12 @@ def _remove(width: int, buckets: int, with_text: bool):
     return run
 
 
+def _dealt(rows: DataFrame, units: int) -> DataFrame:
+    """Rows with their unit; the windows of one id may lie in several, as removal compares ids."""
+    place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(units))
+    return rows.withColumn("unit", place.cast("int"))
+
+
 def remove_repeats(
     docs: DataFrame,
     window: int = WINDOW_WORDS,
@@ -373,6 +383,7 @@ def remove_repeats(
     with_text: bool = False,
     id_column: str = "doc_id",
     text_column: str = "text",
+    bucket_bytes: int = BUCKET_BYTES,
 ) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, kept_sha256 and, on demand, kept_text.
 
@@ -384,11 +395,10 @@ def remove_repeats(
         F.col(f"`{text_column}`").cast("string").alias("text"),
     )
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = shuffle_width(spark)
-    units = max(buckets, size // unit_bytes + 1)
-    dealt = rows.withColumn(
-        "unit", F.pmod(F.xxhash64("doc_id"), F.lit(units)).cast("int")
-    ).repartition(units, "unit")
+    width = shuffle_width(spark)
+    buckets = max(width, size // bucket_bytes + 1)
+    units = max(width, size // unit_bytes + 1)
+    dealt = _dealt(rows, units).repartition(units, "unit")
     asked = dealt.mapInArrow(_ask_blocks(window, buckets), _ASK)
     hits = asked.repartition(buckets, "bucket").mapInArrow(_answer_blocks, _ANSWER)
     by_unit = dealt.groupBy("unit")

@@ -5,7 +5,7 @@ import re
 import pytest
 
 from skylattice.llm.queries import QUERIES
-from skylattice.llm.substring_dedup import remove_repeats
+from skylattice.llm.substring_dedup import _dealt, remove_repeats
 from tests.llm.helpers import AWKWARD, docs, words
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -60,3 +60,19 @@ def test_kept_text_and_empty_table(spark):
     got = remove_repeats(docs(spark, [(2, f"x {passage} y"), (1, passage)]), with_text=True)
     assert {r.doc_id: r.kept_text for r in got.collect()} == {1: passage, 2: "x y"}
     assert remove_repeats(docs(spark, [])).collect() == []
+
+
+@pytest.mark.parametrize("hot", [None, 5])
+def test_rows_of_one_id_are_spread_over_units(spark, hot):
+    rng = random.Random(3)
+    passage = words(rng, 30, 200)
+    rows = [
+        (hot if i % 3 else i, " ".join(words(rng, i % 40, 200) + passage * (i % 2) + words(rng, 9, 200)))
+        for i in range(150)
+    ]
+    table = docs(spark, rows).select("doc_id", "text")
+    sizes = [r["count"] for r in _dealt(table, 10).groupBy("unit").count().collect()]
+    assert len(sizes) == 10 and max(sizes) < 40
+    got = remove_repeats(docs(spark, rows), window=20, unit_bytes=500, bucket_bytes=300).collect()
+    assert sorted(map(tuple, got), key=str) == expected(rows, 20)
+    assert sum(r.n_removed for r in got) > 0
