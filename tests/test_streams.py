@@ -10,6 +10,7 @@ from skylattice.operators.airlines import clean_airlines
 from skylattice.operators.envelopes import decode_envelopes
 from skylattice.operators.sessions import build_sessions
 from skylattice.plans import jobs
+from skylattice.plans.silver import build_silver
 from skylattice.schemas import BRONZE, SILVER
 from skylattice.sources import envelope_files, snapshot_files
 from skylattice.streaming import finish as strict
@@ -193,3 +194,30 @@ def test_kept_copy_is_the_earliest_of_all_batches(spark, bronze, airlines, folde
 def test_impossible_session_settings(spark, silver, folder, options):
     with pytest.raises(ValueError):
         closed_by_stream(spark, silver, folder, [seen("a", 0)], **options)
+
+
+def test_continuous_silver_is_stopped_and_goes_on(spark, bronze, airlines, folder):
+    """A trigger that keeps on running, stopped between batches, equals the rebuild."""
+    source, out, checkpoint = folder(), folder(), folder()
+    dimension = clean_airlines(airlines({"Airline ID": "1", "Nome": "Norte", "ICAO": "NRT"}))
+    files = [
+        [dict(time=BASE + t, icao24=f"k{t % 4}", callsign="NRT1", last_contact=BASE + t % 3)
+         for t in range(start, start + 8)]
+        for start in (40, 0, 20)
+    ]
+    for number, rows in enumerate(files):
+        bronze(*rows).coalesce(1).write.mode("append").parquet(source)
+        stream = snapshot_files(spark, source)
+        query = start_silver(stream, dimension, out, checkpoint, processing_time="1 second")
+        assert query.isActive
+        query.processAllAvailable()
+        query.stop()
+        assert query.exception() is None
+        assert len(list(Path(checkpoint, "commits").glob("[0-9]*"))) == number + 1
+    rebuilt = build_silver(bronze(*(row for rows in files for row in rows)), dimension)
+    columns = sorted(rebuilt.columns)
+
+    def rows_of(df):
+        return Counter(map(tuple, df.select(*columns).collect()))
+
+    assert rows_of(read_streamed(spark, out)) == rows_of(rebuilt)
