@@ -106,10 +106,14 @@ def oracle_sql() -> str:
         return f"case when {out} <> '' then sha256({out}) end"
 
     values = ", ".join("('{}', '{}')".format(n, t.replace("'", "''")) for n, t in TEXTS)
+    digests = ", ".join(f"('{n}', '{digest}')" for n, digest in DIGESTS)
     return f"""
 with known as (
-  select {sql_digest("t")} as digest, min(n) as licence
-  from (values {values}) as v(n, t) group by 1
+  select digest, min(n) as licence
+  from (
+    select n, {sql_digest("t")} as digest from (values {values}) as v(n, t)
+    union all select n, digest from (values {digests}) as w(n, digest))
+  group by 1
 ), lines as (
   select doc_id, {sql_digest("part")} as digest
   from (select doc_id, unnest(string_split(text, chr(10))) as part from documents)
