@@ -140,23 +140,30 @@ def _earlier_copies(
     if len(ranges) > _RANGES:
         lows, highs = zip(*((low, high) for _, low, high in spans if low is not None), strict=True)
         ranges = [f"last_contact between {min(lows)} and {max(highs)}"]
-    seen = copies.rows(days, number, " or ".join(["last_contact is null", *ranges]))
-    if within is not None:
-        seen = seen.filter(F.expr(f"arrived >= current_timestamp() - interval {within}"))
-    known = seen.select(
-        *(F.col(name).alias(f"_{name}") for name in SNAPSHOT_KEY),
+    seen = copies.versions(days, number, " or ".join(["last_contact is null", *ranges]))
+    if seen is None:
+        nothing = F.lit(None).cast("long")
+        return unique.withColumns({"_old_batch": nothing, "_old_time": nothing})
+    stored = seen.select(
+        *SNAPSHOT_KEY,
         F.col("kept").alias("_kept"),
-        F.col("batch").alias("_old_batch"),
+        F.col("arrived").alias("_arrived"),
+        F.col("batch").alias("_batch"),
     )
-    same = F.lit(True)
-    for name in SNAPSHOT_KEY:
-        same = same & F.col(name).eqNullSafe(F.col(f"_{name}"))
-    newer = F.struct(*map(quoted, order)) < F.col("_kept")
+    # One shuffle and one sort for the stored rows: in a key's order the batch's row, which
+    # has no number yet, follows the latest version.
+    latest = f"""lag(struct(_batch, _kept, _arrived)) over (
+        partition by {", ".join(map(quoted, SNAPSHOT_KEY))} order by _batch nulls last)"""
+    rows = unique.unionByName(stored, allowMissingColumns=True)
+    rows = rows.withColumn("_known", F.expr(latest)).filter("_batch is null")
+    if within is not None:
+        counts = F.expr(f"_known._arrived >= current_timestamp() - interval {within}")
+        rows = rows.withColumn("_known", F.when(counts, F.col("_known")))
+    newer = F.struct(*map(quoted, order)) < F.col("_known._kept")
     return (
-        unique.join(known, same, "left")
-        .filter(F.col("_old_batch").isNull() | newer)
-        .withColumn("_old_time", F.col("_kept.time"))
-        .drop(*(f"_{name}" for name in SNAPSHOT_KEY), "_kept")
+        rows.filter(F.col("_known").isNull() | newer)
+        .withColumns({"_old_batch": F.col("_known._batch"), "_old_time": F.col("_known._kept.time")})
+        .drop("_kept", "_arrived", "_batch", "_known")
     )
 
 

@@ -97,6 +97,16 @@ class VersionStore:
         """Latest version of each key of these days; ``where`` must not tell versions apart."""
         return self._latest(self._read({day: self.runs(day, before) for day in days}, where))
 
+    def versions(
+        self, days: Iterable[str], before: int | None = None, where: str = "true"
+    ) -> DataFrame | None:
+        """All versions of each key of these days that are not folded yet; None if no day is there.
+
+        For callers that look for the latest version in a shuffle of their own.
+        """
+        runs = {day: self.runs(day, before) for day in days}
+        return self._read(runs, where) if any(runs.values()) else None
+
     def _read(self, runs: dict[str, list[Run]], where: str = "true") -> DataFrame:
         paths = self._paths(runs)
         if not paths:

@@ -8,10 +8,12 @@ import pytest
 
 from skylattice import scratch
 from skylattice.operators.airlines import clean_airlines
+from skylattice.operators.dedupe import deduplicate
 from skylattice.operators.sessions import build_sessions
 from skylattice.plans.silver import build_silver
 from skylattice.schemas import SILVER
 from skylattice.sources import read_silver, snapshot_files
+from skylattice.sources.sinks import batch_stream
 from skylattice.streaming import (
     VersionStore,
     compact_sessions,
@@ -145,6 +147,31 @@ def test_silver_in_any_order_is_the_rebuilt_one(spark, bronze, airlines, folder)
     assert rows_of(spark.read.parquet(compacted)) == rows_of(want)
 
 
+def test_batches_are_planned_like_the_callers_jobs(spark, bronze, folder):
+    """A small batch's shuffles, kept tables too, are cut to its size; Spark's streams are not."""
+    source, parts = folder(), []
+    bronze(*({"icao24": f"a{n}", "last_contact": BASE} for n in range(50))).write.parquet(source)
+
+    def write(batch, number):
+        kept = deduplicate(batch).persist()
+        parts.append(kept.rdd.getNumPartitions())
+        kept.unpersist()
+
+    batch_stream(snapshot_files(spark, source), write, folder(), None).awaitTermination()
+    assert parts == [1]
+
+
+def test_all_versions_of_a_day(spark, folder):
+    """For the silver stream, which finds the latest in the shuffle of its batch."""
+    kept = store(spark, folder())
+    assert kept.versions([folder_of(1)]) is None
+    put(spark, kept, 0, [(1, "old", 1)])
+    put(spark, kept, 1, [(1, "new", 1)])
+    found = kept.versions([folder_of(1), folder_of(2)]).collect()
+    assert sorted((r.v, r.batch) for r in found) == [("new", 1), ("old", 0)]
+    assert [r.v for r in kept.versions([folder_of(1)], before=1).collect()] == ["old"]
+
+
 def test_an_earlier_copy_without_call_sign_takes_the_row_away(spark, bronze, airlines, folder):
     row = {"icao24": "a", "last_contact": BASE, "time": BASE + 60, "callsign": "GLO1"}
     batches = [[row], [{**row, "time": BASE, "callsign": None}], [{**row, "time": BASE + 30}]]
