@@ -531,8 +531,8 @@ def stream_silver_compacted(spark, sf_dir):
     """The streamed table after each of its days is compacted."""
     silver, compacted = _streamed_silver(spark, sf_dir), new_path(spark, "compacted")
     folders = read_streamed(spark, silver).select(*DAY_PARTITION).distinct()
-    for year, month, day in folders.collect():
-        compact_silver(spark, silver, compacted, f"{year}-{month:02}-{day:02}")
+    days = [f"{year}-{month:02}-{day:02}" for year, month, day in folders.collect()]
+    compact_silver(spark, silver, compacted, days)
     return spark.read.parquet(compacted)
 
 

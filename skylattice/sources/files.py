@@ -71,18 +71,21 @@ RETRACTIONS = T.StructType(
 )
 
 
-def read_streamed(spark: SparkSession, path: str, day: str | None = None) -> DataFrame:
+def read_streamed(
+    spark: SparkSession, path: str, day: str | Iterable[str] | None = None
+) -> DataFrame:
     """A silver table, written by a stream or a job, in silver's own columns.
 
-    Rows that a later batch replaced are left out. ``day`` is the date of one folder.
+    Rows that a later batch replaced are left out. ``day`` is the date of one folder, or
+    those of several.
     """
+    days = [day] if isinstance(day, str) else None if day is None else list(day)
 
     def of_day(rows: DataFrame) -> DataFrame:
-        if day is None:
+        if days is None:
             return rows
-        return rows.filter(
-            F.expr(f"make_date({', '.join(DAY_PARTITION)})") == F.to_date(F.lit(day))
-        )
+        wanted = [F.to_date(F.lit(one)) for one in days]
+        return rows.filter(F.expr(f"make_date({', '.join(DAY_PARTITION)})").isin(wanted))
 
     rows = of_day(spark.read.parquet(path))
     if BATCH not in rows.columns:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -183,9 +183,12 @@ def _retract(changed: DataFrame, path: str, number: int) -> None:
     write_table(rows, f"{path}/{RETRACTED}", (*DAY_PARTITION, BATCH), "dynamic")
 
 
-def compact_silver(spark: SparkSession, path: str, compacted: str, day: str) -> WriteResult:
-    """Write one day of a streamed silver table as few files into a table without batches.
+def compact_silver(
+    spark: SparkSession, path: str, compacted: str, day: str | Iterable[str]
+) -> WriteResult:
+    """Write days of a streamed silver table as few files into a table without batches.
 
-    The day is replaced there, so the job may run again. ``day`` is the folder's date.
+    The days are replaced there, so the job may run again. ``day`` is a folder's date; several
+    are written by one job, which uses all cores where one day has too few files for that.
     """
     return write_table(read_streamed(spark, path, day), compacted, replace="dynamic")

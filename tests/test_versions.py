@@ -172,6 +172,21 @@ def test_all_versions_of_a_day(spark, folder):
     assert [r.v for r in kept.versions([folder_of(1)], before=1).collect()] == ["old"]
 
 
+def test_days_are_compacted_in_one_job(spark, bronze, airlines, folder):
+    dimension = clean_airlines(airlines({"Airline ID": "1", "Nome": "Gol", "ICAO": "GLO"}))
+    rows = [
+        {"icao24": "a", "last_contact": at, "time": at + late, "callsign": "GLO1"}
+        for at in (BASE, BASE + DAY, BASE + 2 * DAY)
+        for late in (30, 0)
+    ]
+    out = streamed_silver(spark, bronze, folder, [rows[::2], rows[1::2]], dimension)
+    days = [str(r[0]) for r in read_streamed(spark, out).selectExpr("to_date(time)").collect()]
+    compacted = folder()
+    assert compact_silver(spark, out, compacted, days[:2]).rows == 2
+    assert compact_silver(spark, out, compacted, days[1:]).rows == 2
+    assert multiset(spark.read.parquet(compacted)) == multiset(build_silver(bronze(*rows), dimension))
+
+
 def test_an_earlier_copy_without_call_sign_takes_the_row_away(spark, bronze, airlines, folder):
     row = {"icao24": "a", "last_contact": BASE, "time": BASE + 60, "callsign": "GLO1"}
     batches = [[row], [{**row, "time": BASE, "callsign": None}], [{**row, "time": BASE + 30}]]
