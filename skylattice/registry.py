@@ -36,6 +36,7 @@ from skylattice.streaming import (
     catch_up_sessions,
     compact_silver,
     finish,
+    read_closed_sessions,
     read_sessions,
     read_streamed,
     start_bronze,
@@ -572,26 +573,21 @@ def stream_bronze_rejects(spark, sf_dir):
 
 @query
 def stream_sessions_backlog(spark, sf_dir):
-    """Closed sessions from a stored table whose files hold all times, in many batches.
+    """Closed sessions from a stored table whose files hold all times.
 
     The last day arrives after the stream has caught up.
     """
-    silver, closed, checkpoint = (
+    table, closed, checkpoint = (
         new_path(spark, n) for n in ("silver", "sessions", "sessions-checkpoint")
     )
     rows = tables.silver(spark, sf_dir).drop("event_id", *DAY_PARTITION)
-    last = "time >= timestamp'2024-01-30 00:00:00'"
-    rows.filter(f"not {last}").repartition(12).write.parquet(silver)
-    span = F.expr("unix_timestamp(max(time)) - unix_timestamp(min(time))")
-    finish(
-        catch_up_sessions(
-            snapshot_files(spark, silver, rows.schema, max_files_per_trigger=4),
-            closed,
-            checkpoint,
-            span_seconds=spark.read.parquet(silver).agg(span).first()[0],
-        )
-    )
-    rows.filter(last).write.mode("append").parquet(silver)
+    last = F.expr("cast(time >= timestamp'2024-01-30 00:00:00' as int)").alias("last")
+    silver = f"{table}/last=0"  # the stored table; the rows beside it arrive later
+    rows.limit(0).write.parquet(silver)  # the folder is there if all rows are late
+    rows.select("*", last).write.mode("append").partitionBy("last").parquet(table)
+    finish(catch_up_sessions(spark, silver, closed, checkpoint, rows.schema, lateness_seconds=1))
+    arriving = spark.read.parquet(table).filter("last = 1").drop("last")
+    arriving.write.mode("append").parquet(silver)
     finish(
         start_watermarked_sessions(
             snapshot_files(spark, silver, rows.schema),
@@ -601,7 +597,7 @@ def stream_sessions_backlog(spark, sf_dir):
             processing_time=None,
         )
     )
-    return spark.read.parquet(closed)
+    return read_closed_sessions(spark, closed)
 
 
 @query

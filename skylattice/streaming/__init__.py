@@ -8,6 +8,7 @@ from skylattice.streaming.watermarked import (
     catch_up_sessions,
     finish,
     late_rows,
+    read_closed_sessions,
     start_watermarked_sessions,
     stream_sessions,
 )
@@ -19,6 +20,7 @@ __all__ = [
     "compact_silver",
     "finish",
     "late_rows",
+    "read_closed_sessions",
     "read_sessions",
     "read_streamed",
     "start_bronze",
